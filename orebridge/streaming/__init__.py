@@ -1,0 +1,6 @@
+"""No streaming operators.
+
+The reconciled workload is batch: late assays are picked up by the next run (a
+full refresh or a checked append, see `plans.warehouse`). Nothing here keeps state
+across micro-batches.
+"""

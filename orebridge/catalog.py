@@ -206,6 +206,16 @@ def q_clean_csv_roundtrip(spark, sf_dir):
     return read_csv(spark, path, cleaned.schema)
 
 
+@register("full_refresh_roundtrip")
+def q_full_refresh_roundtrip(spark, sf_dir):
+    """Full ETL into a fresh warehouse folder (shared storage), the sensor fact read back."""
+    from orebridge import schemas
+    from orebridge.plans.warehouse import Warehouse
+    wh = Warehouse(spark, scratch_path(spark, "warehouse"))
+    plans.run_etl(sensor_raw(spark, sf_dir), assay_raw(spark, sf_dir), wh, refresh=True)
+    return wh.table("fact_sensor_readings").select(*schemas.SENSOR_FACT_COLUMNS)
+
+
 def queries() -> dict[str, Query]:
     """Registered queries, with decimal outputs cast to double for comparison."""
     def comparable(fn: Query) -> Query:

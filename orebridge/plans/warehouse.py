@@ -30,15 +30,14 @@ from orebridge.session import reliable_checkpoint
 
 PARTITION_COL = "reading_month"
 
-# The table comments of the two facts.
+# Catalog comments of the two facts.
 TABLE_COMMENTS = {
     "fact_sensor_readings": (
-        "Lecturas en tiempo real del sistema sensor-based (ej. MineSense ShovelSense). "
-        "Cada fila = una carga de pala. Alta frecuencia, menor precisión que assay."),
+        "Online sensor grade readings, one row per shovel load: every load, fast, "
+        "less precise than the lab."),
     "fact_assay_results": (
-        "Resultados de laboratorio para muestras físicas extraídas de cargas. "
-        "~8% de cobertura. Alta precisión. Delay de 2-5 días hábiles. "
-        "Referencia a fact_sensor_readings via reading_id (FK)."),
+        "Lab assays of samples taken from loads: about 8% of loads, precise, results "
+        "2-5 working days later. reading_id refers to fact_sensor_readings."),
 }
 
 VIEW_NAMES = {

@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, functions as F
 
 # Largest lookup side (rows) that may be broadcast; beyond it the join shuffles.
-DEFAULT_MAX_BROADCAST_ROWS = 1_000_000
+DEFAULT_MAX_BROADCAST_ROWS = 200_000
 
 
 def all_of(conditions):
@@ -35,10 +35,15 @@ def join_on(left: DataFrame, right: DataFrame, keys: list[str], how: str = "inne
 
 
 def broadcast_if_bounded(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS):
-    """Mark `df` for broadcast only when it has at most `max_rows` rows.
+    """Broadcast `df` only when it has at most `max_rows` rows; else leave it to a
+    shuffle join. Returns (frame, bounded?).
 
-    Counting stops at `max_rows + 1`, so the check costs at most that many rows.
-    Returns (frame, bounded?).
+    At most `max_rows + 1` rows are fetched. A small result is fetched once and
+    broadcast from that copy (as a broadcast join would fetch it), so the plan
+    that produced it is not run a second time inside the join.
     """
-    bounded = df.limit(max_rows + 1).count() <= max_rows
-    return (F.broadcast(df) if bounded else df), bounded
+    rows = df.limit(max_rows + 1).collect()
+    if len(rows) > max_rows:
+        return df, False
+    local = df.sparkSession.createDataFrame(rows, df.schema)
+    return F.broadcast(local), True

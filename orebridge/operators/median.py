@@ -12,18 +12,19 @@ from pyspark.sql import DataFrame, functions as F
 
 from orebridge.operators.joins import (DEFAULT_MAX_BROADCAST_ROWS, all_of,
                                        broadcast_if_bounded)
-from orebridge.operators.ordering import running_total
+from orebridge.operators.ordering import DEFAULT_MAX_LOCAL_ROWS, running_total
 
 
 def group_median(df: DataFrame, group_cols: list[str], value_col: str,
-                 out: str = "median") -> DataFrame:
+                 out: str = "median",
+                 max_local_rows: int = DEFAULT_MAX_LOCAL_ROWS) -> DataFrame:
     """Interpolated median of `value_col` per group; NULL values and NULL groups are
     skipped (pandas `groupby().median()`). Decimal input keeps an exact midpoint."""
     group_cols = list(group_cols)
     present = all_of(F.col(c).isNotNull() for c in [*group_cols, value_col])
     counts = df.where(present).groupBy(*group_cols, value_col).agg(F.count(F.lit(1)).alias("__n"))
     ranked = running_total(counts, [value_col], group_cols, weight="__n",
-                           before="__before", total="__size")
+                           before="__before", total="__size", max_local_rows=max_local_rows)
     lower = F.floor((F.col("__size") - 1) / 2)
     upper = F.floor(F.col("__size") / 2)
 

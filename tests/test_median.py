@@ -1,4 +1,6 @@
 import random
+
+import pytest
 import statistics
 from decimal import Decimal
 
@@ -37,22 +39,35 @@ def test_skewed_groups_match_pandas_median(spark):
         g = "hot" if i % 3 else rnd.choice(["x", "y", "z"])   # one group holds 2/3 of the rows
         rows.append((g, float(rnd.randint(0, 500)) / 4))
     df = spark.createDataFrame(rows, "g string, v double").repartition(9)
-    got = {r.g: r.median for r in group_median(df, ["g"], "v").collect()}
     want = {}
     for g in {g for g, _ in rows}:
         want[g] = statistics.median(v for gg, v in rows if gg == g)
-    assert got == want
+    for limit in (0, 10_000):   # distributed path, then the checked single-window path
+        got = {r.g: r.median for r in group_median(df, ["g"], "v", max_local_rows=limit).collect()}
+        assert got == want
 
 
-def test_running_total_numbers_rows_in_order(spark):
+@pytest.mark.parametrize("limit", [0, 100])
+def test_running_total_numbers_rows_in_order(spark, limit):
     df = spark.createDataFrame([(k,) for k in [5, 3, 9, 1, 7, 2]], "k long").repartition(3)
-    got = sorted((r.k, r._before) for r in running_total(df, ["k"]).collect())
+    got = sorted((r.k, r._before) for r in running_total(df, ["k"], max_local_rows=limit).collect())
     assert got == [(1, 0), (2, 1), (3, 2), (5, 3), (7, 4), (9, 5)]
 
 
-def test_running_total_weighted_by_group(spark):
+@pytest.mark.parametrize("limit", [0, 100])
+def test_running_total_weighted_by_group(spark, limit):
     df = spark.createDataFrame([("a", 1, 2), ("a", 2, 3), ("b", 1, 4), ("a", 3, 1)],
                                "g string, v long, w long")
     got = sorted((r.g, r.v, r._before, r.total) for r in
-                 running_total(df, ["v"], ["g"], weight="w", total="total").collect())
+                 running_total(df, ["v"], ["g"], weight="w", total="total",
+                               max_local_rows=limit).collect())
     assert got == [("a", 1, 0, 6), ("a", 2, 2, 6), ("a", 3, 5, 6), ("b", 1, 0, 4)]
+
+
+def test_running_total_hot_group_spans_partitions(spark):
+    # 3000 rows of one group + a few others, forced onto the distributed path
+    rows = [("hot", i) for i in range(3000)] + [("x", i) for i in range(5)]
+    df = spark.createDataFrame(rows, "g string, v long").repartition(6)
+    out = running_total(df, ["v"], ["g"], max_local_rows=0)
+    assert out.where("g = 'hot' AND _before != v").count() == 0
+    assert out.where("g = 'x' AND _before != v").count() == 0

@@ -35,6 +35,7 @@ def flag_outliers(df: DataFrame, value_col: str, k: float = 3.0, out: str = "is_
     bounds = sigma_bounds(bounds_from if bounds_from is not None else df, value_col, k,
                           floor_at_zero)
     limits = bounds.select(F.struct("lower_limit", "upper_limit")).scalar()
-    v = F.col(value_col)
-    flag = (v > limits.getField("upper_limit")) | (v < limits.getField("lower_limit"))
-    return df.withColumn(out, F.coalesce(flag, F.lit(False)))
+    v, lim = F.col(value_col), F.col("__limits")
+    flag = (v > lim.getField("upper_limit")) | (v < lim.getField("lower_limit"))
+    return (df.withColumn("__limits", limits)      # one subquery, evaluated once
+            .withColumn(out, F.coalesce(flag, F.lit(False))).drop("__limits"))

@@ -40,7 +40,7 @@ def fk_orphans(child: DataFrame, parent: DataFrame, child_cols: list[str],
     parent_cols = list(parent_cols or child_cols)
     present = all_of(F.col(c).isNotNull() for c in child_cols)
     keys = child.where(present).groupBy(*child_cols).agg(F.count(F.lit(1)).alias("n_rows"))
-    parent_keys = parent.select(*[F.col(p).alias(c) for p, c in zip(parent_cols, child_cols)])
+    parent_keys = parent.select(*[F.col(p).alias(c) for p, c in zip(parent_cols, child_cols)]).distinct()
     return keys.join(parent_keys, child_cols, "left_anti")
 
 
@@ -50,6 +50,31 @@ def assert_empty(check: DataFrame, what: str) -> None:
         raise KeyCheckError(f"{what}: {[r.asDict() for r in bad]}")
 
 
+def null_rows(df: DataFrame, cols: list[str]) -> dict[str, DataFrame]:
+    """One "must be empty" check per NOT NULL column: the rows holding a NULL."""
+    return {f"NULL in {c}": df.where(F.col(c).isNull()).select(c) for c in cols}
+
+
+def assert_all_empty(checks: dict[str, DataFrame], sample: int = 5) -> None:
+    """Run several "must be empty" checks as one job; raise listing every failure.
+
+    Each check contributes at most `sample` rows, rendered as JSON.
+    """
+    if not checks:
+        return
+    parts = [df.select(F.lit(name).alias("check"), F.to_json(F.struct("*")).alias("row")).limit(sample)
+             for name, df in checks.items()]
+    union = parts[0]
+    for p in parts[1:]:
+        union = union.unionByName(p)
+    bad = union.collect()
+    if bad:
+        found: dict[str, list[str]] = {}
+        for r in bad:
+            found.setdefault(r.check, []).append(r.row)
+        raise KeyCheckError("; ".join(f"{k}: {v}" for k, v in found.items()))
+
+
 def assert_no_nulls(check_row: DataFrame, what: str) -> None:
     row = check_row.first().asDict()
     bad = {c: n for c, n in row.items() if n}
@@ -66,13 +91,13 @@ def insert_if_absent(incoming: DataFrame, existing: DataFrame, key_cols: list[st
 
 
 def assign_surrogate_keys(df: DataFrame, out: str, order_cols: list[str],
-                          start_after=None) -> DataFrame:
+                          start_after=None, materialized: bool = False) -> DataFrame:
     """Add `out` = 1, 2, ... in `order_cols` order, after `start_after` (a Column such as
     a scalar subquery of the existing maximum, or an int). Numbering is distributed
     (`running_total`); no single task sees all rows."""
     base = F.lit(0).cast("long") if start_after is None else (
         F.lit(start_after).cast("long") if isinstance(start_after, int) else start_after)
-    numbered = running_total(df, list(order_cols), before="__pos")
+    numbered = running_total(df, list(order_cols), before="__pos", materialized=materialized)
     return (numbered.withColumn(out, F.coalesce(base, F.lit(0).cast("long")) + F.col("__pos") + 1)
             .select(out, *df.columns))
 
@@ -82,5 +107,6 @@ def max_key(existing: DataFrame, key: str):
     return existing.select(F.coalesce(F.max(key), F.lit(0)).cast("long")).scalar()
 
 
-__all__ = ["KeyCheckError", "assert_empty", "assert_no_nulls", "assign_surrogate_keys",
-           "fk_orphans", "insert_if_absent", "key_violations", "max_key", "null_violations"]
+__all__ = ["KeyCheckError", "assert_all_empty", "assert_empty", "assert_no_nulls", "assign_surrogate_keys",
+           "fk_orphans", "insert_if_absent", "key_violations", "max_key", "null_rows",
+           "null_violations"]

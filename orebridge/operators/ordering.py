@@ -28,16 +28,21 @@ DEFAULT_MAX_LOCAL_ROWS = 1_000_000
 def running_total(df: DataFrame, order_cols: list[str], group_cols: list[str] = (),
                   weight: str | None = None, before: str = "_before",
                   total: str | None = None,
-                  max_local_rows: int = DEFAULT_MAX_LOCAL_ROWS) -> DataFrame:
+                  max_local_rows: int = DEFAULT_MAX_LOCAL_ROWS,
+                  materialized: bool = False) -> DataFrame:
     """Add `before` = sum of `weight` (1 per row if None) over rows that sort before
     this one within its group; and `total` = the group's sum, if asked for.
 
     Order is ascending with NULLs first; ties are ordered arbitrarily but
     consistently, so `before` values are distinct when weights are positive.
+    `materialized=True` says `df` is already a checkpoint or a written table, so
+    reading it twice is cheap and it is not staged again.
     """
     group_cols, order_cols = list(group_cols), list(order_cols)
     w = F.col(weight).cast("long") if weight else F.lit(1).cast("long")
-    staged = reliable_checkpoint(df.withColumn("__w", w))
+    staged = df.withColumn("__w", w)
+    if not materialized:
+        staged = reliable_checkpoint(staged)
     if staged.limit(max_local_rows + 1).count() <= max_local_rows:
         out = _window_totals(staged, order_cols, group_cols, before, total)
     else:

@@ -71,9 +71,11 @@ def time_attributes(dates: DataFrame) -> DataFrame:
         F.lit(DEFAULT_SHIFT).alias("shift"))
 
 
-def with_location_ids(dim_location: DataFrame, start_after=None) -> DataFrame:
-    return assign_surrogate_keys(dim_location, "location_id", ["bench_id"], start_after)
+def with_location_ids(dim_location: DataFrame, start_after=None,
+                      materialized: bool = False) -> DataFrame:
+    return assign_surrogate_keys(dim_location, "location_id", ["bench_id"], start_after,
+                                 materialized)
 
 
-def with_time_ids(dim_time: DataFrame, start_after=None) -> DataFrame:
-    return assign_surrogate_keys(dim_time, "time_id", ["full_date"], start_after)
+def with_time_ids(dim_time: DataFrame, start_after=None, materialized: bool = False) -> DataFrame:
+    return assign_surrogate_keys(dim_time, "time_id", ["full_date"], start_after, materialized)

@@ -18,7 +18,8 @@ def run_etl(sensor_raw: DataFrame, assay_raw: DataFrame, warehouse: Warehouse,
     refresh=False inserts new dimension members and appends checked facts.
     """
     mode = "overwrite" if refresh else "append"
-    warehouse.create()
+    if not refresh:
+        warehouse.create()   # appends compare against the stored tables
     sensor = sensor_fact(sensor_raw)
     assay = assay_fact(assay_raw)
     counts = warehouse.load_dimensions(build_dim_equipment(sensor_raw),

@@ -22,8 +22,8 @@ from pyspark.sql import types as T
 
 from orebridge import schemas
 from orebridge.functions import month_start
-from orebridge.operators import (assert_empty, assert_no_nulls, fk_orphans,
-                                 insert_if_absent, key_violations, max_key, null_violations)
+from orebridge.operators import (assert_all_empty, fk_orphans, insert_if_absent,
+                                 key_violations, max_key, null_rows)
 from orebridge.plans import views
 from orebridge.plans.dims import with_location_ids, with_time_ids
 from orebridge.session import reliable_checkpoint
@@ -118,46 +118,49 @@ class Warehouse:
             existing = None if replace else self.table(name)
             staged = reliable_checkpoint(
                 incoming if existing is None else insert_if_absent(incoming, existing, key))
-            assert_empty(key_violations(staged, key), f"{name}: duplicate or NULL keys")
+            assert_all_empty({
+                f"{name}: duplicate or NULL keys": key_violations(staged, key),
+                **{f"{name}: {k}": v for k, v in
+                   null_rows(staged, schemas.TABLE_NOT_NULL[name]).items()},
+            })
             if name == "dim_location":
                 start = None if existing is None else max_key(existing, "location_id")
-                staged = with_location_ids(staged, start_after=start)
+                staged = with_location_ids(staged, start_after=start, materialized=True)
             elif name == "dim_time":
                 start = None if existing is None else max_key(existing, "time_id")
-                staged = with_time_ids(staged, start_after=start)
+                staged = with_time_ids(staged, start_after=start, materialized=True)
             if "created_at" in schemas.TABLES[name].fieldNames():
                 staged = staged.withColumn("created_at", now)
-            if schemas.TABLE_NOT_NULL[name]:
-                assert_no_nulls(null_violations(staged, schemas.TABLE_NOT_NULL[name]), name)
             counts[name] = self._append_observed(name, staged, "overwrite" if replace else "append")
         return counts
 
     # ---- facts
     def check_facts(self, sensor: DataFrame, assay: DataFrame, replace: bool = False) -> None:
-        """Raise KeyCheckError before any write if the batch breaks a constraint."""
-        s_key, a_key = schemas.TABLE_KEYS["fact_sensor_readings"], schemas.TABLE_KEYS["fact_assay_results"]
-        assert_empty(key_violations(sensor, s_key), "fact_sensor_readings: duplicate or NULL keys")
-        assert_empty(key_violations(assay, a_key), "fact_assay_results: duplicate or NULL keys")
-        assert_no_nulls(null_violations(sensor, schemas.TABLE_NOT_NULL["fact_sensor_readings"]),
-                        "fact_sensor_readings")
-        assert_no_nulls(null_violations(assay, schemas.TABLE_NOT_NULL["fact_assay_results"]),
-                        "fact_assay_results")
-        if not replace:
-            stored_s = self.table("fact_sensor_readings").select(*s_key)
-            stored_a = self.table("fact_assay_results").select(*a_key)
-            assert_empty(sensor.join(stored_s, s_key, "left_semi").select(*s_key),
-                         "fact_sensor_readings: keys already stored")
-            assert_empty(assay.join(stored_a, a_key, "left_semi").select(*a_key),
-                         "fact_assay_results: keys already stored")
-        assert_empty(fk_orphans(sensor, self.table("dim_equipment"), ["equipment_id"]),
-                     "fact_sensor_readings.equipment_id not in dim_equipment")
-        assert_empty(fk_orphans(sensor, self.table("dim_location"), ["bench_id"]),
-                     "fact_sensor_readings.bench_id not in dim_location")
+        """Raise KeyCheckError before any write if the batch breaks a constraint.
+
+        All checks run as one job; the error lists every failed check.
+        """
+        s_name, a_name = "fact_sensor_readings", "fact_assay_results"
+        s_key, a_key = schemas.TABLE_KEYS[s_name], schemas.TABLE_KEYS[a_name]
+        checks = {
+            f"{s_name}: duplicate or NULL keys": key_violations(sensor, s_key),
+            f"{a_name}: duplicate or NULL keys": key_violations(assay, a_key),
+            **{f"{s_name}: {k}": v for k, v in null_rows(sensor, schemas.TABLE_NOT_NULL[s_name]).items()},
+            **{f"{a_name}: {k}": v for k, v in null_rows(assay, schemas.TABLE_NOT_NULL[a_name]).items()},
+            f"{s_name}.equipment_id not in dim_equipment":
+                fk_orphans(sensor, self.table("dim_equipment"), ["equipment_id"]),
+            f"{s_name}.bench_id not in dim_location":
+                fk_orphans(sensor, self.table("dim_location"), ["bench_id"]),
+        }
         readings = sensor.select("reading_id")
         if not replace:
-            readings = readings.unionByName(self.table("fact_sensor_readings").select("reading_id"))
-        assert_empty(fk_orphans(assay, readings, ["reading_id"]),
-                     "fact_assay_results.reading_id not in fact_sensor_readings")
+            checks[f"{s_name}: keys already stored"] = sensor.select(*s_key).join(
+                self.table(s_name).select(*s_key), s_key, "left_semi")
+            checks[f"{a_name}: keys already stored"] = assay.select(*a_key).join(
+                self.table(a_name).select(*a_key), a_key, "left_semi")
+            readings = readings.unionByName(self.table(s_name).select("reading_id"))
+        checks[f"{a_name}.reading_id not in {s_name}"] = fk_orphans(assay, readings, ["reading_id"])
+        assert_all_empty(checks)
 
     def load_facts(self, sensor: DataFrame, assay: DataFrame,
                    mode: str = "append") -> dict[str, int]:

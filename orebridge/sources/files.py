@@ -45,15 +45,17 @@ def read_csv(spark: SparkSession, path: str, schema) -> DataFrame:
 def read_sensor_csv(spark: SparkSession, path: str) -> DataFrame:
     """Sensor readings CSV (header, parsed timestamp).
 
-    CSV offers no row position, so `ingest_seq` must be a column of the file when
-    duplicate keys are to be resolved by arrival order; when it is absent it is
-    NULL and duplicates are ordered by their other columns.
+    "First occurrence" means arrival order. If the file has no `ingest_seq` column it
+    is taken from the scan itself: `monotonically_increasing_id()` applied directly to
+    the file scan is (split index, row within split); splits of a file follow its byte
+    offsets and are fixed by the file sizes, so the value grows with the line position
+    and is the same when a task is re-run. Exact copies of a row are thus told apart.
     """
     header = spark.read.option("header", True).csv(path).columns
     schema = schemas.SENSOR_RAW if "ingest_seq" in header else schemas.SENSOR_CSV
     df = read_csv(spark, path, schema)
     if "ingest_seq" not in df.columns:
-        df = df.withColumn("ingest_seq", F.lit(None).cast("long"))
+        df = df.withColumn("ingest_seq", F.monotonically_increasing_id())
     return nan_to_null(df.select(*schemas.SENSOR_RAW.fieldNames()))
 
 

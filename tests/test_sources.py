@@ -45,3 +45,22 @@ def test_inject_defects_rates(spark):
     picked = out.where((F.col("reading_id") + 2) % 200 == 0).select("reading_id", "sensor_cu_grade")
     orig = base.select("reading_id", F.col("sensor_cu_grade").alias("g0"))
     assert picked.join(orig, "reading_id").where("sensor_cu_grade != g0 * 10").count() == 0
+
+
+def test_sensor_csv_exact_copies_keep_first_line(spark, tmp_root):
+    from orebridge.sources import read_sensor_csv
+    header = "reading_id,timestamp,equipment_id,bench_id,x_coord,y_coord,sensor_cu_grade,tonnage"
+    lines = [header,
+             "1,2025-01-01 08:00:00,SHOVEL-01,BENCH-100,1000.00,5000.00,0.8500,100.00",
+             "2,2025-01-01 09:00:00,SHOVEL-01,BENCH-105,1000.00,5000.00,0.9000,",
+             "1,2025-01-01 08:00:00,SHOVEL-01,BENCH-100,1000.00,5000.00,0.8500,100.00",
+             "1,2025-01-01 08:00:00,SHOVEL-01,BENCH-100,1000.00,5000.00,0.8500,120.00"]
+    path = os.path.join(tmp_root, "sensor_readings.csv")
+    with open(path, "w") as fh:
+        fh.write("\n".join(lines) + "\n")
+    raw = read_sensor_csv(spark, path)
+    t = plans.transform_sensor(raw).orderBy("ingest_seq").collect()
+    assert [r.is_duplicate for r in t] == [False, False, True, True]
+    assert t[1].tonnage == Decimal("100.00")    # median of 100, 100, 120 fills the NULL
+    fact = {r.reading_id: r.tonnage for r in plans.sensor_fact(raw).collect()}
+    assert fact == {1: Decimal("100.00"), 2: Decimal("100.00")}

@@ -3,8 +3,9 @@
 from orebridge.plans.assay import assay_fact, mean_turnaround, transform_assay
 from orebridge.plans.dims import (build_dim_equipment, build_dim_location, build_dim_time,
                                   with_location_ids, with_time_ids)
-from orebridge.plans.report import (calibration_report, outliers_by_bench, quality_report,
-                                    run_summary, show_report, turnaround_summary)
+from orebridge.plans.report import (calibration_messages, calibration_report,
+                                    outliers_by_bench, quality_report, run_summary,
+                                    show_report, turnaround_messages, turnaround_summary)
 from orebridge.plans.sensor import (outlier_bounds, qc_counters, sensor_fact,
                                     tonnage_medians, transform_sensor)
 from orebridge.plans.etl import run_etl
@@ -13,9 +14,10 @@ from orebridge.plans.views import (data_quality_report, equipment_kpis,
 
 __all__ = [
     "assay_fact", "build_dim_equipment", "build_dim_location", "build_dim_time",
-    "calibration_report", "data_quality_report", "equipment_kpis", "mean_turnaround",
+    "calibration_messages", "calibration_report", "data_quality_report", "equipment_kpis", "mean_turnaround",
     "monthly_grade_trend", "outlier_bounds", "outliers_by_bench", "qc_counters",
     "quality_report", "reconciliation", "run_etl", "run_summary", "sensor_fact", "show_report",
-    "tonnage_medians", "transform_assay", "transform_sensor", "turnaround_summary",
+    "tonnage_medians", "transform_assay", "transform_sensor", "turnaround_messages",
+    "turnaround_summary",
     "with_location_ids", "with_time_ids",
 ]

@@ -6,7 +6,7 @@ from decimal import Decimal
 
 from pyspark.sql import DataFrame, functions as F
 
-from orebridge.functions import calibration_status, round_half_up
+from orebridge.functions import calibration_status, fixed, round_half_up
 from orebridge.plans.views import equipment_kpis, reconciliation
 
 # Parameter: an assay result later than this many days violates the lab SLA.
@@ -19,6 +19,21 @@ def calibration_report(kpis: DataFrame) -> DataFrame:
                        calibration_status("bias").alias("status"))
 
 
+def calibration_messages(kpis: DataFrame) -> DataFrame:
+    """Check 2 as text lines, one per equipment (H17, H20), built on the executors."""
+    return kpis.select(F.format_string(
+        "Equipo %s: Bias = %s | MAE = %s -> %s", F.col("equipment_id"),
+        fixed("bias", 4), fixed("mae", 4), calibration_status("bias")).alias("line"))
+
+
+def turnaround_messages(summary: DataFrame) -> DataFrame:
+    """Check 3 as two text lines, 2 decimals."""
+    return summary.select(F.explode(F.array(
+        F.concat(F.lit("Turnaround promedio : "), fixed("avg_t", 2), F.lit(" días")),
+        F.concat(F.lit("Turnaround máximo   : "), fixed("max_t", 2), F.lit(" días")),
+    )).alias("line"))
+
+
 def turnaround_summary(assay: DataFrame) -> DataFrame:
     """Check 3: mean and max turnaround; 0 when there are no assays."""
     t = F.col("turnaround_days")

@@ -67,3 +67,13 @@ def test_sensor_fact_equals_transform_without_duplicates(spark):
     fact = plans.sensor_fact(raw)
     assert full.select(*fact.columns).exceptAll(fact).count() == 0
     assert fact.exceptAll(full.select(*fact.columns)).count() == 0
+
+
+def test_report_lines(spark):
+    s = _sensor(spark, [(1, "a", "1.0000", "10", True)])
+    a = _assay(spark, [(1, 1, "0.9000")])
+    kpis = plans.equipment_kpis(plans.reconciliation(s, a))
+    assert [r.line for r in plans.calibration_messages(kpis).collect()] == [
+        "Equipo a: Bias = 0.1000 | MAE = 0.1000 -> REVISAR CALIBRACIÓN"]
+    lines = [r.line for r in plans.turnaround_messages(plans.turnaround_summary(a)).collect()]
+    assert lines == ["Turnaround promedio : 2.00 días", "Turnaround máximo   : 2.00 días"]

@@ -75,3 +75,16 @@ def test_duplicate_key_rejected(spark, tmp_root):
         wh.load_facts(with_dups, assay_raw(spark, SF_SMALL).limit(0).withColumn(
             "turnaround_days", __import__("pyspark.sql.functions", fromlist=["lit"]).lit(None)
             .cast("decimal(4,1)")), mode="overwrite")
+
+
+def test_catalog_tables_with_comments(spark, tmp_root):
+    wh = Warehouse(spark, tmp_root)
+    plans.run_etl(sensor_raw(spark, SF_SMALL), assay_raw(spark, SF_SMALL), wh, refresh=True)
+    wh.register_tables("grade_wh")
+    assert spark.table("grade_wh.fact_sensor_readings").count() == wh.row_count("fact_sensor_readings")
+    info = {r.col_name: r.data_type for r in
+            spark.sql("DESCRIBE TABLE EXTENDED grade_wh.fact_assay_results").collect()}
+    assert "Lab assays" in info.get("Comment", "")
+    # month partitions prune: one month read, fewer rows
+    one = spark.table("grade_wh.fact_sensor_readings").where("reading_month = DATE'2024-01-01'")
+    assert 0 < one.count() < wh.row_count("fact_sensor_readings")

@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame
 from orebridge.plans.assay import assay_fact
 from orebridge.plans.dims import build_dim_equipment, build_dim_location, build_dim_time
 from orebridge.plans.sensor import sensor_fact
-from orebridge.plans.warehouse import Warehouse
+from orebridge.plans.warehouse import Warehouse, run_concurrently
 
 
 def run_etl(sensor_raw: DataFrame, assay_raw: DataFrame, warehouse: Warehouse,
@@ -20,10 +20,12 @@ def run_etl(sensor_raw: DataFrame, assay_raw: DataFrame, warehouse: Warehouse,
     mode = "overwrite" if refresh else "append"
     if not refresh:
         warehouse.create()   # appends compare against the stored tables
-    sensor = sensor_fact(sensor_raw)
-    assay = assay_fact(assay_raw)
-    counts = warehouse.load_dimensions(build_dim_equipment(sensor_raw),
-                                       build_dim_location(sensor_raw),
-                                       build_dim_time(sensor_raw, assay_raw), mode=mode)
-    counts.update(warehouse.load_facts(sensor, assay, mode=mode))
+    # The facts are computed and staged while the dimensions load; their key checks
+    # against the dimensions run after both.
+    counts, (sensor, assay) = run_concurrently(
+        lambda: warehouse.load_dimensions(build_dim_equipment(sensor_raw),
+                                          build_dim_location(sensor_raw),
+                                          build_dim_time(sensor_raw, assay_raw), mode=mode),
+        lambda: Warehouse.stage_facts(sensor_fact(sensor_raw), assay_fact(assay_raw)))
+    counts.update(warehouse.load_facts(sensor, assay, mode=mode, staged=True))
     return counts

@@ -17,6 +17,9 @@ folders and reading_id lookups skip row groups by their min/max statistics.
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 from pyspark.sql import types as T
 
@@ -48,6 +51,15 @@ VIEW_NAMES = {
 }
 
 
+def run_concurrently(*tasks):
+    """Run independent driver-side steps (each submits its own Spark jobs) at once;
+    Spark schedules their jobs side by side. Threads inherit the caller's local
+    properties (job group, scheduler pool). Results in order; the first error raises."""
+    with ThreadPoolExecutor(max_workers=len(tasks)) as pool:
+        futures = [pool.submit(inheritable_thread_target(t)) for t in tasks]
+        return [f.result() for f in futures]
+
+
 def _stored_schema(name: str) -> T.StructType:
     schema = schemas.TABLES[name]
     if name == "fact_sensor_readings":
@@ -107,32 +119,36 @@ class Warehouse:
                         dim_time: DataFrame, mode: str = "append") -> dict[str, int]:
         """Insert new members only; existing rows keep their attributes and keys.
 
-        With mode="overwrite" the tables are replaced (keys restart at 1).
+        With mode="overwrite" the tables are replaced (keys restart at 1). The three
+        tables are independent and load concurrently; each is checked before its write.
         """
-        replace = mode == "overwrite"
-        now = F.localtimestamp()
-        counts = {}
-        for name, incoming in (("dim_equipment", dim_equipment),
-                               ("dim_location", dim_location), ("dim_time", dim_time)):
-            key = schemas.TABLE_KEYS[name]
-            existing = None if replace else self.table(name)
-            staged = reliable_checkpoint(
-                incoming if existing is None else insert_if_absent(incoming, existing, key))
-            assert_all_empty({
-                f"{name}: duplicate or NULL keys": key_violations(staged, key),
-                **{f"{name}: {k}": v for k, v in
-                   null_rows(staged, schemas.TABLE_NOT_NULL[name]).items()},
-            })
-            if name == "dim_location":
-                start = None if existing is None else max_key(existing, "location_id")
-                staged = with_location_ids(staged, start_after=start, materialized=True)
-            elif name == "dim_time":
-                start = None if existing is None else max_key(existing, "time_id")
-                staged = with_time_ids(staged, start_after=start, materialized=True)
-            if "created_at" in schemas.TABLES[name].fieldNames():
-                staged = staged.withColumn("created_at", now)
-            counts[name] = self._append_observed(name, staged, "overwrite" if replace else "append")
-        return counts
+        incoming = {"dim_equipment": dim_equipment, "dim_location": dim_location,
+                    "dim_time": dim_time}
+        names = list(incoming)
+        counts = run_concurrently(*[
+            (lambda n=n: self._load_dimension(n, incoming[n], mode == "overwrite"))
+            for n in names])
+        return dict(zip(names, counts))
+
+    def _load_dimension(self, name: str, incoming: DataFrame, replace: bool) -> int:
+        key = schemas.TABLE_KEYS[name]
+        existing = None if replace else self.table(name)
+        staged = reliable_checkpoint(
+            incoming if existing is None else insert_if_absent(incoming, existing, key))
+        assert_all_empty({
+            f"{name}: duplicate or NULL keys": key_violations(staged, key),
+            **{f"{name}: {k}": v for k, v in
+               null_rows(staged, schemas.TABLE_NOT_NULL[name]).items()},
+        })
+        if name == "dim_location":
+            start = None if existing is None else max_key(existing, "location_id")
+            staged = with_location_ids(staged, start_after=start, materialized=True)
+        elif name == "dim_time":
+            start = None if existing is None else max_key(existing, "time_id")
+            staged = with_time_ids(staged, start_after=start, materialized=True)
+        if "created_at" in schemas.TABLES[name].fieldNames():
+            staged = staged.withColumn("created_at", F.localtimestamp())
+        return self._append_observed(name, staged, "overwrite" if replace else "append")
 
     # ---- facts
     def check_facts(self, sensor: DataFrame, assay: DataFrame, replace: bool = False) -> None:
@@ -162,20 +178,29 @@ class Warehouse:
         checks[f"{a_name}.reading_id not in {s_name}"] = fk_orphans(assay, readings, ["reading_id"])
         assert_all_empty(checks)
 
+    @staticmethod
+    def stage_facts(sensor: DataFrame, assay: DataFrame) -> tuple[DataFrame, DataFrame]:
+        """Compute both incoming facts once into reliable checkpoints."""
+        return tuple(run_concurrently(
+            lambda: reliable_checkpoint(sensor.select(*schemas.SENSOR_FACT_COLUMNS)),
+            lambda: reliable_checkpoint(assay.select(*schemas.ASSAY_FACT_COLUMNS))))
+
     def load_facts(self, sensor: DataFrame, assay: DataFrame,
-                   mode: str = "append") -> dict[str, int]:
-        """Checked append (or overwrite) of both facts; nothing is written on failure."""
+                   mode: str = "append", staged: bool = False) -> dict[str, int]:
+        """Checked append (or overwrite) of both facts; nothing is written on failure.
+
+        `staged=True`: the inputs come from `stage_facts` already.
+        """
         replace = mode == "overwrite"
         now = F.localtimestamp()
-        sensor = reliable_checkpoint(sensor.select(*schemas.SENSOR_FACT_COLUMNS))
-        assay = reliable_checkpoint(assay.select(*schemas.ASSAY_FACT_COLUMNS))
+        if not staged:
+            sensor, assay = self.stage_facts(sensor, assay)
         self.check_facts(sensor, assay, replace=replace)
         sensor = sensor.withColumns({"loaded_at": now, PARTITION_COL: F.to_date(month_start("timestamp"))})
-        return {
-            "fact_sensor_readings": self._append_observed("fact_sensor_readings", sensor, mode),
-            "fact_assay_results": self._append_observed("fact_assay_results",
-                                                        assay.withColumn("loaded_at", now), mode),
-        }
+        written = run_concurrently(
+            lambda: self._append_observed("fact_sensor_readings", sensor, mode),
+            lambda: self._append_observed("fact_assay_results", assay.withColumn("loaded_at", now), mode))
+        return dict(zip(["fact_sensor_readings", "fact_assay_results"], written))
 
     # ---- catalog and views
     def register_tables(self, database: str | None = None) -> None:

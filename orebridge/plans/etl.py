@@ -23,6 +23,7 @@ def run_etl(sensor_raw: DataFrame, assay_raw: DataFrame, warehouse: Warehouse,
     # The facts are computed and staged while the dimensions load; their key checks
     # against the dimensions run after both.
     counts, (sensor, assay) = run_concurrently(
+        warehouse.spark,
         lambda: warehouse.load_dimensions(build_dim_equipment(sensor_raw),
                                           build_dim_location(sensor_raw),
                                           build_dim_time(sensor_raw, assay_raw), mode=mode),

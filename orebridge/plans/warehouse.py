@@ -51,12 +51,12 @@ VIEW_NAMES = {
 }
 
 
-def run_concurrently(*tasks):
+def run_concurrently(spark: SparkSession, *tasks):
     """Run independent driver-side steps (each submits its own Spark jobs) at once;
     Spark schedules their jobs side by side. Threads inherit the caller's local
     properties (job group, scheduler pool). Results in order; the first error raises."""
     with ThreadPoolExecutor(max_workers=len(tasks)) as pool:
-        futures = [pool.submit(inheritable_thread_target(t)) for t in tasks]
+        futures = [pool.submit(inheritable_thread_target(spark)(t)) for t in tasks]
         return [f.result() for f in futures]
 
 
@@ -125,7 +125,7 @@ class Warehouse:
         incoming = {"dim_equipment": dim_equipment, "dim_location": dim_location,
                     "dim_time": dim_time}
         names = list(incoming)
-        counts = run_concurrently(*[
+        counts = run_concurrently(self.spark, *[
             (lambda n=n: self._load_dimension(n, incoming[n], mode == "overwrite"))
             for n in names])
         return dict(zip(names, counts))
@@ -182,6 +182,7 @@ class Warehouse:
     def stage_facts(sensor: DataFrame, assay: DataFrame) -> tuple[DataFrame, DataFrame]:
         """Compute both incoming facts once into reliable checkpoints."""
         return tuple(run_concurrently(
+            sensor.sparkSession,
             lambda: reliable_checkpoint(sensor.select(*schemas.SENSOR_FACT_COLUMNS)),
             lambda: reliable_checkpoint(assay.select(*schemas.ASSAY_FACT_COLUMNS))))
 
@@ -198,6 +199,7 @@ class Warehouse:
         self.check_facts(sensor, assay, replace=replace)
         sensor = sensor.withColumns({"loaded_at": now, PARTITION_COL: F.to_date(month_start("timestamp"))})
         written = run_concurrently(
+            self.spark,
             lambda: self._append_observed("fact_sensor_readings", sensor, mode),
             lambda: self._append_observed("fact_assay_results", assay.withColumn("loaded_at", now), mode))
         return dict(zip(["fact_sensor_readings", "fact_assay_results"], written))

@@ -70,6 +70,13 @@ def q_impute_group_median(spark, sf_dir):
     return impute_group_median(sensor_raw(spark, sf_dir), ["equipment_id"], "tonnage")
 
 
+@register("lineitem_price_median")
+def q_lineitem_price_median(spark, sf_dir):
+    """The same exact median on another table: three groups of about a third each."""
+    li = read_table(spark, sf_dir, "lineitem")
+    return group_median(li, ["l_returnflag"], "l_extendedprice")
+
+
 # ---- outliers
 @register("outlier_bounds")
 def q_outlier_bounds(spark, sf_dir):
@@ -165,6 +172,12 @@ def q_calibration_status(spark, sf_dir):
     return plans.calibration_report(plans.equipment_kpis(plans.reconciliation(*_facts(spark, sf_dir))))
 
 
+@register("calibration_lines")
+def q_calibration_lines(spark, sf_dir):
+    kpis = plans.equipment_kpis(plans.reconciliation(*_facts(spark, sf_dir)))
+    return plans.calibration_messages(kpis)
+
+
 @register("monthly_grade_trend")
 def q_monthly_grade_trend(spark, sf_dir):
     return plans.monthly_grade_trend(*_facts(spark, sf_dir))

@@ -190,6 +190,15 @@ WHERE rn = 1""",
     "group_median": BASE + """
 SELECT equipment_id, CAST(lo + hi AS DOUBLE) / 2 AS median FROM med""",
 
+    "lineitem_price_median": """
+SELECT l_returnflag, (min(l_extendedprice) + max(l_extendedprice)) / 2 AS median
+FROM (SELECT l_returnflag, l_extendedprice,
+             row_number() OVER (PARTITION BY l_returnflag ORDER BY l_extendedprice) AS rn,
+             count(*) OVER (PARTITION BY l_returnflag) AS n
+      FROM lineitem WHERE l_returnflag IS NOT NULL AND l_extendedprice IS NOT NULL)
+WHERE rn IN ((n + 1) // 2, (n + 2) // 2)
+GROUP BY l_returnflag""",
+
     "impute_group_median": BASE + f"""
 SELECT {proj(RAW_COLS)} FROM flagged""",
 
@@ -284,6 +293,11 @@ SELECT equipment_id, bias, mae,
        CASE WHEN abs(bias) <= 0.05 THEN 'OK' ELSE 'REVISAR CALIBRACIÓN' END AS status
 FROM kpis""",
 
+    "calibration_lines": BASE + """
+SELECT printf('Equipo %s: Bias = %.4f | MAE = %.4f -> %s', equipment_id, bias, mae,
+              CASE WHEN abs(bias) <= 0.05 THEN 'OK' ELSE 'REVISAR CALIBRACIÓN' END) AS line
+FROM kpis""",
+
     "monthly_grade_trend": BASE + f""",
 rows AS (
   SELECT s."timestamp", s.bench_id, s.tonnage, s.sensor_cu_grade, a.assay_cu_grade,

@@ -36,7 +36,7 @@ def main(argv=None) -> int:
     etl.add_argument("--append", action="store_true",
                      help="insert new dimension members and append checked facts")
     etl.add_argument("--clean-out", default=None,
-                     help="also write the flagged sensor rows as CSV here")
+                     help="also write the flagged sensor rows here (CSV if it ends in .csv, else Parquet)")
     rep = sub.add_parser("report")
     rep.add_argument("--warehouse", required=True)
     rep.add_argument("--sla-days", type=int, default=None)
@@ -52,8 +52,9 @@ def main(argv=None) -> int:
         start = time.perf_counter()
         sensor, assay = _read(spark, args.sensor, "sensor"), _read(spark, args.assay, "assay")
         if args.clean_out:
-            from orebridge.sources import write_csv
-            write_csv(plans.transform_sensor(sensor), args.clean_out)
+            from orebridge.sources import write_csv, write_parquet
+            write = write_csv if args.clean_out.rstrip("/").endswith(".csv") else write_parquet
+            write(plans.transform_sensor(sensor), args.clean_out)
         counts = plans.run_etl(sensor, assay, wh, refresh=not args.append)
         counts["elapsed_seconds"] = round(time.perf_counter() - start, 2)
         print(json.dumps(counts))

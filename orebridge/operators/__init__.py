@@ -4,17 +4,16 @@ from orebridge.operators.dedup import flag_duplicates, keep_first
 from orebridge.operators.inject import inject_defects, pick
 from orebridge.operators.joins import broadcast_if_bounded, join_on
 from orebridge.operators.keys import (KeyCheckError, assert_all_empty, assert_empty,
-                                      assert_no_nulls, assign_surrogate_keys, fk_orphans,
-                                      insert_if_absent, key_violations, max_key, null_rows,
-                                      null_violations)
+                                      assign_surrogate_keys, fk_orphans, insert_if_absent,
+                                      key_violations, max_key, null_rows)
 from orebridge.operators.median import group_median, impute_group_median
 from orebridge.operators.ordering import running_total
 from orebridge.operators.outliers import flag_outliers, sigma_bounds
 
 __all__ = [
-    "KeyCheckError", "assert_all_empty", "assert_empty", "assert_no_nulls", "assign_surrogate_keys",
+    "KeyCheckError", "assert_all_empty", "assert_empty", "assign_surrogate_keys",
     "broadcast_if_bounded", "fk_orphans", "flag_duplicates", "flag_outliers",
     "group_median", "impute_group_median", "inject_defects", "insert_if_absent",
-    "join_on", "keep_first", "key_violations", "max_key", "null_rows", "null_violations", "pick",
+    "join_on", "keep_first", "key_violations", "max_key", "null_rows", "pick",
     "running_total", "sigma_bounds",
 ]

@@ -25,11 +25,6 @@ def key_violations(df: DataFrame, key_cols: list[str]) -> DataFrame:
     return counts.where((F.col("n_rows") > 1) | any_null)
 
 
-def null_violations(df: DataFrame, cols: list[str]) -> DataFrame:
-    """One row: count of NULLs per NOT NULL column (all zero = passes)."""
-    return df.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in cols])
-
-
 def fk_orphans(child: DataFrame, parent: DataFrame, child_cols: list[str],
                parent_cols: list[str] | None = None) -> DataFrame:
     """Non-NULL child keys absent from the parent, with their row counts.
@@ -45,9 +40,7 @@ def fk_orphans(child: DataFrame, parent: DataFrame, child_cols: list[str],
 
 
 def assert_empty(check: DataFrame, what: str) -> None:
-    bad = check.limit(5).collect()
-    if bad:
-        raise KeyCheckError(f"{what}: {[r.asDict() for r in bad]}")
+    assert_all_empty({what: check})
 
 
 def null_rows(df: DataFrame, cols: list[str]) -> dict[str, DataFrame]:
@@ -75,13 +68,6 @@ def assert_all_empty(checks: dict[str, DataFrame], sample: int = 5) -> None:
         raise KeyCheckError("; ".join(f"{k}: {v}" for k, v in found.items()))
 
 
-def assert_no_nulls(check_row: DataFrame, what: str) -> None:
-    row = check_row.first().asDict()
-    bad = {c: n for c, n in row.items() if n}
-    if bad:
-        raise KeyCheckError(f"{what}: NULLs in NOT NULL columns {bad}")
-
-
 def insert_if_absent(incoming: DataFrame, existing: DataFrame, key_cols: list[str]) -> DataFrame:
     """Rows of `incoming` whose key is not in `existing` (INSERT .. ON CONFLICT DO NOTHING).
 
@@ -107,6 +93,5 @@ def max_key(existing: DataFrame, key: str):
     return existing.select(F.coalesce(F.max(key), F.lit(0)).cast("long")).scalar()
 
 
-__all__ = ["KeyCheckError", "assert_all_empty", "assert_empty", "assert_no_nulls", "assign_surrogate_keys",
-           "fk_orphans", "insert_if_absent", "key_violations", "max_key", "null_rows",
-           "null_violations"]
+__all__ = ["KeyCheckError", "assert_all_empty", "assert_empty", "assign_surrogate_keys",
+           "fk_orphans", "insert_if_absent", "key_violations", "max_key", "null_rows"]

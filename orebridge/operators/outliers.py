@@ -8,6 +8,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
+from orebridge.functions import non_negative
+
 
 def sigma_bounds(df: DataFrame, value_col: str, k: float = 3.0,
                  floor_at_zero: bool = True) -> DataFrame:
@@ -20,7 +22,7 @@ def sigma_bounds(df: DataFrame, value_col: str, k: float = 3.0,
     stats = df.agg(F.avg(v).alias("mean"), F.stddev_samp(v).alias("std"))
     lower = F.col("mean") - k * F.col("std")
     if floor_at_zero:
-        lower = F.greatest(F.lit(0.0), lower)
+        lower = non_negative(lower)
     return stats.select("mean", "std", lower.alias("lower_limit"),
                         (F.col("mean") + k * F.col("std")).alias("upper_limit"))
 

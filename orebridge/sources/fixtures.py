@@ -15,6 +15,7 @@ from decimal import Decimal
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from orebridge import schemas
+from orebridge.functions import add_days
 from orebridge.sources.files import read_table
 
 # Fixed values of the fixture definition.
@@ -34,7 +35,7 @@ def _grade(hundredths: Column) -> Column:
 
 
 def _reading_time() -> Column:
-    return F.col("ts") + F.make_dt_interval(days=(F.col("event_id") % DAY_SPREAD).cast("int"))
+    return add_days("ts", F.col("event_id") % DAY_SPREAD)
 
 
 def _props_number() -> Column:
@@ -87,8 +88,7 @@ def assay_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ev.select(
         F.col("event_id").alias("assay_id"),
         F.col("event_id").alias("reading_id"),
-        (F.col("ts") + F.make_dt_interval(days=shift)).alias("sample_date"),
-        (F.col("ts") + F.make_dt_interval(
-            days=(shift + 2 + F.col("event_id") % 4).cast("int"))).alias("result_date"),
+        add_days("ts", shift).alias("sample_date"),
+        add_days("ts", shift + 2 + F.col("event_id") % 4).alias("result_date"),
         _grade(F.greatest(F.lit(0), offset)).alias("assay_cu_grade"),
     )

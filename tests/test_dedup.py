@@ -32,3 +32,16 @@ def test_multi_column_order(spark):
     df = spark.createDataFrame([(1, "b", 1), (1, "a", 2), (1, "a", 1)], "k long, x string, y long")
     flags = {(r.x, r.y): r.is_duplicate for r in flag_duplicates(df, ["k"], ["x", "y"]).collect()}
     assert flags == {("a", 1): False, ("a", 2): True, ("b", 1): True}
+
+
+def test_file_order_keeps_first_line_of_a_parquet_file(spark, tmp_root):
+    from orebridge.sources import with_file_order
+    rows = [(7, "first"), (7, "second"), (8, "only"), (7, "third")]
+    path = f"{tmp_root}/ordered.parquet"
+    spark.createDataFrame(rows, "k long, tag string").coalesce(1).write.parquet(path)
+    df = with_file_order(spark.read.parquet(path))
+    kept = {r.k: r.tag for r in keep_first(df, ["k"], ["ingest_file", "ingest_row"]).collect()}
+    assert kept == {7: "first", 8: "only"}
+    flags = [r.is_duplicate for r in
+             flag_duplicates(df, ["k"], ["ingest_file", "ingest_row"]).orderBy("ingest_row").collect()]
+    assert flags == [False, True, False, True]

@@ -27,6 +27,8 @@ def test_assay_csv_read_and_turnaround(spark, tmp_root):
     dist = {r.turnaround_days: r["count"] for r in assays.groupBy("turnaround_days").count().collect()}
     assert dist == {Decimal("2.0"): 106, Decimal("3.0"): 94, Decimal("4.0"): 98, Decimal("5.0"): 102}
     assert assays.schema["assay_cu_grade"].dataType.simpleString() == "decimal(6,4)"
+    mean = plans.mean_turnaround(assays).first().mean_turnaround_days
+    assert round(mean, 2) == Decimal("3.49")
 
 
 def test_fixture_defects(spark):

@@ -18,13 +18,6 @@ import sys
 import time
 
 
-def _read(spark, path: str, kind: str):
-    from orebridge.sources import read_assay_csv, read_sensor_csv
-    if path.endswith(".csv") or path.endswith(".csv/"):
-        return read_sensor_csv(spark, path) if kind == "sensor" else read_assay_csv(spark, path)
-    return spark.read.parquet(path)
-
-
 def main(argv=None) -> int:
     ap = argparse.ArgumentParser(prog="orebridge")
     ap.add_argument("--master", default=None)
@@ -50,7 +43,7 @@ def main(argv=None) -> int:
 
     if args.cmd == "etl":
         start = time.perf_counter()
-        sensor, assay = _read(spark, args.sensor, "sensor"), _read(spark, args.assay, "assay")
+        sensor, assay = plans.extract(spark, args.sensor, args.assay)
         if args.clean_out:
             from orebridge.sources import write_csv, write_parquet
             write = write_csv if args.clean_out.rstrip("/").endswith(".csv") else write_parquet

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 from orebridge.plans.assay import assay_fact
 from orebridge.plans.dims import build_dim_equipment, build_dim_location, build_dim_time
@@ -10,6 +10,18 @@ from orebridge.plans.sensor import sensor_fact
 from orebridge.plans.warehouse import Warehouse, run_concurrently
 
 
+def _is_csv(path: str) -> bool:
+    return path.rstrip("/").endswith(".csv")
+
+
+def extract(spark: SparkSession, sensor_path: str, assay_path: str) -> tuple[DataFrame, DataFrame]:
+    """Raw sensor readings and assay results (A1, A2): typed CSV, or Parquet folders."""
+    from orebridge.sources import read_assay_csv, read_sensor_csv
+    sensor = read_sensor_csv(spark, sensor_path) if _is_csv(sensor_path) else spark.read.parquet(sensor_path)
+    assay = read_assay_csv(spark, assay_path) if _is_csv(assay_path) else spark.read.parquet(assay_path)
+    return sensor, assay
+
+
 def run_etl(sensor_raw: DataFrame, assay_raw: DataFrame, warehouse: Warehouse,
             refresh: bool = True) -> dict[str, int]:
     """Load raw sensor and assay rows into the warehouse; returns rows written per table.

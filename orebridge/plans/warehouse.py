@@ -100,18 +100,25 @@ class Warehouse:
         """SELECT COUNT(*) of a table, e.g. as a readiness check."""
         return self.table(name).count()
 
-    def _write(self, name: str, df: DataFrame, mode: str) -> None:
+    def _write(self, name: str, df: DataFrame, mode: str,
+               observation: Observation | None = None) -> None:
         df = df.select(*[F.col(f.name).cast(f.dataType) for f in _stored_schema(name).fields])
-        writer = df.write.mode(mode)
+        partition_by = []
         if name == "fact_sensor_readings":
-            df = df.sortWithinPartitions(PARTITION_COL, "reading_id")
-            writer = df.write.mode(mode).partitionBy(PARTITION_COL)
-        writer.parquet(self.path(name))
+            # Contiguous (month, reading_id) ranges per task: about one file per task and
+            # month folder instead of one per task x month, sorted for row-group skipping.
+            df = (df.repartitionByRange(PARTITION_COL, "reading_id")
+                  .sortWithinPartitions(PARTITION_COL, "reading_id"))
+            partition_by = [PARTITION_COL]
+        if observation is not None:
+            # above the exchange: the range sampling job must not add to the count
+            df = df.observe(observation, F.count(F.lit(1)).alias("rows"))
+        df.write.mode(mode).partitionBy(*partition_by).parquet(self.path(name))
 
     def _append_observed(self, name: str, df: DataFrame, mode: str = "append") -> int:
         """Write and return the row count, observed during the write."""
         obs = Observation(f"{name}_rows")
-        self._write(name, df.observe(obs, F.count(F.lit(1)).alias("rows")), mode)
+        self._write(name, df, mode, obs)
         return int(obs.get["rows"])
 
     # ---- dimensions
@@ -206,7 +213,7 @@ class Warehouse:
 
     # ---- catalog and views
     def register_tables(self, database: str | None = None) -> None:
-        """Expose the folders as catalog tables, with the reference's comments."""
+        """Expose the folders as catalog tables (with table comments)."""
         prefix = f"{database}." if database else ""
         if database:
             self.spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")

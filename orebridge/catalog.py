@@ -37,7 +37,7 @@ def register(name: str):
     return wrap
 
 
-def _facts(spark, sf_dir):
+def facts(spark, sf_dir):
     return plans.sensor_fact(sensor_raw(spark, sf_dir)), plans.assay_fact(assay_raw(spark, sf_dir))
 
 
@@ -147,7 +147,7 @@ def q_dim_insert_new(spark, sf_dir):
 @register("fk_orphans")
 def q_fk_orphans(spark, sf_dir):
     """Assays whose reading is not a QC-passed reading (they leave the reconciliation)."""
-    sensor, assay = _facts(spark, sf_dir)
+    sensor, assay = facts(spark, sf_dir)
     return fk_orphans(assay, sensor.where(F.col("qc_passed")), ["reading_id"])
 
 
@@ -159,28 +159,28 @@ def q_key_violations(spark, sf_dir):
 # ---- views and report
 @register("reconciliation")
 def q_reconciliation(spark, sf_dir):
-    return plans.reconciliation(*_facts(spark, sf_dir))
+    return plans.reconciliation(*facts(spark, sf_dir))
 
 
 @register("equipment_kpis")
 def q_equipment_kpis(spark, sf_dir):
-    return plans.equipment_kpis(plans.reconciliation(*_facts(spark, sf_dir)))
+    return plans.equipment_kpis(plans.reconciliation(*facts(spark, sf_dir)))
 
 
 @register("calibration_status")
 def q_calibration_status(spark, sf_dir):
-    return plans.calibration_report(plans.equipment_kpis(plans.reconciliation(*_facts(spark, sf_dir))))
+    return plans.calibration_report(plans.equipment_kpis(plans.reconciliation(*facts(spark, sf_dir))))
 
 
 @register("calibration_lines")
 def q_calibration_lines(spark, sf_dir):
-    kpis = plans.equipment_kpis(plans.reconciliation(*_facts(spark, sf_dir)))
+    kpis = plans.equipment_kpis(plans.reconciliation(*facts(spark, sf_dir)))
     return plans.calibration_messages(kpis)
 
 
 @register("monthly_grade_trend")
 def q_monthly_grade_trend(spark, sf_dir):
-    return plans.monthly_grade_trend(*_facts(spark, sf_dir))
+    return plans.monthly_grade_trend(*facts(spark, sf_dir))
 
 
 @register("data_quality_report")
@@ -200,7 +200,7 @@ def q_outliers_by_bench(spark, sf_dir):
 
 @register("run_summary")
 def q_run_summary(spark, sf_dir):
-    return plans.run_summary(*_facts(spark, sf_dir), sla_days=FIXTURE_SLA_DAYS)
+    return plans.run_summary(*facts(spark, sf_dir), sla_days=FIXTURE_SLA_DAYS)
 
 
 # ---- defect injection

@@ -123,13 +123,15 @@ def q_dim_equipment(spark, sf_dir):
 
 @register("dim_location")
 def q_dim_location(spark, sf_dir):
-    return plans.with_location_ids(plans.build_dim_location(sensor_raw(spark, sf_dir)))
+    return (plans.with_location_ids(plans.build_dim_location(sensor_raw(spark, sf_dir)))
+            .orderBy("location_id"))
 
 
 @register("dim_time")
 def q_dim_time(spark, sf_dir):
-    return plans.with_time_ids(plans.build_dim_time(sensor_raw(spark, sf_dir),
-                                                    assay_raw(spark, sf_dir)))
+    dim = plans.with_time_ids(plans.build_dim_time(sensor_raw(spark, sf_dir),
+                                                   assay_raw(spark, sf_dir)))
+    return dim.orderBy("full_date")          # dates ascending (F5)
 
 
 @register("dim_insert_new")

@@ -33,9 +33,10 @@ def running_total(df: DataFrame, order_cols: list[str], group_cols: list[str] =
     """Add `before` = sum of `weight` (1 per row if None) over rows that sort before
     this one within its group; and `total` = the group's sum, if asked for.
 
-    Order is ascending with NULLs first; ties are ordered arbitrarily but
-    consistently, so `before` values are distinct when weights are positive.
-    `materialized=True` says `df` is already a checkpoint or a written table, so
+    Order is ascending with NULLs first. (group, order) values should be distinct,
+    as they are for the callers here (distinct keys, or counts per distinct value):
+    equal values cannot be split across range partitions, and among ties the
+    running sum would depend on an arbitrary order. `materialized=True` says `df` is already a checkpoint or a written table, so
     reading it twice is cheap and it is not staged again.
     """
     group_cols, order_cols = list(group_cols), list(order_cols)

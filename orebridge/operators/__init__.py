@@ -2,7 +2,7 @@
 
 from orebridge.operators.dedup import flag_duplicates, keep_first
 from orebridge.operators.inject import inject_defects, pick
-from orebridge.operators.joins import broadcast_if_bounded, join_on
+from orebridge.operators.joins import broadcast_if_bounded, join_on, salted_join
 from orebridge.operators.keys import (KeyCheckError, assert_all_empty, assert_empty,
                                       assign_surrogate_keys, fk_orphans, insert_if_absent,
                                       key_violations, max_key, null_rows)
@@ -15,5 +15,5 @@ __all__ = [
     "broadcast_if_bounded", "fk_orphans", "flag_duplicates", "flag_outliers",
     "group_median", "impute_group_median", "inject_defects", "insert_if_absent",
     "join_on", "keep_first", "key_violations", "max_key", "null_rows", "pick",
-    "running_total", "sigma_bounds",
+    "running_total", "salted_join", "sigma_bounds",
 ]

@@ -47,3 +47,24 @@ def broadcast_if_bounded(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_RO
         return df, False
     local = df.sparkSession.createDataFrame(rows, df.schema)
     return F.broadcast(local), True
+
+
+# Salt buckets for shuffle joins against a per-key table too large to broadcast.
+DEFAULT_SALT_BUCKETS = 32
+
+
+def salted_join(big: DataFrame, small: DataFrame, keys: list[str], how: str = "left",
+                buckets: int = DEFAULT_SALT_BUCKETS) -> DataFrame:
+    """Join `big` to `small` (at most one row per key) when `small` is too large to
+    broadcast and a key of `big` may be hot.
+
+    Rows of `big` get a salt from a hash of all their columns (stable across reruns);
+    `small` is repeated once per salt value, so one hot key is spread over `buckets`
+    tasks. `small` grows by the factor `buckets`, not with the skew.
+    """
+    if how not in ("left", "inner"):
+        raise ValueError("salted_join supports left and inner joins")
+    salt = F.pmod(F.xxhash64(*[F.col(c) for c in big.columns]), F.lit(buckets))
+    salted_small = small.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(buckets - 1))))
+    return (big.withColumn("__salt", salt.cast("int"))
+            .join(salted_small, [*keys, "__salt"], how).drop("__salt"))

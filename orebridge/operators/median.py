@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from orebridge.operators.joins import (DEFAULT_MAX_BROADCAST_ROWS, all_of,
-                                       broadcast_if_bounded)
+                                       broadcast_if_bounded, salted_join)
 from orebridge.operators.ordering import DEFAULT_MAX_LOCAL_ROWS, running_total
 
 
@@ -44,14 +44,16 @@ def impute_group_median(df: DataFrame, group_cols: list[str], value_col: str,
     `medians` (group cols + `median`) may be computed on another frame, e.g. on all
     raw rows before de-duplication. Rows whose group is NULL come out NULL, as pandas
     `groupby().transform` leaves them. The median table is broadcast when it has at
-    most `max_broadcast_rows` rows (checked), otherwise joined by shuffle.
+    most `max_broadcast_rows` rows (checked); otherwise it is joined with a salted
+    shuffle join, so a group holding a large share of the rows is still split.
     """
     group_cols = list(group_cols)
     if medians is None:
         medians = group_median(df, group_cols, value_col)
     medians = medians.select(*group_cols, F.col("median").alias("__median"))
-    medians, _ = broadcast_if_bounded(medians, max_broadcast_rows)
-    joined = df.join(medians, group_cols, "left")
+    medians, bounded = broadcast_if_bounded(medians, max_broadcast_rows)
+    joined = (df.join(medians, group_cols, "left") if bounded
+              else salted_join(df, medians, group_cols, "left"))
     dtype = df.schema[value_col].dataType
     has_group = all_of(F.col(c).isNotNull() for c in group_cols)
     filled = F.when(has_group, F.coalesce(F.col(value_col), F.col("__median").cast(dtype)))

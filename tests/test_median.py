@@ -71,3 +71,16 @@ def test_running_total_hot_group_spans_partitions(spark):
     out = running_total(df, ["v"], ["g"], max_local_rows=0)
     assert out.where("g = 'hot' AND _before != v").count() == 0
     assert out.where("g = 'x' AND _before != v").count() == 0
+
+
+def test_imputation_without_broadcast_uses_salted_join(spark):
+    rows = [("hot", None if i % 10 == 0 else Decimal(i % 97)) for i in range(2000)]
+    rows += [("x", Decimal("5.00")), ("x", None), (None, Decimal("1.00"))]
+    df = spark.createDataFrame(rows, "g string, t decimal(8,2)").repartition(5)
+    broadcast = impute_group_median(df, ["g"], "t")
+    salted = impute_group_median(df, ["g"], "t", max_broadcast_rows=0)
+    assert "__salt" not in salted.columns and salted.columns == df.columns
+    assert salted.exceptAll(broadcast).count() == 0 and broadcast.exceptAll(salted).count() == 0
+    assert salted.count() == df.count()
+    plan = salted._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" not in plan and "__salt" in plan

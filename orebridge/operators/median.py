@@ -15,16 +15,35 @@ from orebridge.operators.joins import (DEFAULT_MAX_BROADCAST_ROWS, all_of,
 from orebridge.operators.ordering import DEFAULT_MAX_LOCAL_ROWS, running_total
 
 
+def value_counts(df: DataFrame, group_cols: list[str], value_col: str,
+                 count_col: str = "n") -> DataFrame:
+    """Rows per distinct (group, value), NULL groups and values left out."""
+    present = all_of(F.col(c).isNotNull() for c in [*group_cols, value_col])
+    return (df.where(present).groupBy(*group_cols, value_col)
+            .agg(F.count(F.lit(1)).alias(count_col)))
+
+
 def group_median(df: DataFrame, group_cols: list[str], value_col: str,
                  out: str = "median",
                  max_local_rows: int = DEFAULT_MAX_LOCAL_ROWS) -> DataFrame:
     """Interpolated median of `value_col` per group; NULL values and NULL groups are
     skipped (pandas `groupby().median()`). Decimal input keeps an exact midpoint."""
+    return median_from_counts(value_counts(df, group_cols, value_col), group_cols,
+                              value_col, out=out, max_local_rows=max_local_rows)
+
+
+def median_from_counts(counts: DataFrame, group_cols: list[str], value_col: str,
+                       count_col: str = "n", out: str = "median",
+                       max_local_rows: int = DEFAULT_MAX_LOCAL_ROWS,
+                       materialized: bool = False) -> DataFrame:
+    """Median per group from distinct (group, value, count) rows, as `value_counts`
+    makes them (or as a wider aggregation, e.g. grouping sets, produces them).
+    `materialized=True`: `counts` is already a checkpoint or a written table."""
     group_cols = list(group_cols)
-    present = all_of(F.col(c).isNotNull() for c in [*group_cols, value_col])
-    counts = df.where(present).groupBy(*group_cols, value_col).agg(F.count(F.lit(1)).alias("__n"))
+    counts = counts.select(*group_cols, value_col, F.col(count_col).alias("__n"))
     ranked = running_total(counts, [value_col], group_cols, weight="__n",
-                           before="__before", total="__size", max_local_rows=max_local_rows)
+                           before="__before", total="__size", max_local_rows=max_local_rows,
+                           materialized=materialized)
     lower = F.floor((F.col("__size") - 1) / 2)
     upper = F.floor(F.col("__size") / 2)
 

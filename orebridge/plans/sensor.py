@@ -3,6 +3,11 @@
 Order of steps, as the reference runs them: medians and outlier bounds come from
 all raw rows, duplicates included; imputation precedes the QC flag, so an imputed
 row can pass.
+
+The raw rows are read twice in all: once for the statistics (one aggregation with
+two grouping sets gives both the (equipment, tonnage) counts behind the exact
+medians and the global grade moments behind the bounds; the small result is
+checkpointed) and once for the rows themselves.
 """
 
 from __future__ import annotations
@@ -10,16 +15,39 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from orebridge import schemas
-from orebridge.operators import (flag_duplicates, flag_outliers, group_median,
-                                 impute_group_median, keep_first, sigma_bounds)
+from orebridge.operators import (flag_duplicates, flag_outliers, impute_group_median,
+                                 keep_first, limits_from_moments, median_from_counts, moments)
+from orebridge.session import reliable_checkpoint
 
 KEY, ORDER = ["reading_id"], ["ingest_seq"]
 GROUP, MEASURE, GRADE = ["equipment_id"], "tonnage", "sensor_cu_grade"
 
 
+_ALL_ROWS = 2 ** (len(GROUP) + 1) - 1      # grouping_id of the empty grouping set
+
+
+def raw_statistics(raw: DataFrame) -> DataFrame:
+    """One aggregation over the raw rows, two grouping sets: rows per (equipment,
+    tonnage) and, in the row of the empty set, the grade moments. Checkpointed."""
+    keys = [*GROUP, MEASURE]
+    stats = raw.groupingSets([keys, []], *keys).agg(
+        F.count(F.lit(1)).alias("n"), *moments(GRADE), F.grouping_id().alias("grouping"))
+    return reliable_checkpoint(stats)
+
+
+def medians_and_bounds(raw: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Exact tonnage median per equipment (D2) and the grade bounds (D1), both over
+    all raw rows, from one statistics pass."""
+    stats = raw_statistics(raw)
+    counts = stats.where((F.col("grouping") == 0) & F.col(MEASURE).isNotNull()
+                         & F.col(GROUP[0]).isNotNull())
+    medians = median_from_counts(counts, GROUP, MEASURE, materialized=True)
+    bounds = limits_from_moments(stats.where(F.col("grouping") == _ALL_ROWS).select("mean", "std"))
+    return medians, bounds
+
+
 def tonnage_medians(raw: DataFrame) -> DataFrame:
-    """Exact tonnage median per equipment over all raw rows."""
-    return group_median(raw, GROUP, MEASURE)
+    return medians_and_bounds(raw)[0]
 
 
 def _qc(df: DataFrame) -> DataFrame:
@@ -29,11 +57,11 @@ def _qc(df: DataFrame) -> DataFrame:
 
 def transform_sensor(raw: DataFrame, keep_raw_tonnage: bool = False) -> DataFrame:
     """Every raw row plus is_duplicate, is_outlier, qc_passed; tonnage imputed."""
+    medians, bounds = medians_and_bounds(raw)
     df = raw.withColumn("tonnage_raw", F.col(MEASURE)) if keep_raw_tonnage else raw
     flagged = flag_duplicates(df, KEY, ORDER)
-    filled = impute_group_median(flagged, GROUP, MEASURE, medians=tonnage_medians(raw))
-    out = _qc(flag_outliers(filled, GRADE, bounds_from=raw))
-    return out
+    filled = impute_group_median(flagged, GROUP, MEASURE, medians=medians)
+    return _qc(flag_outliers(filled, GRADE, bounds=bounds))
 
 
 def sensor_fact(raw: DataFrame) -> DataFrame:
@@ -44,15 +72,16 @@ def sensor_fact(raw: DataFrame) -> DataFrame:
     with one group-limited shuffle on reading_id instead of a flag join; the output
     stays partitioned on reading_id for the joins with the assays.
     """
+    medians, bounds = medians_and_bounds(raw)
     first = keep_first(raw, KEY, ORDER).withColumn("is_duplicate", F.lit(False))
-    filled = impute_group_median(first, GROUP, MEASURE, medians=tonnage_medians(raw))
-    out = _qc(flag_outliers(filled, GRADE, bounds_from=raw))
+    filled = impute_group_median(first, GROUP, MEASURE, medians=medians)
+    out = _qc(flag_outliers(filled, GRADE, bounds=bounds))
     return out.select(*schemas.SENSOR_FACT_COLUMNS)
 
 
 def outlier_bounds(raw: DataFrame) -> DataFrame:
-    """The bounds the outlier flag uses."""
-    return sigma_bounds(raw, GRADE)
+    """The bounds the outlier flag uses (D1): mean, std, lower_limit, upper_limit."""
+    return medians_and_bounds(raw)[1]
 
 
 def qc_counters(raw: DataFrame) -> DataFrame:

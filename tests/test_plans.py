@@ -48,6 +48,6 @@ def test_no_cross_products(spark, name):
 
 
 def test_scan_reads_only_needed_columns(spark):
-    plan = plan_of(catalog.QUERIES["outlier_bounds"](spark, SF_SMALL))
+    plan = plan_of(catalog.QUERIES["fact_assay"](spark, SF_SMALL))
     schemas = [line for line in plan.splitlines() if "ReadSchema" in line]
     assert schemas and all("props" not in s and "user_id" not in s for s in schemas)

@@ -12,12 +12,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from orebridge import plans
+from orebridge import plans, schemas
 from orebridge.functions import as_double
 from orebridge.operators import (fk_orphans, flag_duplicates, flag_outliers, group_median,
                                  impute_group_median, inject_defects, insert_if_absent,
                                  keep_first, key_violations, max_key)
 from orebridge.plans.dims import distinct_dates, time_attributes
+from orebridge.plans.warehouse import Warehouse
 from orebridge.session import scratch_path
 from orebridge.sources import (assay_raw, read_csv, read_table, sensor_base, sensor_raw,
                                write_csv)
@@ -43,17 +44,17 @@ def facts(spark, sf_dir):
 
 # ---- duplicates
 @register("duplicate_flags")
-def duplicate_flags(spark, sf_dir):
+def q_duplicate_flags(spark, sf_dir):
     return flag_duplicates(sensor_raw(spark, sf_dir), ["reading_id"], ["ingest_seq"])
 
 
 @register("dedup_keep_first")
-def dedup_keep_first(spark, sf_dir):
+def q_dedup_keep_first(spark, sf_dir):
     return keep_first(sensor_raw(spark, sf_dir), ["reading_id"], ["ingest_seq"])
 
 
 @register("dedup_lineitem")
-def dedup_lineitem(spark, sf_dir):
+def q_dedup_lineitem(spark, sf_dir):
     li = read_table(spark, sf_dir, "lineitem")
     key = ["l_orderkey", "l_linenumber"]
     return keep_first(li, key, [c for c in li.columns if c not in key])
@@ -224,8 +225,6 @@ def q_clean_csv_roundtrip(spark, sf_dir):
 @register("full_refresh_roundtrip")
 def q_full_refresh_roundtrip(spark, sf_dir):
     """Full ETL into a fresh warehouse folder (shared storage), the sensor fact read back."""
-    from orebridge import schemas
-    from orebridge.plans.warehouse import Warehouse
     wh = Warehouse(spark, scratch_path(spark, "warehouse"))
     plans.run_etl(sensor_raw(spark, sf_dir), assay_raw(spark, sf_dir), wh, refresh=True)
     return wh.table("fact_sensor_readings").select(*schemas.SENSOR_FACT_COLUMNS)

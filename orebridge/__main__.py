@@ -21,6 +21,9 @@ import time
 def main(argv=None) -> int:
     ap = argparse.ArgumentParser(prog="orebridge")
     ap.add_argument("--master", default=None)
+    ap.add_argument("--buckets", type=int, default=None,
+                    help="bucket both facts by reading_id (catalog tables) for shuffle-free joins")
+    ap.add_argument("--database", default="default", help="catalog database for bucketed facts")
     sub = ap.add_subparsers(dest="cmd", required=True)
     etl = sub.add_parser("etl")
     etl.add_argument("--sensor", required=True)
@@ -39,7 +42,7 @@ def main(argv=None) -> int:
     from orebridge.plans.warehouse import Warehouse
     from orebridge.session import build_session
     spark = build_session(args.master)
-    wh = Warehouse(spark, args.warehouse)
+    wh = Warehouse(spark, args.warehouse, buckets=args.buckets, database=args.database)
 
     if args.cmd == "etl":
         start = time.perf_counter()

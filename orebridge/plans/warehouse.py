@@ -12,7 +12,9 @@ write read the same rows without recomputing the transform.
 
 Layout (A19, the reference's indexes re-aimed): the sensor fact is partitioned by
 month of reading and sorted by reading_id inside each file, so month filters prune
-folders and reading_id lookups skip row groups by their min/max statistics.
+folders and reading_id lookups skip row groups by their min/max statistics. With
+`buckets=n` both facts are also bucketed by reading_id into n buckets (catalog
+tables at the same locations), so joining them on reading_id needs no shuffle.
 """
 
 from __future__ import annotations
@@ -67,18 +69,36 @@ def _stored_schema(name: str) -> T.StructType:
     return schema
 
 
+FACTS = ("fact_sensor_readings", "fact_assay_results")
+
+
 class Warehouse:
-    """Typed tables in `root` (a shared-storage URI on a cluster)."""
+    """Typed tables in `root` (a shared-storage URI on a cluster).
+
+    `buckets`: bucket both facts by reading_id (stored as catalog tables in
+    `database`, data at the same folders), for shuffle-free joins between them.
+    """
 
-    def __init__(self, spark: SparkSession, root: str):
+    def __init__(self, spark: SparkSession, root: str, buckets: int | None = None,
+                 database: str = "default"):
         self.spark = spark
         self.root = root.rstrip("/")
+        self.buckets = buckets
+        self.database = database
 
     # ---- tables
     def path(self, name: str) -> str:
         return f"{self.root}/{name}"
 
+    def _bucketed(self, name: str) -> bool:
+        return bool(self.buckets) and name in FACTS
+
+    def catalog_name(self, name: str) -> str:
+        return f"{self.database}.{name}"
+
     def exists(self, name: str) -> bool:
+        if self._bucketed(name):
+            return self.spark.catalog.tableExists(self.catalog_name(name))
         jvm = self.spark.sparkContext._jvm
         jpath = jvm.org.apache.hadoop.fs.Path(self.path(name))
         fs = jpath.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
@@ -91,6 +111,8 @@ class Warehouse:
                 self._write(name, self.spark.createDataFrame([], _stored_schema(name)), "overwrite")
 
     def table(self, name: str) -> DataFrame:
+        if self._bucketed(name):
+            return self.spark.table(self.catalog_name(name))
         reader = self.spark.read.schema(_stored_schema(name))
         if name == "fact_sensor_readings":
             reader = reader.option("basePath", self.path(name))
@@ -103,17 +125,24 @@ class Warehouse:
     def _write(self, name: str, df: DataFrame, mode: str,
                observation: Observation | None = None) -> None:
         df = df.select(*[F.col(f.name).cast(f.dataType) for f in _stored_schema(name).fields])
-        partition_by = []
-        if name == "fact_sensor_readings":
+        partition_by = [PARTITION_COL] if name == "fact_sensor_readings" else []
+        if self._bucketed(name):
+            # one bucket per task: files = buckets x month folders
+            df = df.repartition(self.buckets, "reading_id")
+        elif partition_by:
             # Contiguous (month, reading_id) ranges per task: about one file per task and
             # month folder instead of one per task x month, sorted for row-group skipping.
             df = (df.repartitionByRange(PARTITION_COL, "reading_id")
                   .sortWithinPartitions(PARTITION_COL, "reading_id"))
-            partition_by = [PARTITION_COL]
         if observation is not None:
             # above the exchange: the range sampling job must not add to the count
             df = df.observe(observation, F.count(F.lit(1)).alias("rows"))
-        df.write.mode(mode).partitionBy(*partition_by).parquet(self.path(name))
+        writer = df.write.mode(mode).partitionBy(*partition_by)
+        if self._bucketed(name):
+            (writer.bucketBy(self.buckets, "reading_id").sortBy("reading_id")
+             .option("path", self.path(name)).saveAsTable(self.catalog_name(name)))
+        else:
+            writer.parquet(self.path(name))
 
     def _append_observed(self, name: str, df: DataFrame, mode: str = "append") -> int:
         """Write and return the row count, observed during the write."""
@@ -219,6 +248,11 @@ class Warehouse:
             self.spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
         for name in schemas.TABLES:
             comment = TABLE_COMMENTS.get(name)
+            if self._bucketed(name):   # already a catalog table (bucket spec kept there)
+                if comment:
+                    self.spark.sql(f"ALTER TABLE {self.catalog_name(name)} SET TBLPROPERTIES "
+                                   "('comment' = '" + comment.replace("'", "''") + "')")
+                continue
             ddl = f"CREATE TABLE IF NOT EXISTS {prefix}{name} USING parquet LOCATION '{self.path(name)}'"
             if comment:
                 ddl += " COMMENT '" + comment.replace("'", "''") + "'"

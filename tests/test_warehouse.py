@@ -88,3 +88,22 @@ def test_catalog_tables_with_comments(spark, tmp_root):
     # month partitions prune: one month read, fewer rows
     one = spark.table("grade_wh.fact_sensor_readings").where("reading_month = DATE'2024-01-01'")
     assert 0 < one.count() < wh.row_count("fact_sensor_readings")
+
+
+def test_bucketed_facts_join_without_shuffle(spark, tmp_root):
+    from tests.test_plans import no_broadcast, plan_of
+    raw_s, raw_a = sensor_raw(spark, SF_SMALL), assay_raw(spark, SF_SMALL)
+    plain = Warehouse(spark, tmp_root + "/plain")
+    plans.run_etl(raw_s, raw_a, plain, refresh=True)
+    spark.sql("CREATE DATABASE IF NOT EXISTS bucket_wh")
+    wh = Warehouse(spark, tmp_root + "/bucketed", buckets=4, database="bucket_wh")
+    plans.run_etl(raw_s, raw_a, wh, refresh=True)
+    with no_broadcast(spark):
+        recon = plans.reconciliation(wh.table("fact_sensor_readings"), wh.table("fact_assay_results"))
+        plan = plan_of(recon)
+    assert "SortMergeJoin" in plan and "Exchange hashpartitioning(reading_id" not in plan
+    expected = plans.reconciliation(plain.table("fact_sensor_readings"), plain.table("fact_assay_results"))
+    assert recon.exceptAll(expected).count() == 0 and expected.exceptAll(recon).count() == 0
+    # checked append still rejects stored keys on the bucketed tables
+    with pytest.raises(KeyCheckError):
+        plans.run_etl(raw_s, raw_a, wh, refresh=False)

@@ -110,8 +110,22 @@ class Warehouse:
             if not self.exists(name):
                 self._write(name, self.spark.createDataFrame([], _stored_schema(name)), "overwrite")
 
+    def _register_bucketed(self, name: str) -> None:
+        """Re-create the catalog entry of a bucketed fact from its folder (e.g. in a
+        new session without a persistent metastore)."""
+        cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in _stored_schema(name).fields)
+        parts = f"PARTITIONED BY ({PARTITION_COL}) " if name == "fact_sensor_readings" else ""
+        self.spark.sql(
+            f"CREATE TABLE IF NOT EXISTS {self.catalog_name(name)} ({cols}) USING parquet "
+            f"{parts}CLUSTERED BY (reading_id) SORTED BY (reading_id) INTO {self.buckets} BUCKETS "
+            f"LOCATION '{self.path(name)}'")
+        if parts:
+            self.spark.sql(f"MSCK REPAIR TABLE {self.catalog_name(name)}")
+
     def table(self, name: str) -> DataFrame:
         if self._bucketed(name):
+            if not self.spark.catalog.tableExists(self.catalog_name(name)):
+                self._register_bucketed(name)
             return self.spark.table(self.catalog_name(name))
         reader = self.spark.read.schema(_stored_schema(name))
         if name == "fact_sensor_readings":

@@ -104,6 +104,13 @@ def test_bucketed_facts_join_without_shuffle(spark, tmp_root):
     assert "SortMergeJoin" in plan and "Exchange hashpartitioning(reading_id" not in plan
     expected = plans.reconciliation(plain.table("fact_sensor_readings"), plain.table("fact_assay_results"))
     assert recon.exceptAll(expected).count() == 0 and expected.exceptAll(recon).count() == 0
+    # a session without the catalog entries finds the bucketed facts again
+    spark.sql("DROP TABLE bucket_wh.fact_sensor_readings")
+    spark.sql("DROP TABLE bucket_wh.fact_assay_results")
+    again = plans.reconciliation(wh.table("fact_sensor_readings"), wh.table("fact_assay_results"))
+    assert again.exceptAll(expected).count() == 0 and again.count() == expected.count()
+    with no_broadcast(spark):
+        assert "Exchange hashpartitioning(reading_id" not in plan_of(again)
     # checked append still rejects stored keys on the bucketed tables
     with pytest.raises(KeyCheckError):
         plans.run_etl(raw_s, raw_a, wh, refresh=False)

@@ -60,3 +60,31 @@ def test_exact_mean_rounds_half_up(spark, units):
     got = df.agg(round_half_up(exact_mean("x"), 2).alias("m")).first().m
     want = (sum(vals) / Decimal(len(vals))).quantize(Decimal("0.01"), rounding=ROUND_HALF_UP)
     assert got == want
+
+
+@SETTINGS
+@given(st.lists(st.tuples(st.sampled_from(["a", "b", "c"]), st.integers(1, 5)), min_size=1, max_size=40),
+       st.sampled_from([0, 1_000]))
+def test_running_total_matches_prefix_sums(spark, rows, limit):
+    from orebridge.operators import running_total
+    data = [(g, i, w) for i, (g, w) in enumerate(rows)]          # (group, distinct order, weight)
+    df = spark.createDataFrame(data, "g string, v long, w long").repartition(3)
+    got = {(r.g, r.v): (r.before, r.total) for r in
+           running_total(df, ["v"], ["g"], weight="w", before="before", total="total",
+                         max_local_rows=limit).collect()}
+    for g, v, _ in data:
+        prior = sum(w for gg, vv, w in data if gg == g and vv < v)
+        total = sum(w for gg, _, w in data if gg == g)
+        assert got[(g, v)] == (prior, total)
+
+
+@SETTINGS
+@given(st.lists(st.tuples(st.sampled_from(["hot", "x", "y", None]), st.integers(0, 9)),
+                min_size=1, max_size=60))
+def test_salted_join_equals_plain_left_join(spark, rows):
+    from orebridge.operators import salted_join
+    big = spark.createDataFrame(rows, "k string, v long")
+    small = spark.createDataFrame([("hot", 1.5), ("y", 2.5)], "k string, m double")
+    plain = big.join(small, ["k"], "left")
+    salted = salted_join(big, small, ["k"], "left", buckets=4).select(*plain.columns)
+    assert sorted(map(tuple, salted.collect()), key=repr) == sorted(map(tuple, plain.collect()), key=repr)

@@ -1,6 +1,7 @@
 """Command line: the two jobs a user runs.
 
     python -m orebridge etl    --sensor S.csv --assay A.csv --warehouse DIR [--append]
+                               [--processed DIR] [--counters]
     python -m orebridge report --warehouse DIR [--sla-days 5]
 
 `etl` reads the raw CSV files (or Parquet folders, by extension), cleans and
@@ -31,8 +32,11 @@ def main(argv=None) -> int:
     etl.add_argument("--warehouse", required=True)
     etl.add_argument("--append", action="store_true",
                      help="insert new dimension members and append checked facts")
-    etl.add_argument("--clean-out", default=None,
-                     help="also write the flagged sensor rows here (CSV if it ends in .csv, else Parquet)")
+    etl.add_argument("--processed", default=None,
+                     help="also write the cleaned sets as CSV: DIR/sensor_readings_clean "
+                          "(every row, with flags) and DIR/assay_results_clean (with turnaround)")
+    etl.add_argument("--counters", action="store_true",
+                     help="print the QC run counters and outlier bounds")
     rep = sub.add_parser("report")
     rep.add_argument("--warehouse", required=True)
     rep.add_argument("--sla-days", type=int, default=None)
@@ -47,10 +51,15 @@ def main(argv=None) -> int:
     if args.cmd == "etl":
         start = time.perf_counter()
         sensor, assay = plans.extract(spark, args.sensor, args.assay)
-        if args.clean_out:
-            from orebridge.sources import write_csv, write_parquet
-            write = write_csv if args.clean_out.rstrip("/").endswith(".csv") else write_parquet
-            write(plans.transform_sensor(sensor), args.clean_out)
+        if args.processed:
+            from orebridge.sources import write_csv
+            out = args.processed.rstrip("/")
+            write_csv(plans.transform_sensor(sensor), f"{out}/sensor_readings_clean")
+            write_csv(plans.transform_assay(assay), f"{out}/assay_results_clean")
+        if args.counters:
+            counters = plans.qc_counters(sensor).first().asDict()
+            bounds = plans.outlier_bounds(sensor).first().asDict()
+            print(json.dumps({**counters, **{k: bounds[k] for k in ("lower_limit", "upper_limit")}}))
         counts = plans.run_etl(sensor, assay, wh, refresh=not args.append)
         counts["elapsed_seconds"] = round(time.perf_counter() - start, 2)
         print(json.dumps(counts))

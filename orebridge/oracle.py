@@ -116,9 +116,10 @@ flagged AS (
          CASE WHEN r.equipment_id IS NULL THEN NULL ELSE coalesce(r.tonnage, m.fill) END AS tonnage,
          r.tonnage AS tonnage_raw,
          row_number() OVER (PARTITION BY r.reading_id ORDER BY r.ingest_seq) > 1 AS is_duplicate,
-         coalesce(CAST(r.sensor_cu_grade AS DOUBLE) > b.upper_limit
-                  OR CAST(r.sensor_cu_grade AS DOUBLE) < b.lower_limit, false) AS is_outlier
-  FROM sensor_raw r LEFT JOIN med_fill m ON r.equipment_id = m.equipment_id CROSS JOIN bounds b
+         coalesce(CAST(r.sensor_cu_grade AS DOUBLE) > (SELECT upper_limit FROM bounds)
+                  OR CAST(r.sensor_cu_grade AS DOUBLE) < (SELECT lower_limit FROM bounds),
+                  false) AS is_outlier
+  FROM sensor_raw r LEFT JOIN med_fill m ON r.equipment_id = m.equipment_id
 ),
 sensor_t AS (
   SELECT *, NOT is_duplicate AND NOT is_outlier AND tonnage IS NOT NULL AS qc_passed FROM flagged
@@ -338,12 +339,12 @@ a AS (
          count(*) FILTER (WHERE turnaround_days > 4) AS sla_violations
   FROM fact_assay
 )
-SELECT count(*) AS readings, any_value(a.assays) AS assays,
+SELECT count(*) AS readings, (SELECT assays FROM a) AS assays,
        {ratio('count(*) FILTER (WHERE qc_passed) * 10000', 'NULLIF(count(*), 0)', 2)} AS qc_pass_rate_pct,
-       {ratio('any_value(a.assays) * 1000', 'NULLIF(count(*), 0)', 1)} AS assay_coverage_pct,
-       any_value(a.mean_t) AS mean_turnaround_days,
-       any_value(a.sla_violations) AS sla_violations
-FROM fact_sensor CROSS JOIN a""",
+       {ratio('(SELECT assays FROM a) * 1000', 'NULLIF(count(*), 0)', 1)} AS assay_coverage_pct,
+       (SELECT mean_t FROM a) AS mean_turnaround_days,
+       (SELECT sla_violations FROM a) AS sla_violations
+FROM fact_sensor""",
 
     "inject_defects": BASE + f""",
 base AS ({SENSOR_BASE}

@@ -39,10 +39,14 @@ def flag_duplicates(df: DataFrame, key_cols: list[str], order_cols: list[str],
     """
     key_cols, order_cols = list(key_cols), list(order_cols)
     if len(order_cols) == 1:
+        # min() skips NULLs: NULL order values come last, as in keep_first
         first = F.min(order_cols[0]).alias(order_cols[0])
         firsts = df.groupBy(*key_cols).agg(first)
     else:
-        packed = df.groupBy(*key_cols).agg(F.min(F.struct(*order_cols)).alias("__first"))
+        # (isnull, value) pairs make NULLs sort last inside the struct, as in keep_first
+        fields = [x for i, c in enumerate(order_cols)
+                  for x in (F.col(c).isNull().alias(f"__null{i}"), F.col(c).alias(c))]
+        packed = df.groupBy(*key_cols).agg(F.min(F.struct(*fields)).alias("__first"))
         firsts = packed.select(*key_cols, *[F.col(f"__first.{c}").alias(c) for c in order_cols])
     firsts = firsts.withColumn("__is_first", F.lit(True))
     joined = join_on(df, firsts, key_cols + order_cols, "left", null_safe=True)

@@ -88,3 +88,17 @@ def test_salted_join_equals_plain_left_join(spark, rows):
     plain = big.join(small, ["k"], "left")
     salted = salted_join(big, small, ["k"], "left", buckets=4).select(*plain.columns)
     assert sorted(map(tuple, salted.collect()), key=repr) == sorted(map(tuple, plain.collect()), key=repr)
+
+
+@SETTINGS
+@given(st.lists(st.tuples(st.integers(0, 4), st.one_of(st.none(), st.integers(0, 3))),
+                min_size=1, max_size=40))
+def test_flags_and_keep_first_agree_with_nulls_in_order(spark, rows):
+    # order = (a, b) with b unique per row, a possibly NULL: first rows must agree
+    data = [(k, a, i) for i, (k, a) in enumerate(rows)]
+    df = spark.createDataFrame(data, "k long, a long, b long")
+    flagged = {r.b for r in flag_duplicates(df, ["k"], ["a", "b"]).where("NOT is_duplicate").collect()}
+    kept = {r.b for r in keep_first(df, ["k"], ["a", "b"]).collect()}
+    assert flagged == kept
+    pdf = pd.DataFrame(data, columns=["k", "a", "b"]).sort_values(["a", "b"], na_position="last")
+    assert kept == set(pdf.drop_duplicates("k", keep="first")["b"])

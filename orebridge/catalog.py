@@ -22,7 +22,7 @@ from orebridge.plans.dims import distinct_dates, time_attributes
 from orebridge.plans.warehouse import Warehouse
 from orebridge.session import scratch_path
 from orebridge.sources import (assay_raw, read_csv, read_table, sensor_base, sensor_raw,
-                               write_csv)
+                               with_file_order, write_csv)
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -61,6 +61,16 @@ def q_dedup_lineitem(spark, sf_dir):
     return keep_first(li, key, [c for c in li.columns if c not in key])
 
 
+@register("lineitem_duplicate_flags")
+def q_lineitem_duplicate_flags(spark, sf_dir):
+    """Every lineitem row flagged; order = the other columns, then file position."""
+    li = read_table(spark, sf_dir, "lineitem")
+    key = ["l_orderkey", "l_linenumber"]
+    order = [c for c in li.columns if c not in key] + ["ingest_file", "ingest_row"]
+    flagged = flag_duplicates(with_file_order(li), key, order)
+    return flagged.drop("ingest_file", "ingest_row")
+
+
 # ---- median and imputation
 @register("group_median")
 def q_group_median(spark, sf_dir):

@@ -188,6 +188,13 @@ FROM (SELECT *, row_number() OVER (
       FROM lineitem)
 WHERE rn = 1""",
 
+    "lineitem_duplicate_flags": """
+SELECT *, row_number() OVER (
+         PARTITION BY l_orderkey, l_linenumber
+         ORDER BY l_partkey, l_suppkey, l_quantity, l_extendedprice, l_discount, l_tax,
+                  l_returnflag, l_linestatus, l_shipdate) > 1 AS is_duplicate
+FROM lineitem""",
+
     "group_median": BASE + """
 SELECT equipment_id, CAST(lo + hi AS DOUBLE) / 2 AS median FROM med""",
 

@@ -65,3 +65,10 @@ def test_elapsed_days_and_overflow(spark):
     except Exception:  # noqa: BLE001 - ANSI overflow
         raised = True
     assert raised
+
+
+def test_nan_to_null(spark):
+    from orebridge.functions import nan_to_null
+    df = spark.createDataFrame([(float("nan"), 1.0), (2.0, float("nan"))], "a double, b double")
+    rows = nan_to_null(df).collect()
+    assert (rows[0].a, rows[0].b, rows[1].a, rows[1].b) == (None, 1.0, 2.0, None)

@@ -23,6 +23,9 @@ def test_full_refresh_then_reload_is_idempotent_for_dims(spark, tmp_root):
     with pytest.raises(KeyCheckError):
         plans.run_etl(raw_s, raw_a, wh, refresh=False)
     assert wh.row_count("fact_sensor_readings") == counts["fact_sensor_readings"]
+    # column defaults at load: load / creation timestamps filled on every row
+    assert wh.table("fact_sensor_readings").where("loaded_at IS NULL").count() == 0
+    assert wh.table("dim_location").where("created_at IS NULL").count() == 0
     views = wh.register_views()
     assert spark.table("v_equipment_kpis").count() == views["equipment_kpis"].count() > 0
 

@@ -66,3 +66,14 @@ def test_sensor_csv_exact_copies_keep_first_line(spark, tmp_root):
     assert t[1].tonnage == Decimal("100.00")    # median of 100, 100, 120 fills the NULL
     fact = {r.reading_id: r.tonnage for r in plans.sensor_fact(raw).collect()}
     assert fact == {1: Decimal("100.00"), 2: Decimal("100.00")}
+
+
+def test_csv_header_must_match_schema(spark, tmp_root):
+    import pytest
+    from orebridge.sources import read_assay_csv
+    path = os.path.join(tmp_root, "swapped.csv")
+    with open(path, "w") as fh:
+        fh.write("reading_id,assay_id,sample_date,result_date,assay_cu_grade\n"
+                 "5,1,2025-01-01 00:00:00,2025-01-03 00:00:00,0.5\n")
+    with pytest.raises(Exception):
+        read_assay_csv(spark, path).collect()

@@ -51,6 +51,8 @@ def main(argv=None) -> int:
     if args.cmd == "etl":
         start = time.perf_counter()
         sensor, assay = plans.extract(spark, args.sensor, args.assay)
+        from orebridge.session import size_shuffle_partitions
+        size_shuffle_partitions(spark, sensor, assay)
         if args.processed:
             from orebridge.sources import write_csv
             out = args.processed.rstrip("/")

@@ -79,3 +79,25 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     base = checkpoint_dir(spark).rstrip("/")
     return f"{base}/{name}-{uuid.uuid4().hex}"
 
+
+
+def input_bytes(df: DataFrame) -> int:
+    """Catalyst's size estimate of `df` (for file scans: the bytes of the files read)."""
+    size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+    return int(size if isinstance(size, int) else size.toString())
+
+
+def size_shuffle_partitions(spark: SparkSession, *inputs: DataFrame,
+                            target_partition_bytes: int = 256 << 20,
+                            expansion: float = 3.0) -> int:
+    """Raise `spark.sql.shuffle.partitions` so that a shuffle of all inputs lands in
+    partitions of about `target_partition_bytes` (file bytes x `expansion` for the
+    decoded rows). Never lowers the setting; AQE coalesces partitions that turn out
+    small. Returns the value in force."""
+    current = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    total = sum(input_bytes(df) for df in inputs)
+    needed = int(total * expansion // target_partition_bytes) + 1
+    if needed > current:
+        spark.conf.set("spark.sql.shuffle.partitions", str(needed))
+        return needed
+    return current

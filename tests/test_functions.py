@@ -72,3 +72,17 @@ def test_nan_to_null(spark):
     df = spark.createDataFrame([(float("nan"), 1.0), (2.0, float("nan"))], "a double, b double")
     rows = nan_to_null(df).collect()
     assert (rows[0].a, rows[0].b, rows[1].a, rows[1].b) == (None, 1.0, 2.0, None)
+
+
+def test_shuffle_partitions_sized_from_input(spark):
+    from orebridge.session import input_bytes, size_shuffle_partitions
+    from tests.conftest import SF_CHECK
+    li = spark.read.parquet(f"{SF_CHECK}/lineitem.parquet")
+    assert input_bytes(li) > 100_000
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        assert size_shuffle_partitions(spark, li) == int(old)          # small input: unchanged
+        n = size_shuffle_partitions(spark, li, target_partition_bytes=1 << 16)
+        assert n > int(old) and spark.conf.get("spark.sql.shuffle.partitions") == str(n)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", old)

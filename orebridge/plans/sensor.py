@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame, functions as F
 from orebridge import schemas
 from orebridge.operators import (flag_duplicates, flag_outliers, impute_group_median,
                                  keep_first, limits_from_moments, median_from_counts, moments)
+from orebridge.operators.joins import all_of
 from orebridge.session import reliable_checkpoint
 
 KEY, ORDER = ["reading_id"], ["ingest_seq"]
@@ -39,8 +40,8 @@ def medians_and_bounds(raw: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Exact tonnage median per equipment (D2) and the grade bounds (D1), both over
     all raw rows, from one statistics pass."""
     stats = raw_statistics(raw)
-    counts = stats.where((F.col("grouping") == 0) & F.col(MEASURE).isNotNull()
-                         & F.col(GROUP[0]).isNotNull())
+    present = all_of(F.col(c).isNotNull() for c in [*GROUP, MEASURE])
+    counts = stats.where((F.col("grouping") == 0) & present)
     medians = median_from_counts(counts, GROUP, MEASURE, materialized=True)
     bounds = limits_from_moments(stats.where(F.col("grouping") == _ALL_ROWS).select("mean", "std"))
     return medians, bounds

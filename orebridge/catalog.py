@@ -246,8 +246,9 @@ def q_warehouse_report_kpis(spark, sf_dir):
     """Full ETL into a fresh bucketed warehouse, then the KPI view read by name (A13,
     A17) over the stored facts; the fact join there needs no shuffle."""
     database = f"orebridge_{uuid.uuid4().hex[:12]}"
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
-    wh = Warehouse(spark, scratch_path(spark, "warehouse_bucketed"), buckets=8, database=database)
+    root = scratch_path(spark, "warehouse_bucketed")
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {database} LOCATION '{root}/_catalog'")
+    wh = Warehouse(spark, root, buckets=8, database=database)
     plans.run_etl(sensor_raw(spark, sf_dir), assay_raw(spark, sf_dir), wh, refresh=True)
     wh.register_views()
     return spark.table("v_equipment_kpis")

@@ -13,7 +13,8 @@ SF_CHECK = "/root/testdata/sf0.01"
 @pytest.fixture(scope="session")
 def spark():
     from orebridge.session import build_session
-    s = build_session("local[4]", app="orebridge-tests", shuffle_partitions=4)
+    s = build_session("local[4]", app="orebridge-tests", shuffle_partitions=4,
+                      extra={"spark.sql.warehouse.dir": tempfile.mkdtemp(prefix="orebridge-wh-")})
     if not s.sparkContext.getCheckpointDir() and not s.conf.get("spark.checkpoint.dir", None):
         s.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="orebridge-test-ckpt-"))
     yield s

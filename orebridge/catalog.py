@@ -66,8 +66,8 @@ def q_lineitem_duplicate_flags(spark, sf_dir):
     """Every lineitem row flagged; order = the other columns, then file position."""
     li = read_table(spark, sf_dir, "lineitem")
     key = ["l_orderkey", "l_linenumber"]
-    order = [c for c in li.columns if c not in key] + ["ingest_file", "ingest_row"]
-    flagged = flag_duplicates(with_file_order(li), key, order)
+    order = [c for c in li.columns if c not in key]
+    flagged = flag_duplicates(with_file_order(li), key, order, row_id=["ingest_file", "ingest_row"])
     return flagged.drop("ingest_file", "ingest_row")
 
 

@@ -29,15 +29,23 @@ def keep_first(df: DataFrame, key_cols: list[str], order_cols: list[str]) -> Dat
 
 
 def flag_duplicates(df: DataFrame, key_cols: list[str], order_cols: list[str],
-                    out: str = "is_duplicate") -> DataFrame:
+                    out: str = "is_duplicate", row_id: list[str] | None = None) -> DataFrame:
     """Add `out`: TRUE on every row of a key after the first in `order_cols` order.
 
     The first order value per key comes from a hash aggregation (partial on the map
     side), then joins back on key + order value. Because the order value is part of
     the join key, the rows of one hot key spread over all tasks. The order must be
     unique within a key (an arrival sequence is); NULL keys count as one key.
+
+    `row_id`: columns that identify a row (e.g. the file position), used as the last
+    sort keys; the join back then matches on key + row_id only, not on every
+    order column.
     """
     key_cols, order_cols = list(key_cols), list(order_cols)
+    if row_id:
+        order_cols = order_cols + [c for c in row_id if c not in order_cols]
+    # columns matched in the join back: the row id when there is one, else the order
+    match = list(row_id) if row_id and len(order_cols) > 1 else order_cols
     if len(order_cols) == 1:
         # min() skips NULLs: NULL order values come last, as in keep_first
         first = F.min(order_cols[0]).alias(order_cols[0])
@@ -47,8 +55,8 @@ def flag_duplicates(df: DataFrame, key_cols: list[str], order_cols: list[str],
         fields = [x for i, c in enumerate(order_cols)
                   for x in (F.col(c).isNull().alias(f"__null{i}"), F.col(c).alias(c))]
         packed = df.groupBy(*key_cols).agg(F.min(F.struct(*fields)).alias("__first"))
-        firsts = packed.select(*key_cols, *[F.col(f"__first.{c}").alias(c) for c in order_cols])
+        firsts = packed.select(*key_cols, *[F.col(f"__first.{c}").alias(c) for c in match])
     firsts = firsts.withColumn("__is_first", F.lit(True))
-    joined = join_on(df, firsts, key_cols + order_cols, "left", null_safe=True)
+    joined = join_on(df, firsts, key_cols + match, "left", null_safe=True)
     return (joined.withColumn(out, F.col("__is_first").isNull())
             .select(*df.columns, out))

@@ -45,3 +45,15 @@ def test_file_order_keeps_first_line_of_a_parquet_file(spark, tmp_root):
     flags = [r.is_duplicate for r in
              flag_duplicates(df, ["k"], ["ingest_file", "ingest_row"]).orderBy("ingest_row").collect()]
     assert flags == [False, True, False, True]
+
+
+def test_row_id_resolves_exact_copies(spark, tmp_root):
+    from orebridge.sources import with_file_order
+    rows = [(1, "x", 5.0), (1, "x", 5.0), (1, "a", 9.0), (2, "y", 1.0), (2, "y", 1.0)]
+    path = f"{tmp_root}/copies.parquet"
+    spark.createDataFrame(rows, "k long, s string, v double").coalesce(1).write.parquet(path)
+    df = with_file_order(spark.read.parquet(path))
+    flagged = flag_duplicates(df, ["k"], ["s", "v"], row_id=["ingest_file", "ingest_row"])
+    got = [(r.k, r.s, r.is_duplicate) for r in flagged.orderBy("ingest_row").collect()]
+    # key 1: ("a", 9.0) sorts first; both exact copies of ("x", 5.0) are duplicates
+    assert got == [(1, "x", True), (1, "x", True), (1, "a", False), (2, "y", False), (2, "y", True)]

@@ -34,11 +34,12 @@ def inject_defects(df: DataFrame, key: str = "reading_id", null_col: str = "tonn
                    scale_col: str = "sensor_cu_grade", null_rate: float = 0.01,
                    outlier_rate: float = 0.005, duplicate_rate: float = 0.003,
                    factor: int = 10, salts: tuple[int, int, int] = (1, 2, 3),
-                   seq_col: str | None = "ingest_seq", seq_offset: int = 1 << 40) -> DataFrame:
+                   seq_col: str | None = "ingest_seq", seq_offset: int = 1 << 62) -> DataFrame:
     """NULL `null_col` on `null_rate` of rows, multiply `scale_col` by `factor` on
     `outlier_rate`, then append copies of `duplicate_rate` of the modified rows.
 
-    Copies arrive later: their `seq_col` (if present) is shifted by `seq_offset`.
+    Copies arrive later: their `seq_col` (if present) is shifted by `seq_offset`
+    (2^62: above any scan-derived sequence, see `read_sensor_csv`, below overflow).
     Scaling raises if the result no longer fits the column type (ANSI).
     """
     out = null_some(df, null_col, pick(key, null_rate, salts[0]))

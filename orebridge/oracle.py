@@ -365,7 +365,7 @@ modified AS (
 )
 SELECT {proj(RAW_COLS)} FROM modified
 UNION ALL
-SELECT ingest_seq + 1099511627776 AS ingest_seq, {proj(RAW_COLS[1:])}
+SELECT ingest_seq + 4611686018427387904 AS ingest_seq, {proj(RAW_COLS[1:])}
 FROM modified WHERE (reading_id + 3) % 1000 < 3""",
 }
 

@@ -1,4 +1,5 @@
-"""Join helpers: null-safe key joins and broadcasts behind a checked size."""
+"""Join helpers: null-safe key joins, broadcasts behind a checked size, and a salted
+shuffle join for per-key tables too large to broadcast."""
 
 from __future__ import annotations
 

@@ -1,7 +1,7 @@
 """Key integrity checks and key-aware loading.
 
 Checks return the offending keys (empty frame = passes) so that callers can show
-them; `assert_empty` turns a check into a precondition. Every check aggregates
+them; `assert_all_empty` turns several checks into one precondition, run as one job. Every check aggregates
 per key before any join, so a key holding a third of the rows moves as one row.
 """
 

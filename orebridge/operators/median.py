@@ -2,8 +2,9 @@
 
 `F.median` keeps every distinct value of a group in one aggregation buffer, in one
 task. Here the median comes from distinct (group, value) counts, which a partial
-aggregation shrinks before the shuffle, and from distributed running counts over
-them (`running_total`), so no group is ever gathered in one place.
+aggregation shrinks before the shuffle, and from running counts over them
+(`running_total`): one window when the count table is within a checked row bound,
+otherwise range-partitioned so that no task holds more than a slice of any group.
 """
 
 from __future__ import annotations

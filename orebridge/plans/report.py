@@ -80,10 +80,13 @@ def run_summary(sensor: DataFrame, assay: DataFrame,
 def quality_report(sensor: DataFrame, assay: DataFrame) -> dict[str, DataFrame]:
     """The four checks of the daily report, as DataFrames (nothing is collected)."""
     kpis = equipment_kpis(reconciliation(sensor, assay))
+    turnaround = turnaround_summary(assay)
     return {
         "equipment_kpis": kpis,
         "calibration": calibration_report(kpis),
-        "turnaround": turnaround_summary(assay),
+        "calibration_lines": calibration_messages(kpis),
+        "turnaround": turnaround,
+        "turnaround_lines": turnaround_messages(turnaround),
         "outliers_by_bench": outliers_by_bench(sensor),
     }
 

@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from orebridge.plans.assay import assay_fact
 from orebridge.plans.dims import build_dim_equipment, build_dim_location, build_dim_time
 from orebridge.plans.sensor import sensor_fact
-from orebridge.plans.warehouse import Warehouse, run_concurrently
+from orebridge.plans.warehouse import Warehouse, run_concurrently  # noqa: F401
 
 
 def _is_csv(path: str) -> bool:
@@ -34,11 +34,11 @@ def run_etl(sensor_raw: DataFrame, assay_raw: DataFrame, warehouse: Warehouse,
         warehouse.create()   # appends compare against the stored tables
     # The facts are computed and staged while the dimensions load; their key checks
     # against the dimensions run after both.
-    counts, (sensor, assay) = run_concurrently(
+    counts, staged = run_concurrently(
         warehouse.spark,
         lambda: warehouse.load_dimensions(build_dim_equipment(sensor_raw),
                                           build_dim_location(sensor_raw),
                                           build_dim_time(sensor_raw, assay_raw), mode=mode),
-        lambda: Warehouse.stage_facts(sensor_fact(sensor_raw), assay_fact(assay_raw)))
-    counts.update(warehouse.load_facts(sensor, assay, mode=mode, staged=True))
+        lambda: warehouse.stage_facts(sensor_fact(sensor_raw), assay_fact(assay_raw)))
+    counts.update(warehouse.load_facts(None, None, mode=mode, staged=staged))
     return counts

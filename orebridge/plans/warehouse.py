@@ -7,8 +7,11 @@ Loads follow the reference's rules (A6-A12):
     or NULL key, clash with a stored key, unknown dimension member, assay of an
     unknown reading); every check runs before the first write;
   * full refresh: all five tables overwritten, dimensions first.
-Incoming data is staged once through a reliable checkpoint, so the checks and the
-write read the same rows without recomputing the transform.
+Incoming facts are computed once: they are written in their final layout to a
+staging folder inside the warehouse root (`_staging/`, ignored by readers), the
+checks read the staged files, and publishing moves the files into the table
+folders (renames, no second write). Bucketed facts, whose layout lives in the
+catalog, are staged through a reliable checkpoint instead.
 
 Layout (A19, the reference's indexes re-aimed): the sensor fact is partitioned by
 month of reading and sorted by reading_id inside each file, so month filters prune
@@ -19,7 +22,9 @@ tables at the same locations), so joining them on reading_id needs no shuffle.
 
 from __future__ import annotations
 
+import uuid
 from concurrent.futures import ThreadPoolExecutor
+from dataclasses import dataclass
 
 from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
@@ -72,6 +77,16 @@ def _stored_schema(name: str) -> T.StructType:
 FACTS = ("fact_sensor_readings", "fact_assay_results")
 
 
+@dataclass
+class StagedFacts:
+    """Incoming facts computed once: staged frames, observed row counts (path
+    tables) and the staging folder (None for checkpoint staging)."""
+    sensor: DataFrame
+    assay: DataFrame
+    counts: dict | None
+    folder: str | None
+
+
 class Warehouse:
     """Typed tables in `root` (a shared-storage URI on a cluster).
 
@@ -137,7 +152,7 @@ class Warehouse:
         return self.table(name).count()
 
     def _write(self, name: str, df: DataFrame, mode: str,
-               observation: Observation | None = None) -> None:
+               observation: Observation | None = None, path: str | None = None) -> None:
         df = df.select(*[F.col(f.name).cast(f.dataType) for f in _stored_schema(name).fields])
         partition_by = [PARTITION_COL] if name == "fact_sensor_readings" else []
         if self._bucketed(name):
@@ -156,14 +171,60 @@ class Warehouse:
             (writer.bucketBy(self.buckets, "reading_id").sortBy("reading_id")
              .option("path", self.path(name)).saveAsTable(self.catalog_name(name)))
         else:
-            writer.parquet(self.path(name))
+            writer.parquet(path or self.path(name))
 
-    def _append_observed(self, name: str, df: DataFrame, mode: str = "append") -> int:
+    def _append_observed(self, name: str, df: DataFrame, mode: str = "append",
+                         path: str | None = None) -> int:
         """Write and return the row count, observed during the write."""
         obs = Observation(f"{name}_rows")
-        self._write(name, df, mode, obs)
+        self._write(name, df, mode, obs, path)
         return int(obs.get["rows"])
 
+    def _read_folder(self, name: str, path: str) -> DataFrame:
+        reader = self.spark.read.schema(_stored_schema(name))
+        if name == "fact_sensor_readings":
+            reader = reader.option("basePath", path)
+        return reader.parquet(path)
+
+    # ---- file moves for publishing staged files (Hadoop FileSystem API)
+    def _fs_path(self, path: str):
+        sc = self.spark.sparkContext
+        jpath = sc._jvm.org.apache.hadoop.fs.Path(path)
+        return jpath.getFileSystem(sc._jsc.hadoopConfiguration()), jpath
+
+    def _delete(self, path: str) -> None:
+        fs, jpath = self._fs_path(path)
+        fs.delete(jpath, True)
+
+    def _publish(self, staged: str, name: str, replace: bool) -> None:
+        """Move a staged table folder into place. Replace: swap whole folders (old one
+        parked under _staging until the new one is in). Append: move each data file
+        to the same relative path (month folder) in the table."""
+        fs, src = self._fs_path(staged)
+        _, dst = self._fs_path(self.path(name))
+        jvm = self.spark.sparkContext._jvm
+        if replace:
+            parked = jvm.org.apache.hadoop.fs.Path(
+                f"{self.root}/_staging/replaced-{uuid.uuid4().hex}-{name}")
+            if fs.exists(dst) and not fs.rename(dst, parked):
+                raise OSError(f"cannot move {dst} aside")
+            if not fs.rename(src, dst):
+                raise OSError(f"cannot publish {src} as {dst}")
+            fs.delete(parked, True)
+            return
+        fs.mkdirs(dst)
+        base = src.toUri().getPath().rstrip("/") + "/"
+        files = fs.listFiles(src, True)
+        while files.hasNext():
+            f = files.next().getPath()
+            rel = f.toUri().getPath()[len(base):]
+            if any(part.startswith(("_", ".")) for part in rel.split("/")):
+                continue   # _SUCCESS, checksums
+            target = jvm.org.apache.hadoop.fs.Path(dst, rel)
+            fs.mkdirs(target.getParent())
+            if not fs.rename(f, target):
+                raise OSError(f"cannot move {f} to {target}")
+
     # ---- dimensions
     def load_dimensions(self, dim_equipment: DataFrame, dim_location: DataFrame,
                         dim_time: DataFrame, mode: str = "append") -> dict[str, int]:
@@ -228,31 +289,55 @@ class Warehouse:
         checks[f"{a_name}.reading_id not in {s_name}"] = fk_orphans(assay, readings, ["reading_id"])
         assert_all_empty(checks)
 
-    @staticmethod
-    def stage_facts(sensor: DataFrame, assay: DataFrame) -> tuple[DataFrame, DataFrame]:
-        """Compute both incoming facts once into reliable checkpoints."""
-        return tuple(run_concurrently(
-            sensor.sparkSession,
-            lambda: reliable_checkpoint(sensor.select(*schemas.SENSOR_FACT_COLUMNS)),
-            lambda: reliable_checkpoint(assay.select(*schemas.ASSAY_FACT_COLUMNS))))
-
-    def load_facts(self, sensor: DataFrame, assay: DataFrame,
-                   mode: str = "append", staged: bool = False) -> dict[str, int]:
-        """Checked append (or overwrite) of both facts; nothing is written on failure.
-
-        `staged=True`: the inputs come from `stage_facts` already.
-        """
+    def stage_facts(self, sensor: DataFrame, assay: DataFrame) -> "StagedFacts":
+        """Compute both incoming facts once. Path tables: written in final layout to
+        `_staging/<id>/` (row counts observed on the way). Bucketed tables: reliable
+        checkpoints."""
+        sensor = sensor.select(*schemas.SENSOR_FACT_COLUMNS)
+        assay = assay.select(*schemas.ASSAY_FACT_COLUMNS)
+        if self.buckets:
+            s, a = run_concurrently(self.spark, lambda: reliable_checkpoint(sensor),
+                                    lambda: reliable_checkpoint(assay))
+            return StagedFacts(s, a, None, None)
+        folder = f"{self.root}/_staging/{uuid.uuid4().hex}"
+        now = F.localtimestamp()
+        sensor = sensor.withColumns({"loaded_at": now,
+                                     PARTITION_COL: F.to_date(month_start("timestamp"))})
+        assay = assay.withColumn("loaded_at", now)
+        counts = run_concurrently(
+            self.spark,
+            lambda: self._append_observed("fact_sensor_readings", sensor, "overwrite",
+                                          f"{folder}/fact_sensor_readings"),
+            lambda: self._append_observed("fact_assay_results", assay, "overwrite",
+                                          f"{folder}/fact_assay_results"))
+        return StagedFacts(self._read_folder("fact_sensor_readings", f"{folder}/fact_sensor_readings"),
+                           self._read_folder("fact_assay_results", f"{folder}/fact_assay_results"),
+                           dict(zip(FACTS, counts)), folder)
+
+    def load_facts(self, sensor: DataFrame | None, assay: DataFrame | None,
+                   mode: str = "append", staged: "StagedFacts | None" = None) -> dict[str, int]:
+        """Checked append (or overwrite) of both facts; nothing is published when a
+        check fails. `staged`: the result of `stage_facts`, if already computed."""
         replace = mode == "overwrite"
+        st = staged or self.stage_facts(sensor, assay)
+        try:
+            self.check_facts(st.sensor, st.assay, replace=replace)
+        except Exception:
+            if st.folder:
+                self._delete(st.folder)
+            raise
+        if st.folder:
+            for name in FACTS:
+                self._publish(f"{st.folder}/{name}", name, replace)
+            self._delete(st.folder)
+            return dict(st.counts)
         now = F.localtimestamp()
-        if not staged:
-            sensor, assay = self.stage_facts(sensor, assay)
-        self.check_facts(sensor, assay, replace=replace)
-        sensor = sensor.withColumns({"loaded_at": now, PARTITION_COL: F.to_date(month_start("timestamp"))})
+        s = st.sensor.withColumns({"loaded_at": now, PARTITION_COL: F.to_date(month_start("timestamp"))})
         written = run_concurrently(
             self.spark,
-            lambda: self._append_observed("fact_sensor_readings", sensor, mode),
-            lambda: self._append_observed("fact_assay_results", assay.withColumn("loaded_at", now), mode))
-        return dict(zip(["fact_sensor_readings", "fact_assay_results"], written))
+            lambda: self._append_observed("fact_sensor_readings", s, mode),
+            lambda: self._append_observed("fact_assay_results", st.assay.withColumn("loaded_at", now), mode))
+        return dict(zip(FACTS, written))
 
     # ---- catalog and views
     def register_tables(self, database: str | None = None) -> None:

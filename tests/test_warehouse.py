@@ -74,10 +74,13 @@ def test_duplicate_key_rejected(spark, tmp_root):
     raw_s = sensor_raw(spark, SF_SMALL)
     plans.run_etl(raw_s, assay_raw(spark, SF_SMALL), wh, refresh=True)
     with_dups = plans.transform_sensor(raw_s)   # still holds the late copies
+    before = wh.row_count("fact_sensor_readings")
     with pytest.raises(KeyCheckError, match="duplicate or NULL keys"):
         wh.load_facts(with_dups, assay_raw(spark, SF_SMALL).limit(0).withColumn(
             "turnaround_days", __import__("pyspark.sql.functions", fromlist=["lit"]).lit(None)
             .cast("decimal(4,1)")), mode="overwrite")
+    # a rejected overwrite leaves the stored table as it was
+    assert wh.row_count("fact_sensor_readings") == before
 
 
 def test_catalog_tables_with_comments(spark, tmp_root):
@@ -117,3 +120,24 @@ def test_bucketed_facts_join_without_shuffle(spark, tmp_root):
     # checked append still rejects stored keys on the bucketed tables
     with pytest.raises(KeyCheckError):
         plans.run_etl(raw_s, raw_a, wh, refresh=False)
+
+
+def test_checked_append_publishes_into_month_folders(spark, tmp_root):
+    import os
+    from pyspark.sql import functions as F
+    wh = Warehouse(spark, tmp_root)
+    raw_s, raw_a = sensor_raw(spark, SF_SMALL), assay_raw(spark, SF_SMALL)
+    sensor, assay = plans.sensor_fact(raw_s), plans.assay_fact(raw_a)
+    early = F.col("reading_id") % 2 == 0          # two batches of readings, same months
+    plans.run_etl(raw_s.where(early), raw_a.where(early), wh, refresh=True)
+    first = wh.row_count("fact_sensor_readings")
+    counts = wh.load_facts(sensor.where(~early), assay.where(~early), mode="append")
+    assert counts["fact_sensor_readings"] == sensor.where(~early).count()
+    assert wh.row_count("fact_sensor_readings") == first + counts["fact_sensor_readings"]
+    stored = wh.table("fact_sensor_readings").drop("loaded_at", "reading_month")
+    # first batch: transformed with the statistics of its own input; then the append
+    expected = plans.sensor_fact(raw_s.where(early)).unionByName(sensor.where(~early))
+    assert stored.exceptAll(expected).count() == 0 and expected.exceptAll(stored).count() == 0
+    assert wh.row_count("fact_assay_results") == assay.count()
+    staging = os.path.join(tmp_root, "_staging")
+    assert not os.path.exists(staging) or not [d for d in os.listdir(staging) if not d.startswith(".")]

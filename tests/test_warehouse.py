@@ -117,6 +117,14 @@ def test_bucketed_facts_join_without_shuffle(spark, tmp_root):
     assert again.exceptAll(expected).count() == 0 and again.count() == expected.count()
     with no_broadcast(spark):
         assert "Exchange hashpartitioning(reading_id" not in plan_of(again)
+    # the append check against stored keys shuffles only the incoming side
+    with no_broadcast(spark):
+        incoming = plans.sensor_fact(raw_s).select("reading_id")
+        clash = incoming.join(wh.table("fact_sensor_readings").select("reading_id"),
+                              ["reading_id"], "left_semi")
+        clash_plan = plan_of(clash)
+    assert "Bucketed: true" in clash_plan
+    assert clash_plan.count("Exchange hashpartitioning(reading_id") == 1
     # checked append still rejects stored keys on the bucketed tables
     with pytest.raises(KeyCheckError):
         plans.run_etl(raw_s, raw_a, wh, refresh=False)

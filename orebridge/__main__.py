@@ -21,15 +21,16 @@ import time
 
 def main(argv=None) -> int:
     ap = argparse.ArgumentParser(prog="orebridge")
-    ap.add_argument("--master", default=None)
+    ap.add_argument("--master", default=None,
+                    help="Spark master for local runs (spark-submit sets it otherwise)")
     ap.add_argument("--buckets", type=int, default=None,
                     help="bucket both facts by reading_id (catalog tables) for shuffle-free joins")
     ap.add_argument("--database", default="default", help="catalog database for bucketed facts")
     sub = ap.add_subparsers(dest="cmd", required=True)
     etl = sub.add_parser("etl")
-    etl.add_argument("--sensor", required=True)
-    etl.add_argument("--assay", required=True)
-    etl.add_argument("--warehouse", required=True)
+    etl.add_argument("--sensor", required=True, help="raw sensor readings: .csv file/folder or Parquet")
+    etl.add_argument("--assay", required=True, help="raw assay results: .csv file/folder or Parquet")
+    etl.add_argument("--warehouse", required=True, help="root folder of the five tables (shared storage)")
     etl.add_argument("--append", action="store_true",
                      help="insert new dimension members and append checked facts")
     etl.add_argument("--processed", default=None,
@@ -38,8 +39,9 @@ def main(argv=None) -> int:
     etl.add_argument("--counters", action="store_true",
                      help="print the QC run counters and outlier bounds")
     rep = sub.add_parser("report")
-    rep.add_argument("--warehouse", required=True)
-    rep.add_argument("--sla-days", type=int, default=None)
+    rep.add_argument("--warehouse", required=True, help="root folder of the five tables")
+    rep.add_argument("--sla-days", type=int, default=None,
+                     help="turnaround (days) above which an assay violates the lab SLA")
     args = ap.parse_args(argv)
 
     from orebridge import plans

@@ -39,30 +39,30 @@ def register(name: str):
     return wrap
 
 
-def facts(spark, sf_dir):
+def facts(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     return plans.sensor_fact(sensor_raw(spark, sf_dir)), plans.assay_fact(assay_raw(spark, sf_dir))
 
 
 # ---- duplicates
 @register("duplicate_flags")
-def q_duplicate_flags(spark, sf_dir):
+def q_duplicate_flags(spark: SparkSession, sf_dir: str) -> DataFrame:
     return flag_duplicates(sensor_raw(spark, sf_dir), ["reading_id"], ["ingest_seq"])
 
 
 @register("dedup_keep_first")
-def q_dedup_keep_first(spark, sf_dir):
+def q_dedup_keep_first(spark: SparkSession, sf_dir: str) -> DataFrame:
     return keep_first(sensor_raw(spark, sf_dir), ["reading_id"], ["ingest_seq"])
 
 
 @register("dedup_lineitem")
-def q_dedup_lineitem(spark, sf_dir):
+def q_dedup_lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
     li = read_table(spark, sf_dir, "lineitem")
     key = ["l_orderkey", "l_linenumber"]
     return keep_first(li, key, [c for c in li.columns if c not in key])
 
 
 @register("lineitem_duplicate_flags")
-def q_lineitem_duplicate_flags(spark, sf_dir):
+def q_lineitem_duplicate_flags(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every lineitem row flagged; order = the other columns, then file position."""
     li = read_table(spark, sf_dir, "lineitem")
     key = ["l_orderkey", "l_linenumber"]
@@ -73,17 +73,17 @@ def q_lineitem_duplicate_flags(spark, sf_dir):
 
 # ---- median and imputation
 @register("group_median")
-def q_group_median(spark, sf_dir):
+def q_group_median(spark: SparkSession, sf_dir: str) -> DataFrame:
     return group_median(sensor_raw(spark, sf_dir), ["equipment_id"], "tonnage")
 
 
 @register("impute_group_median")
-def q_impute_group_median(spark, sf_dir):
+def q_impute_group_median(spark: SparkSession, sf_dir: str) -> DataFrame:
     return impute_group_median(sensor_raw(spark, sf_dir), ["equipment_id"], "tonnage")
 
 
 @register("lineitem_price_median")
-def q_lineitem_price_median(spark, sf_dir):
+def q_lineitem_price_median(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same exact median on another table: three groups of about a third each."""
     li = read_table(spark, sf_dir, "lineitem")
     return group_median(li, ["l_returnflag"], "l_extendedprice")
@@ -91,63 +91,63 @@ def q_lineitem_price_median(spark, sf_dir):
 
 # ---- outliers
 @register("outlier_bounds")
-def q_outlier_bounds(spark, sf_dir):
+def q_outlier_bounds(spark: SparkSession, sf_dir: str) -> DataFrame:
     b = plans.outlier_bounds(sensor_raw(spark, sf_dir))
     return b.select(*[F.round(c, 8).alias(c) for c in b.columns])
 
 
 @register("outlier_flags")
-def q_outlier_flags(spark, sf_dir):
+def q_outlier_flags(spark: SparkSession, sf_dir: str) -> DataFrame:
     return flag_outliers(sensor_raw(spark, sf_dir), "sensor_cu_grade")
 
 
 # ---- transforms and facts
 @register("transform_sensor")
-def q_transform_sensor(spark, sf_dir):
+def q_transform_sensor(spark: SparkSession, sf_dir: str) -> DataFrame:
     return plans.transform_sensor(sensor_raw(spark, sf_dir))
 
 
 @register("qc_counters")
-def q_qc_counters(spark, sf_dir):
+def q_qc_counters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return plans.qc_counters(sensor_raw(spark, sf_dir))
 
 
 @register("transform_assay")
-def q_transform_assay(spark, sf_dir):
+def q_transform_assay(spark: SparkSession, sf_dir: str) -> DataFrame:
     return plans.transform_assay(assay_raw(spark, sf_dir))
 
 
 @register("fact_sensor")
-def q_fact_sensor(spark, sf_dir):
+def q_fact_sensor(spark: SparkSession, sf_dir: str) -> DataFrame:
     return plans.sensor_fact(sensor_raw(spark, sf_dir))
 
 
 @register("fact_assay")
-def q_fact_assay(spark, sf_dir):
+def q_fact_assay(spark: SparkSession, sf_dir: str) -> DataFrame:
     return plans.assay_fact(assay_raw(spark, sf_dir))
 
 
 # ---- dimensions
 @register("dim_equipment")
-def q_dim_equipment(spark, sf_dir):
+def q_dim_equipment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return plans.build_dim_equipment(sensor_raw(spark, sf_dir))
 
 
 @register("dim_location")
-def q_dim_location(spark, sf_dir):
+def q_dim_location(spark: SparkSession, sf_dir: str) -> DataFrame:
     return (plans.with_location_ids(plans.build_dim_location(sensor_raw(spark, sf_dir)))
             .orderBy("location_id"))
 
 
 @register("dim_time")
-def q_dim_time(spark, sf_dir):
+def q_dim_time(spark: SparkSession, sf_dir: str) -> DataFrame:
     dim = plans.with_time_ids(plans.build_dim_time(sensor_raw(spark, sf_dir),
                                                    assay_raw(spark, sf_dir)))
     return dim.orderBy("full_date")          # dates ascending (F5)
 
 
 @register("dim_insert_new")
-def q_dim_insert_new(spark, sf_dir):
+def q_dim_insert_new(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Time dimension loaded from sensor dates, then assay dates inserted if absent."""
     existing = plans.with_time_ids(time_attributes(
         distinct_dates((sensor_raw(spark, sf_dir), "timestamp"))))
@@ -159,73 +159,74 @@ def q_dim_insert_new(spark, sf_dir):
 
 # ---- key checks
 @register("fk_orphans")
-def q_fk_orphans(spark, sf_dir):
+def q_fk_orphans(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Assays whose reading is not a QC-passed reading (they leave the reconciliation)."""
     sensor, assay = facts(spark, sf_dir)
     return fk_orphans(assay, sensor.where(F.col("qc_passed")), ["reading_id"])
 
 
 @register("key_violations")
-def q_key_violations(spark, sf_dir):
+def q_key_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return key_violations(sensor_raw(spark, sf_dir), ["reading_id"])
 
 
 # ---- views and report
 @register("reconciliation")
-def q_reconciliation(spark, sf_dir):
+def q_reconciliation(spark: SparkSession, sf_dir: str) -> DataFrame:
     return plans.reconciliation(*facts(spark, sf_dir))
 
 
 @register("equipment_kpis")
-def q_equipment_kpis(spark, sf_dir):
+def q_equipment_kpis(spark: SparkSession, sf_dir: str) -> DataFrame:
     return plans.equipment_kpis(plans.reconciliation(*facts(spark, sf_dir)))
 
 
 @register("calibration_status")
-def q_calibration_status(spark, sf_dir):
-    return plans.calibration_report(plans.equipment_kpis(plans.reconciliation(*facts(spark, sf_dir))))
+def q_calibration_status(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kpis = plans.equipment_kpis(plans.reconciliation(*facts(spark, sf_dir)))
+    return plans.calibration_report(kpis)
 
 
 @register("calibration_lines")
-def q_calibration_lines(spark, sf_dir):
+def q_calibration_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     kpis = plans.equipment_kpis(plans.reconciliation(*facts(spark, sf_dir)))
     return plans.calibration_messages(kpis)
 
 
 @register("monthly_grade_trend")
-def q_monthly_grade_trend(spark, sf_dir):
+def q_monthly_grade_trend(spark: SparkSession, sf_dir: str) -> DataFrame:
     return plans.monthly_grade_trend(*facts(spark, sf_dir))
 
 
 @register("data_quality_report")
-def q_data_quality_report(spark, sf_dir):
+def q_data_quality_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return plans.data_quality_report(plans.sensor_fact(sensor_raw(spark, sf_dir)))
 
 
 @register("turnaround_summary")
-def q_turnaround_summary(spark, sf_dir):
+def q_turnaround_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return plans.turnaround_summary(plans.assay_fact(assay_raw(spark, sf_dir)))
 
 
 @register("outliers_by_bench")
-def q_outliers_by_bench(spark, sf_dir):
+def q_outliers_by_bench(spark: SparkSession, sf_dir: str) -> DataFrame:
     return plans.outliers_by_bench(plans.sensor_fact(sensor_raw(spark, sf_dir)))
 
 
 @register("run_summary")
-def q_run_summary(spark, sf_dir):
+def q_run_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return plans.run_summary(*facts(spark, sf_dir), sla_days=FIXTURE_SLA_DAYS)
 
 
 # ---- defect injection
 @register("inject_defects")
-def q_inject_defects(spark, sf_dir):
+def q_inject_defects(spark: SparkSession, sf_dir: str) -> DataFrame:
     return inject_defects(sensor_base(read_table(spark, sf_dir, "events")))
 
 
 # ---- sinks read back
 @register("clean_csv_roundtrip")
-def q_clean_csv_roundtrip(spark, sf_dir):
+def q_clean_csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The cleaned sensor set written as CSV (as the transform does) and read back."""
     cleaned = plans.transform_sensor(sensor_raw(spark, sf_dir))
     path = scratch_path(spark, "sensor_clean_csv")
@@ -234,7 +235,7 @@ def q_clean_csv_roundtrip(spark, sf_dir):
 
 
 @register("full_refresh_roundtrip")
-def q_full_refresh_roundtrip(spark, sf_dir):
+def q_full_refresh_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Full ETL into a fresh warehouse folder (shared storage), the sensor fact read back."""
     wh = Warehouse(spark, scratch_path(spark, "warehouse"))
     plans.run_etl(sensor_raw(spark, sf_dir), assay_raw(spark, sf_dir), wh, refresh=True)
@@ -242,7 +243,7 @@ def q_full_refresh_roundtrip(spark, sf_dir):
 
 
 @register("warehouse_report_kpis")
-def q_warehouse_report_kpis(spark, sf_dir):
+def q_warehouse_report_kpis(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Full ETL into a fresh bucketed warehouse, then the KPI view read by name (A13,
     A17) over the stored facts; the fact join there needs no shuffle."""
     database = f"orebridge_{uuid.uuid4().hex[:12]}"

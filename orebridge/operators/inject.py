@@ -14,10 +14,12 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 
 def pick(key: str, rate: float, salt: int = 0) -> Column:
+    """TRUE on about `rate` of the rows; a NULL key is never picked."""
     frac = Fraction(rate).limit_denominator(1_000_000)
     if frac <= 0:
         return F.lit(False)
-    return F.pmod(F.col(key) + salt, F.lit(frac.denominator)) < frac.numerator
+    return F.coalesce(F.pmod(F.col(key) + salt, F.lit(frac.denominator)) < frac.numerator,
+                      F.lit(False))
 
 
 def null_some(df: DataFrame, col: str, picked: Column) -> DataFrame:

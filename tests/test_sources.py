@@ -77,3 +77,12 @@ def test_csv_header_must_match_schema(spark, tmp_root):
                  "5,1,2025-01-01 00:00:00,2025-01-03 00:00:00,0.5\n")
     with pytest.raises(Exception):
         read_assay_csv(spark, path).collect()
+
+
+def test_inject_defects_leaves_null_keys_alone(spark):
+    from decimal import Decimal as D
+    df = spark.createDataFrame([(None, 1, D("0.5000"), D("10.00")), (99, 2, D("0.5000"), D("10.00"))],
+                               "reading_id long, ingest_seq long, sensor_cu_grade decimal(6,4), tonnage decimal(8,2)")
+    out = inject_defects(df, null_rate=0.5, outlier_rate=0.0, duplicate_rate=0.0)
+    row = out.where("reading_id IS NULL").first()
+    assert row.tonnage == D("10.00") and out.count() == 2

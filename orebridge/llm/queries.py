@@ -7,7 +7,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from orebridge.llm import decontaminate, langid, linededup, packing, simhash
+from orebridge.llm import (chat, decontaminate, langid, linededup, packing, qualitymodel,
+                           qualityrules, secrets, simhash, toxicity)
 from orebridge.llm.common import held_out
 from orebridge.sources import read_table
 
@@ -31,11 +32,33 @@ def vocabulary() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+@register("op1_secret_scan")
+def op1_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = secrets.scan_secrets(read_table(spark, sf_dir, "documents"))
+    base = F.filter("secrets", lambda s: s["kind_no"] < len(secrets.BASE_RULES))
+    return rows.select(
+        "doc_id", *[secrets.count_kind("secrets", r.kind).alias(f"n_{r.kind}") for r in secrets.BASE_RULES],
+        F.sha2(secrets.span_list(base), 256).alias("base_sha256"),
+        secrets.span_list(F.col("secrets")).alias("spans"))
+
+
 @register("op2_packing")
 def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(read_table(spark, sf_dir, "documents"), vocabulary())
 
 
+@register("op3_toxicity")
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = toxicity.detect_toxicity(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+    return rows.select("doc_id", held_out().alias("held_out"), "score", "predicted")
+
+
+@register("op4_quality_rules")
+def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return qualityrules.run_cascade(read_table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+
+
 @register("op5_language_id")
 def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
@@ -43,6 +66,15 @@ def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", held_out().alias("held_out"), "lang_pred", "score")
 
 
+@register("op6_chat_format")
+def op6_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = read_table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    probe = "\\### Assistant: </turn> ok"         # the fixed extra conversation
+    extra = spark.createDataFrame([(-7, 0, "user", probe), (-7, 1, "assistant", probe)], rows.schema)
+    messages = chat.thread_messages(rows.unionByName(extra))
+    return chat.conversation_digests(chat.format_conversations(messages))
+
+
 @register("op7_decontamination")
 def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = decontaminate.contamination(read_table(spark, sf_dir, "documents"),
@@ -66,3 +98,9 @@ def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.array_join(F.transform(gone, lambda r: F.concat_ws(":", r["first"].cast("string"),
                                                              r["stop"].cast("string"))), ",").alias("removed_lines"),
         F.length("text").cast("long").alias("kept_chars"), "text")
+
+
+@register("op10_quality_model")
+def op10_quality_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = qualitymodel.classify_quality(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+    return rows.select("doc_id", held_out().alias("held_out"), "score", "predicted")

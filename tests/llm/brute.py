@@ -127,3 +127,49 @@ def check_pieces(pieces: list[dict], docs: list[tuple], path: str, capacity: int
                 at += length
             assert at == len(ids_of[doc_id][0])
     return padding / max(1, total)
+
+
+SECRET_BASE = [
+    ("assign", re.compile(r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.A), 2, 6),
+    ("access", re.compile(r"AKIA[A-Z0-9]+"), 0, 20),
+    ("hex", re.compile(r"[0-9a-f]+"), 0, 24),
+]
+
+
+def secrets(text: str | None, rules=SECRET_BASE) -> list[tuple[str, int, int]]:
+    found = []
+    for n, (kind, regex, group, least) in enumerate(rules):
+        for m in regex.finditer(text or ""):
+            if len(m[group]) >= least:
+                found.append((m.start(), n, kind, m.end()))
+    return [(kind, a, b) for a, _, kind, b in sorted(found)]
+
+
+def quality_measures(text: str | None) -> dict:
+    text = text or ""
+    words = WORD.findall(text)
+    lines = [x for x in text.split("\n") if WORD.search(x)]
+    grams = [tuple(words[i:i + 3]) for i in range(len(words) - 2)]
+    from collections import Counter
+    counts = Counter(grams)
+    hit = {j for i, g in enumerate(grams) if counts[g] > 1 for j in (i, i + 1, i + 2)}
+    return {"n_words": len(words), "word_chars": sum(map(len, words)),
+            "n_symbols": sum(text.count(c) for c in "#*$%&|<>"),
+            "n_dup_lines": len(lines) - len(set(lines)), "n_repeat_words": len(hit),
+            "base_failed": len(words) < 50 or 100 * len(hit) > 50 * len(words)}
+
+
+def repeated_chunks(rows: list[tuple]) -> list[list[tuple[int, int]]]:
+    """Chunks removed from each row, by comparing chunk bytes directly."""
+    from orebridge.llm.linededup import line_chunks
+    first: dict[bytes, tuple] = {}
+    chunks = []
+    for i, (doc_id, text) in enumerate(rows):
+        lines = (text or "").encode().split(b"\n")
+        own = [(a, b, b"\n".join(lines[a:b])) for a, b in line_chunks(lines)] if text else []
+        chunks.append(own)
+        for a, _, body in own:
+            place = (doc_id is None, doc_id or 0, a)
+            first[body] = min(first.get(body, place), place)
+    return [[(a, b) for a, b, body in own if first[body] != (rows[i][0] is None, rows[i][0] or 0, a)]
+            for i, own in enumerate(chunks)]

@@ -219,9 +219,9 @@ def predict_language(docs: DataFrame, model: Model, text: str = "text") -> DataF
         names, scores = [], []
         values = texts.tolist()
         at = 0
-        while at < len(values):         # groups of a few million characters bound the memory
+        while at < len(values):         # groups of about a million characters bound the memory
             stop, chars = at, 0
-            while stop < len(values) and (stop == at or chars + len(values[stop]) <= 2_000_000):
+            while stop < len(values) and (stop == at or chars + len(values[stop]) <= 1_000_000):
                 chars += len(values[stop])
                 stop += 1
             n, s = classify(shared.value, values[at:stop])

@@ -5,7 +5,6 @@ Layers:
   functions/  Column-level helpers (rounding, bands, calendar parts)
   operators/  generic DataFrame -> DataFrame operators (dedup, median, outliers, keys)
   plans/      the composite jobs: sensor/assay transforms, dimensions, views, report, warehouse
-  streaming/  intentionally empty (the reconciled workload is batch only)
 """
 
 from orebridge.session import build_session, checkpoint_dir, reliable_checkpoint

@@ -21,7 +21,7 @@ from orebridge.operators import (fk_orphans, flag_duplicates, flag_outliers, gro
 from orebridge.plans.dims import distinct_dates, time_attributes
 from orebridge.plans.warehouse import Warehouse
 from orebridge.session import scratch_path
-from orebridge.sources import (assay_raw, read_csv, read_table, sensor_base, sensor_raw,
+from orebridge.sources import (assay_raw, read_csv, read_sensor_csv, read_table, sensor_base, sensor_raw,
                                with_file_order, write_csv)
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -114,7 +114,7 @@ def q_qc_counters(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("transform_assay")
 def q_transform_assay(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return plans.transform_assay(assay_raw(spark, sf_dir))
+    return plans.transform_assay(assay_raw(spark, sf_dir, every_reading=True))
 
 
 @register("fact_sensor")
@@ -124,7 +124,7 @@ def q_fact_sensor(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("fact_assay")
 def q_fact_assay(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return plans.assay_fact(assay_raw(spark, sf_dir))
+    return plans.assay_fact(assay_raw(spark, sf_dir, every_reading=True))
 
 
 # ---- dimensions
@@ -205,7 +205,49 @@ def q_data_quality_report(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("turnaround_summary")
 def q_turnaround_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return plans.turnaround_summary(plans.assay_fact(assay_raw(spark, sf_dir)))
+    return plans.turnaround_summary(plans.assay_fact(assay_raw(spark, sf_dir, every_reading=True)))
+
+
+def _hourly_assays(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Assays of every reading whose results also take some hours: unrounded turnarounds."""
+    hours = (F.col("assay_id") % 24).cast("int")
+    return assay_raw(spark, sf_dir, every_reading=True).withColumn(
+        "result_date", F.col("result_date") + F.make_dt_interval(hours=hours))
+
+
+@register("mean_turnaround")
+def q_mean_turnaround(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Mean of the unrounded turnarounds (D20), to 6 places."""
+    mean = plans.mean_turnaround(plans.transform_assay(_hourly_assays(spark, sf_dir)))
+    return mean.select(F.round("mean_turnaround_days", 6).alias("mean_turnaround_days"))
+
+
+@register("turnaround_lines")
+def q_turnaround_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The report's turnaround sentences (H17) over loaded, rounded turnarounds."""
+    return plans.turnaround_messages(plans.turnaround_summary(plans.assay_fact(_hourly_assays(spark, sf_dir))))
+
+
+@register("table_row_counts")
+def q_table_row_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Row counts of all five tables after a full refresh (A14), and the counts observed
+    during the writes (A15)."""
+    wh = Warehouse(spark, scratch_path(spark, "warehouse"))
+    observed = plans.run_etl(sensor_raw(spark, sf_dir), assay_raw(spark, sf_dir), wh, refresh=True)
+    rows = [(name, wh.row_count(name), observed[name]) for name in schemas.TABLES]
+    return spark.createDataFrame(rows, "table_name string, stored_rows long, observed_rows long")
+
+
+@register("csv_arrival_order")
+def q_csv_arrival_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw readings written as CSV files without a sequence column, read back in arrival
+    order (A1): the first row of each reading, by file and line."""
+    path = scratch_path(spark, "sensor_csv")
+    raw = sensor_raw(spark, sf_dir)
+    ordered = raw.repartitionByRange(4, "ingest_seq").sortWithinPartitions("ingest_seq")
+    write_csv(ordered.select(*schemas.SENSOR_CSV.fieldNames()), path)
+    first = keep_first(read_sensor_csv(spark, path), ["reading_id"], ["ingest_seq"])
+    return first.drop("ingest_seq")
 
 
 @register("outliers_by_bench")
@@ -249,7 +291,8 @@ def q_warehouse_report_kpis(spark: SparkSession, sf_dir: str) -> DataFrame:
     database = f"orebridge_{uuid.uuid4().hex[:12]}"
     root = scratch_path(spark, "warehouse_bucketed")
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {database} LOCATION '{root}/_catalog'")
-    wh = Warehouse(spark, root, buckets=8, database=database)
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))     # the caller's parallelism
+    wh = Warehouse(spark, root, buckets=buckets, database=database)
     plans.run_etl(sensor_raw(spark, sf_dir), assay_raw(spark, sf_dir), wh, refresh=True)
     wh.register_views()
     return spark.table("v_equipment_kpis")

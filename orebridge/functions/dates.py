@@ -28,13 +28,13 @@ def add_days(ts, days) -> Column:
     return _col(ts) + F.make_dt_interval(days=days.cast("int"))
 
 
-def elapsed_days(start, end, precision: int = 4, scale: int = 1) -> Column:
-    """(end - start) in seconds / 86400, rounded HALF_UP into decimal(precision, scale).
+MICROSECONDS_PER_DAY = 86_400_000_000
 
-    The cast raises on overflow (ANSI), as an INSERT into NUMERIC(4,1) would.
-    """
-    seconds = F.timestamp_diff("SECOND", _col(start), _col(end))
-    return (seconds.cast("decimal(20,0)") / F.lit(86400)).cast(f"decimal({precision},{scale})")
+
+def elapsed_days(start, end) -> Column:
+    """(end - start) in days, fractions included, as double. Rounding to a table's NUMERIC
+    happens at load."""
+    return F.timestamp_diff("MICROSECOND", _col(start), _col(end)).cast("double") / F.lit(float(MICROSECONDS_PER_DAY))
 
 
 def calendar_parts(d) -> dict[str, Column]:

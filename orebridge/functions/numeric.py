@@ -50,5 +50,7 @@ def as_double(df, columns=None):
 
 
 def fixed(c, places: int) -> Column:
-    """Fixed-decimals text, like Python's `f"{x:.nf}"`."""
-    return F.format_string(f"%.{places}f", _col(c).cast("double"))
+    """Fixed-decimals text of a decimal (or of a double's shortest form), ties to even as
+    Python's `f"{x:.nf}"` rounds a Decimal."""
+    exact = _col(c).cast("decimal(38,18)")
+    return F.bround(exact, places).cast(f"decimal(38,{places})").cast("string")

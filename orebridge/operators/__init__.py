@@ -5,7 +5,7 @@ from orebridge.operators.inject import inject_defects, pick
 from orebridge.operators.joins import broadcast_if_bounded, join_on, salted_join
 from orebridge.operators.keys import (KeyCheckError, assert_all_empty, assert_empty,
                                       assign_surrogate_keys, fk_orphans, insert_if_absent,
-                                      key_violations, max_key, null_rows)
+                                      key_violations, long_values, max_key, null_rows)
 from orebridge.operators.median import (group_median, impute_group_median, median_from_counts,
                                         value_counts)
 from orebridge.operators.ordering import running_total
@@ -16,7 +16,7 @@ __all__ = [
     "KeyCheckError", "assert_all_empty", "assert_empty", "assign_surrogate_keys",
     "broadcast_if_bounded", "fk_orphans", "flag_duplicates", "flag_outliers",
     "group_median", "impute_group_median", "inject_defects", "insert_if_absent",
-    "join_on", "keep_first", "key_violations", "max_key", "null_rows", "pick",
+    "join_on", "keep_first", "key_violations", "long_values", "max_key", "null_rows", "pick",
     "limits_from_moments", "median_from_counts", "moments", "running_total", "salted_join",
     "sigma_bounds", "value_counts",
 ]

@@ -7,8 +7,11 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, functions as F
 
-# Largest lookup side (rows) that may be broadcast; beyond it the join shuffles.
+from orebridge.session import reliable_checkpoint
+
+# Largest lookup side (rows and bytes) that may be broadcast; beyond it the join shuffles.
 DEFAULT_MAX_BROADCAST_ROWS = 200_000
+MAX_BROADCAST_BYTES = 64 << 20
 
 
 def all_of(conditions):
@@ -36,18 +39,17 @@ def join_on(left: DataFrame, right: DataFrame, keys: list[str], how: str = "inne
 
 
 def broadcast_if_bounded(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS):
-    """Broadcast `df` only when it has at most `max_rows` rows; else leave it to a
-    shuffle join. Returns (frame, bounded?).
-
-    At most `max_rows + 1` rows are fetched. A small result is fetched once and
-    broadcast from that copy (as a broadcast join would fetch it), so the plan
-    that produced it is not run a second time inside the join.
+    """Hint a broadcast of `df` only when it has at most `max_rows` rows and
+    MAX_BROADCAST_BYTES bytes as text; else leave it to a shuffle join. Returns
+    (frame, bounded?); the frame is a reliable checkpoint either way, measured by an
+    aggregation, so nothing is computed twice and no row passes through the driver.
     """
-    rows = df.limit(max_rows + 1).collect()
-    if len(rows) > max_rows:
-        return df, False
-    local = df.sparkSession.createDataFrame(rows, df.schema)
-    return F.broadcast(local), True
+    staged = reliable_checkpoint(df)
+    width = sum((F.coalesce(F.octet_length(F.col(c).cast("string")), F.lit(0)) for c in staged.columns), F.lit(0))
+    size = staged.agg(F.count(F.lit(1)).alias("rows"),
+                      F.coalesce(F.sum(width.cast("long")), F.lit(0)).alias("bytes")).first()
+    bounded = size["rows"] <= max_rows and size["bytes"] <= MAX_BROADCAST_BYTES
+    return (F.broadcast(staged) if bounded else staged), bounded
 
 
 # Salt buckets for shuffle joins against a per-key table too large to broadcast.

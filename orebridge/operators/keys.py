@@ -48,24 +48,27 @@ def null_rows(df: DataFrame, cols: list[str]) -> dict[str, DataFrame]:
     return {f"NULL in {c}": df.where(F.col(c).isNull()).select(c) for c in cols}
 
 
-def assert_all_empty(checks: dict[str, DataFrame], sample: int = 5) -> None:
-    """Run several "must be empty" checks as one job; raise listing every failure.
+def long_values(df: DataFrame, limits: dict[str, int]) -> dict[str, DataFrame]:
+    """One "must be empty" check per VARCHAR(n) column: the rows holding a longer text."""
+    return {f"{c} longer than {n}": df.where(F.length(c) > n).select(c) for c, n in limits.items()}
 
-    Each check contributes at most `sample` rows, rendered as JSON.
-    """
+
+def assert_all_empty(checks: dict[str, DataFrame]) -> None:
+    """Run several "must be empty" checks as one job; raise naming every failed check with
+    its number of offending rows and two of them (the smallest and largest as JSON)."""
     if not checks:
         return
-    parts = [df.select(F.lit(name).alias("check"), F.to_json(F.struct("*")).alias("row")).limit(sample)
+    parts = [df.select(F.to_json(F.struct("*")).alias("row"))
+             .agg(F.count(F.lit(1)).alias("n"), F.min("row").alias("low"), F.max("row").alias("high"))
+             .where("n > 0").select(F.lit(name).alias("check"), "n", "low", "high")
              for name, df in checks.items()]
     union = parts[0]
     for p in parts[1:]:
         union = union.unionByName(p)
     bad = union.collect()
     if bad:
-        found: dict[str, list[str]] = {}
-        for r in bad:
-            found.setdefault(r.check, []).append(r.row)
-        raise KeyCheckError("; ".join(f"{k}: {v}" for k, v in found.items()))
+        raise KeyCheckError("; ".join(
+            f"{r.check}: {r.n} rows, e.g. {sorted({r.low, r.high})}" for r in bad))
 
 
 def insert_if_absent(incoming: DataFrame, existing: DataFrame, key_cols: list[str]) -> DataFrame:
@@ -79,8 +82,8 @@ def insert_if_absent(incoming: DataFrame, existing: DataFrame, key_cols: list[st
 def assign_surrogate_keys(df: DataFrame, out: str, order_cols: list[str],
                           start_after=None, materialized: bool = False) -> DataFrame:
     """Add `out` = 1, 2, ... in `order_cols` order, after `start_after` (a Column such as
-    a scalar subquery of the existing maximum, or an int). Numbering is distributed
-    (`running_total`); no single task sees all rows."""
+    a scalar subquery of the existing maximum, or an int). Small inputs (checked, see
+    `running_total`) are numbered by one window in one task, larger ones range by range."""
     base = F.lit(0).cast("long") if start_after is None else (
         F.lit(start_after).cast("long") if isinstance(start_after, int) else start_after)
     numbered = running_total(df, list(order_cols), before="__pos", materialized=materialized)
@@ -94,4 +97,4 @@ def max_key(existing: DataFrame, key: str):
 
 
 __all__ = ["KeyCheckError", "assert_all_empty", "assert_empty", "assign_surrogate_keys",
-           "fk_orphans", "insert_if_absent", "key_violations", "max_key", "null_rows"]
+           "fk_orphans", "insert_if_absent", "key_violations", "long_values", "max_key", "null_rows"]

@@ -44,7 +44,7 @@ def running_total(df: DataFrame, order_cols: list[str], group_cols: list[str] =
     staged = df.withColumn("__w", w)
     if not materialized:
         staged = reliable_checkpoint(staged)
-    if staged.limit(max_local_rows + 1).count() <= max_local_rows:
+    if staged.count() <= max_local_rows:
         out = _window_totals(staged, order_cols, group_cols, before, total)
     else:
         out = _distributed_totals(staged, order_cols, group_cols, before, total)

@@ -167,6 +167,13 @@ DIM_TIME_COLS = """CAST(year(full_date) AS INTEGER) AS year,
        CAST(isodow(full_date) - 1 AS INTEGER) AS day_of_week,
        'DIA' AS shift"""
 
+# The same chain with an assay for every reading, and with results that take some hours more.
+EVERY = BASE.replace("FROM events WHERE event_id % 25 < 2", "FROM events")
+HOURLY = EVERY.replace("CAST(event_id % 60 + 2 + event_id % 4 AS INT) AS result_date",
+                       "CAST(event_id % 60 + 2 + event_id % 4 AS INT)\n"
+                       "          + INTERVAL '1' HOUR * CAST(event_id % 24 AS INT) AS result_date")
+
+# Output columns, band labels and limits below are fixed values of the compared results.
 ORACLE: dict[str, str] = {
     "duplicate_flags": BASE + f"""
 SELECT {proj(RAW_COLS)}, is_duplicate FROM (
@@ -229,13 +236,15 @@ SELECT count(*) AS total_rows,
        count(*) FILTER (WHERE qc_passed) AS qc_passed
 FROM sensor_t""",
 
-    "transform_assay": BASE + f"""
-SELECT {proj(ASSAY_FACT_COLS)} FROM fact_assay""",
+    "transform_assay": EVERY + """
+SELECT assay_id, reading_id, sample_date, result_date, CAST(assay_cu_grade AS DOUBLE) AS assay_cu_grade,
+       CAST(datediff('microsecond', sample_date, result_date) AS DOUBLE) / 86400000000.0 AS turnaround_days
+FROM assay_raw""",
 
     "fact_sensor": BASE + f"""
 SELECT {proj(SENSOR_FACT_COLS)} FROM fact_sensor""",
 
-    "fact_assay": BASE + f"""
+    "fact_assay": EVERY + f"""
 SELECT {proj(ASSAY_FACT_COLS)} FROM fact_assay""",
 
     "dim_equipment": BASE + """
@@ -331,7 +340,36 @@ SELECT equipment_id, count(*) AS total_readings,
        {ratio('count(*) FILTER (WHERE qc_passed) * 10000', 'count(*)', 2)} AS qc_pass_rate_pct
 FROM fact_sensor GROUP BY equipment_id""",
 
-    "turnaround_summary": BASE + """
+    "mean_turnaround": HOURLY + """
+SELECT round(CAST(sum(datediff('microsecond', sample_date, result_date)) AS DOUBLE) / count(*) / 86400000000.0, 6)
+       AS mean_turnaround_days
+FROM assay_raw""",
+
+    "turnaround_lines": HOURLY + """,
+t AS (
+  SELECT CAST(sum(turnaround_days) AS DOUBLE) / count(*) AS avg_t, CAST(max(turnaround_days) AS DOUBLE) AS max_t
+  FROM fact_assay)
+SELECT printf('Turnaround promedio : %.2f días', avg_t) AS line FROM t
+UNION ALL SELECT printf('Turnaround máximo   : %.2f días', max_t) FROM t""",
+
+    "table_row_counts": BASE + """,
+dates AS (
+  SELECT CAST("timestamp" AS DATE) AS d FROM sensor_raw UNION SELECT CAST(sample_date AS DATE) FROM assay_raw
+  UNION SELECT CAST(result_date AS DATE) FROM assay_raw),
+n AS (
+  SELECT 'dim_equipment' AS table_name, count(DISTINCT equipment_id) AS stored_rows FROM sensor_raw
+  UNION ALL SELECT 'dim_location', count(DISTINCT bench_id) FROM sensor_raw
+  UNION ALL SELECT 'dim_time', count(d) FROM dates
+  UNION ALL SELECT 'fact_sensor_readings', count(*) FROM fact_sensor
+  UNION ALL SELECT 'fact_assay_results', count(*) FROM fact_assay)
+SELECT table_name, stored_rows, stored_rows AS observed_rows FROM n""",
+
+    "csv_arrival_order": BASE + f"""
+SELECT {proj(RAW_COLS[1:])} FROM (
+  SELECT *, row_number() OVER (PARTITION BY reading_id ORDER BY ingest_seq) AS rn FROM sensor_raw)
+WHERE rn = 1""",
+
+    "turnaround_summary": EVERY + """
 SELECT coalesce(CAST(sum(turnaround_days) AS DOUBLE) / NULLIF(count(turnaround_days), 0), 0) AS avg_t,
        coalesce(CAST(max(turnaround_days) AS DOUBLE), 0) AS max_t
 FROM fact_assay""",

@@ -30,7 +30,8 @@ def _lookup(mapping: dict, key, default):
 
 
 def build_dim_equipment(sensor: DataFrame) -> DataFrame:
-    return sensor.select("equipment_id").distinct().select(
+    """One row per equipment; readings without one add no member."""
+    return sensor.select("equipment_id").where(F.col("equipment_id").isNotNull()).distinct().select(
         "equipment_id",
         F.lit(EQUIPMENT_TYPE).alias("equipment_type"),
         F.lit(EQUIPMENT_MODEL).alias("model"),
@@ -41,7 +42,7 @@ def build_dim_equipment(sensor: DataFrame) -> DataFrame:
 
 def build_dim_location(sensor: DataFrame) -> DataFrame:
     bench = F.col("bench_id")
-    return sensor.select("bench_id").distinct().select(
+    return sensor.select("bench_id").where(bench.isNotNull()).distinct().select(
         "bench_id",
         _lookup(BENCH_ELEVATION, bench, DEFAULT_ELEVATION).cast("int").alias("bench_elevation"),
         _lookup(BENCH_ZONE, bench, DEFAULT_ZONE).alias("zone"),

@@ -16,8 +16,8 @@ def _is_csv(path: str) -> bool:
 
 def extract(spark: SparkSession, sensor_path: str, assay_path: str) -> tuple[DataFrame, DataFrame]:
     """Raw sensor readings and assay results (A1, A2): typed CSV, or Parquet folders."""
-    from orebridge.sources import read_assay_csv, read_sensor_csv
-    sensor = read_sensor_csv(spark, sensor_path) if _is_csv(sensor_path) else spark.read.parquet(sensor_path)
+    from orebridge.sources import read_assay_csv, read_sensor_csv, read_sensor_parquet
+    sensor = read_sensor_csv(spark, sensor_path) if _is_csv(sensor_path) else read_sensor_parquet(spark, sensor_path)
     assay = read_assay_csv(spark, assay_path) if _is_csv(assay_path) else spark.read.parquet(assay_path)
     return sensor, assay
 
@@ -32,13 +32,12 @@ def run_etl(sensor_raw: DataFrame, assay_raw: DataFrame, warehouse: Warehouse,
     mode = "overwrite" if refresh else "append"
     if not refresh:
         warehouse.create()   # appends compare against the stored tables
-    # The facts are computed and staged while the dimensions load; their key checks
-    # against the dimensions run after both.
-    counts, staged = run_concurrently(
+    # Facts and dimensions are staged side by side; every check runs before the first
+    # table changes.
+    dims, staged = run_concurrently(
         warehouse.spark,
-        lambda: warehouse.load_dimensions(build_dim_equipment(sensor_raw),
-                                          build_dim_location(sensor_raw),
-                                          build_dim_time(sensor_raw, assay_raw), mode=mode),
+        lambda: warehouse.stage_dimensions(build_dim_equipment(sensor_raw),
+                                           build_dim_location(sensor_raw),
+                                           build_dim_time(sensor_raw, assay_raw), mode=mode),
         lambda: warehouse.stage_facts(sensor_fact(sensor_raw), assay_fact(assay_raw)))
-    counts.update(warehouse.load_facts(None, None, mode=mode, staged=staged))
-    return counts
+    return warehouse.load_facts(None, None, mode=mode, staged=staged, dims=dims)

@@ -16,7 +16,8 @@ from pyspark.sql import DataFrame, functions as F
 
 from orebridge import schemas
 from orebridge.operators import (flag_duplicates, flag_outliers, impute_group_median,
-                                 keep_first, limits_from_moments, median_from_counts, moments)
+                                 keep_first, limits_from_moments, median_from_counts, moments,
+                                 sigma_bounds)
 from orebridge.operators.joins import all_of
 from orebridge.session import reliable_checkpoint
 
@@ -82,7 +83,7 @@ def sensor_fact(raw: DataFrame) -> DataFrame:
 
 def outlier_bounds(raw: DataFrame) -> DataFrame:
     """The bounds the outlier flag uses (D1): mean, std, lower_limit, upper_limit."""
-    return medians_and_bounds(raw)[1]
+    return sigma_bounds(raw, GRADE)
 
 
 def qc_counters(raw: DataFrame) -> DataFrame:

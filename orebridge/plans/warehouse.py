@@ -33,7 +33,7 @@ from pyspark.sql import types as T
 from orebridge import schemas
 from orebridge.functions import month_start
 from orebridge.operators import (assert_all_empty, fk_orphans, insert_if_absent,
-                                 key_violations, max_key, null_rows)
+                                 key_violations, long_values, max_key, null_rows)
 from orebridge.plans import views
 from orebridge.plans.dims import with_location_ids, with_time_ids
 from orebridge.session import reliable_checkpoint
@@ -95,8 +95,10 @@ class Warehouse:
     """
 
     def __init__(self, spark: SparkSession, root: str, buckets: int | None = None,
-                 database: str = "default"):
+                 database: str = "default", tasks_per_bucket: int = 4):
         self.spark = spark
+        self.tasks_per_bucket = tasks_per_bucket
+        self._views_registered = False
         self.root = root.rstrip("/")
         self.buckets = buckets
         self.database = database
@@ -156,8 +158,8 @@ class Warehouse:
         df = df.select(*[F.col(f.name).cast(f.dataType) for f in _stored_schema(name).fields])
         partition_by = [PARTITION_COL] if name == "fact_sensor_readings" else []
         if self._bucketed(name):
-            # one bucket per task: files = buckets x month folders
-            df = df.repartition(self.buckets, "reading_id")
+            # partition number modulo buckets is the bucket: several tasks share each bucket
+            df = df.repartition(self.buckets * self.tasks_per_bucket, "reading_id")
         elif partition_by:
             # Contiguous (month, reading_id) ranges per task: about one file per task and
             # month folder instead of one per task x month, sorted for row-group skipping.
@@ -233,16 +235,37 @@ class Warehouse:
         With mode="overwrite" the tables are replaced (keys restart at 1). The three
         tables are independent and load concurrently; each is checked before its write.
         """
+        return self.publish_dimensions(
+            self.stage_dimensions(dim_equipment, dim_location, dim_time, mode), mode)
+
+    def stage_dimensions(self, dim_equipment: DataFrame, dim_location: DataFrame,
+                         dim_time: DataFrame, mode: str = "append") -> dict[str, DataFrame]:
+        """The checked rows each dimension would gain; nothing is written to a table."""
         incoming = {"dim_equipment": dim_equipment, "dim_location": dim_location,
                     "dim_time": dim_time}
         names = list(incoming)
+        staged = run_concurrently(self.spark, *[
+            (lambda n=n: self._stage_dimension(n, incoming[n], mode == "overwrite"))
+            for n in names])
+        return dict(zip(names, staged))
+
+    def publish_dimensions(self, staged: dict[str, DataFrame], mode: str = "append") -> dict[str, int]:
+        names = list(staged)
         counts = run_concurrently(self.spark, *[
-            (lambda n=n: self._load_dimension(n, incoming[n], mode == "overwrite"))
+            (lambda n=n: self._append_observed(n, staged[n], "overwrite" if mode == "overwrite" else "append"))
             for n in names])
         return dict(zip(names, counts))
 
-    def _load_dimension(self, name: str, incoming: DataFrame, replace: bool) -> int:
+    def _with_defaults(self, name: str, df: DataFrame) -> DataFrame:
+        """Columns the rows lack get the table's default (A10)."""
+        kinds = {f.name: f.dataType for f in schemas.TABLES[name].fields}
+        absent = {c: F.lit(v).cast(kinds[c]) for c, v in schemas.TABLE_DEFAULTS.get(name, {}).items()
+                  if c not in df.columns}
+        return df.withColumns(absent) if absent else df
+
+    def _stage_dimension(self, name: str, incoming: DataFrame, replace: bool) -> DataFrame:
         key = schemas.TABLE_KEYS[name]
+        incoming = self._with_defaults(name, incoming)
         existing = None if replace else self.table(name)
         staged = reliable_checkpoint(
             incoming if existing is None else insert_if_absent(incoming, existing, key))
@@ -250,6 +273,8 @@ class Warehouse:
             f"{name}: duplicate or NULL keys": key_violations(staged, key),
             **{f"{name}: {k}": v for k, v in
                null_rows(staged, schemas.TABLE_NOT_NULL[name]).items()},
+            **{f"{name}: {k}": v for k, v in
+               long_values(staged, schemas.TABLE_VARCHAR[name]).items()},
         })
         if name == "dim_location":
             start = None if existing is None else max_key(existing, "location_id")
@@ -259,11 +284,21 @@ class Warehouse:
             staged = with_time_ids(staged, start_after=start, materialized=True)
         if "created_at" in schemas.TABLES[name].fieldNames():
             staged = staged.withColumn("created_at", F.localtimestamp())
-        return self._append_observed(name, staged, "overwrite" if replace else "append")
+        return staged
 
     # ---- facts
-    def check_facts(self, sensor: DataFrame, assay: DataFrame, replace: bool = False) -> None:
-        """Raise KeyCheckError before any write if the batch breaks a constraint.
+    def _members(self, name: str, dims: dict[str, DataFrame] | None, replace: bool) -> DataFrame:
+        """Keys of a dimension as they will be once `dims` are published."""
+        key = schemas.TABLE_KEYS[name]
+        if not dims:
+            return self.table(name).select(*key)
+        new = dims[name].select(*key)
+        return new if replace else self.table(name).select(*key).unionByName(new)
+
+    def check_facts(self, sensor: DataFrame, assay: DataFrame, replace: bool = False,
+                    dims: dict[str, DataFrame] | None = None) -> None:
+        """Raise KeyCheckError before any write if the batch breaks a constraint. `dims`:
+        staged dimension rows that are to be published with the facts.
 
         All checks run as one job; the error lists every failed check.
         """
@@ -274,10 +309,11 @@ class Warehouse:
             f"{a_name}: duplicate or NULL keys": key_violations(assay, a_key),
             **{f"{s_name}: {k}": v for k, v in null_rows(sensor, schemas.TABLE_NOT_NULL[s_name]).items()},
             **{f"{a_name}: {k}": v for k, v in null_rows(assay, schemas.TABLE_NOT_NULL[a_name]).items()},
+            **{f"{s_name}: {k}": v for k, v in long_values(sensor, schemas.TABLE_VARCHAR[s_name]).items()},
             f"{s_name}.equipment_id not in dim_equipment":
-                fk_orphans(sensor, self.table("dim_equipment"), ["equipment_id"]),
+                fk_orphans(sensor, self._members("dim_equipment", dims, replace), ["equipment_id"]),
             f"{s_name}.bench_id not in dim_location":
-                fk_orphans(sensor, self.table("dim_location"), ["bench_id"]),
+                fk_orphans(sensor, self._members("dim_location", dims, replace), ["bench_id"]),
         }
         readings = sensor.select("reading_id")
         if not replace:
@@ -293,7 +329,7 @@ class Warehouse:
         """Compute both incoming facts once. Path tables: written in final layout to
         `_staging/<id>/` (row counts observed on the way). Bucketed tables: reliable
         checkpoints."""
-        sensor = sensor.select(*schemas.SENSOR_FACT_COLUMNS)
+        sensor = self._with_defaults("fact_sensor_readings", sensor).select(*schemas.SENSOR_FACT_COLUMNS)
         assay = assay.select(*schemas.ASSAY_FACT_COLUMNS)
         if self.buckets:
             s, a = run_concurrently(self.spark, lambda: reliable_checkpoint(sensor),
@@ -315,29 +351,41 @@ class Warehouse:
                            dict(zip(FACTS, counts)), folder)
 
     def load_facts(self, sensor: DataFrame | None, assay: DataFrame | None,
-                   mode: str = "append", staged: "StagedFacts | None" = None) -> dict[str, int]:
+                   mode: str = "append", staged: "StagedFacts | None" = None,
+                   dims: dict[str, DataFrame] | None = None) -> dict[str, int]:
         """Checked append (or overwrite) of both facts; nothing is published when a
-        check fails. `staged`: the result of `stage_facts`, if already computed."""
+        check fails. `staged`: the result of `stage_facts`, if already computed; `dims`:
+        staged dimensions, published after the checks and before the facts."""
         replace = mode == "overwrite"
         st = staged or self.stage_facts(sensor, assay)
         try:
-            self.check_facts(st.sensor, st.assay, replace=replace)
+            self.check_facts(st.sensor, st.assay, replace=replace, dims=dims)
         except Exception:
             if st.folder:
                 self._delete(st.folder)
             raise
+        counts = self.publish_dimensions(dims, mode) if dims else {}
         if st.folder:
             for name in FACTS:
                 self._publish(f"{st.folder}/{name}", name, replace)
             self._delete(st.folder)
-            return dict(st.counts)
+            self._refresh_views()
+            return {**counts, **st.counts}
         now = F.localtimestamp()
         s = st.sensor.withColumns({"loaded_at": now, PARTITION_COL: F.to_date(month_start("timestamp"))})
         written = run_concurrently(
             self.spark,
             lambda: self._append_observed("fact_sensor_readings", s, mode),
             lambda: self._append_observed("fact_assay_results", st.assay.withColumn("loaded_at", now), mode))
-        return dict(zip(FACTS, written))
+        self._refresh_views()
+        return {**counts, **dict(zip(FACTS, written))}
+
+    def _refresh_views(self) -> None:
+        """Point registered views at the files just published."""
+        for name in FACTS:
+            self.spark.catalog.refreshByPath(self.path(name))
+        if self._views_registered:
+            self.register_views()
 
     # ---- catalog and views
     def register_tables(self, database: str | None = None) -> None:
@@ -371,4 +419,5 @@ class Warehouse:
         }
         for key, df in frames.items():
             df.createOrReplaceTempView(VIEW_NAMES[key])
+        self._views_registered = True
         return frames

@@ -122,5 +122,20 @@ TABLE_NOT_NULL = {
     "fact_assay_results": ["sample_date", "result_date"],
 }
 
+# VARCHAR(n) limits of the declared tables.
+TABLE_VARCHAR = {
+    "dim_equipment": {"equipment_id": 20, "equipment_type": 50, "model": 50},
+    "dim_location": {"bench_id": 20, "zone": 20},
+    "dim_time": {"month_name": 20, "shift": 10},
+    "fact_sensor_readings": {"equipment_id": 20, "bench_id": 20},
+    "fact_assay_results": {},
+}
+
+# Column defaults applied on insert when the incoming rows lack the column.
+TABLE_DEFAULTS = {
+    "dim_equipment": {"active": True},
+    "fact_sensor_readings": {"is_outlier": False, "is_duplicate": False, "qc_passed": None},
+}
+
 SENSOR_FACT_COLUMNS = [f.name for f in FACT_SENSOR.fields if f.name != "loaded_at"]
 ASSAY_FACT_COLUMNS = [f.name for f in FACT_ASSAY.fields if f.name != "loaded_at"]

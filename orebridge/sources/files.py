@@ -47,20 +47,36 @@ def read_csv(spark: SparkSession, path: str, schema) -> DataFrame:
 def read_sensor_csv(spark: SparkSession, path: str) -> DataFrame:
     """Sensor readings CSV (header, parsed timestamp).
 
-    "First occurrence" means arrival order. If the file has no `ingest_seq` column it
-    is taken from the scan itself: `monotonically_increasing_id()` applied directly to
-    the file scan is (split index, row within split); splits of a file follow its byte
-    offsets and are fixed by the file sizes, so the value grows with the line position
-    and is the same when a task is re-run. Exact copies of a row are thus told apart.
+    "First occurrence" means arrival order: files by path, lines by position. If the files
+    have no `ingest_seq` column, rows are numbered in the order (file, byte offset of the
+    split, position in the split). The position comes from one materialised scan (a row's
+    number is fixed there), so later scans and re-run tasks agree on it.
     """
     header = spark.read.option("header", True).csv(path).columns
     schema = schemas.SENSOR_RAW if "ingest_seq" in header else schemas.SENSOR_CSV
     df = read_csv(spark, path, schema)
     if "ingest_seq" not in df.columns:
-        df = df.withColumn("ingest_seq", F.monotonically_increasing_id())
+        df = _numbered(df.withColumns({
+            "__file": F.col("_metadata.file_path"), "__split": F.col("_metadata.file_block_start"),
+            "__row": F.monotonically_increasing_id()}), ["__file", "__split", "__row"])
     return nan_to_null(df.select(*schemas.SENSOR_RAW.fieldNames()))
 
 
+def _numbered(df: DataFrame, order: list[str]) -> DataFrame:
+    """`df` materialised once, with ingest_seq = 1, 2, ... in `order`, which is dropped."""
+    from orebridge.operators.keys import assign_surrogate_keys
+    from orebridge.session import reliable_checkpoint
+    return assign_surrogate_keys(reliable_checkpoint(df), "ingest_seq", order, materialized=True).drop(*order)
+
+
+def read_sensor_parquet(spark: SparkSession, path: str) -> DataFrame:
+    """Sensor readings from Parquet; without `ingest_seq` they are numbered by file and row."""
+    df = spark.read.parquet(path)
+    if "ingest_seq" not in df.columns:
+        df = _numbered(with_file_order(df, "__file", "__row"), ["__file", "__row"])
+    return df.select(*schemas.SENSOR_RAW.fieldNames())
+
+
 def read_assay_csv(spark: SparkSession, path: str) -> DataFrame:
     """Assay results CSV (header, two parsed timestamps)."""
     return read_csv(spark, path, schemas.ASSAY_RAW)

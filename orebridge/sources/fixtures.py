@@ -77,10 +77,12 @@ def sensor_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sensor_raw_from_base(read_table(spark, sf_dir, "events"))
 
 
-def assay_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Raw assay results: 8% of readings, results 2-5 days after sampling."""
+def assay_raw(spark: SparkSession, sf_dir: str, every_reading: bool = False) -> DataFrame:
+    """Raw assay results, 2-5 days after sampling: of 8% of readings (the lab's coverage,
+    for the joins), or of every reading."""
     ev = read_table(spark, sf_dir, "events")
-    ev = ev.where(F.col("event_id") % ASSAY_EVERY < ASSAY_RESIDUES)
+    if not every_reading:
+        ev = ev.where(F.col("event_id") % ASSAY_EVERY < ASSAY_RESIDUES)
     shift = (F.col("event_id") % DAY_SPREAD).cast("int")
     offset = (F.round(F.col("value") * 100).cast("bigint")
               - 500 * (F.col("event_id") % 11 - 5)

@@ -3,7 +3,7 @@ from decimal import Decimal
 
 import pytest
 
-from orebridge import plans
+from orebridge import plans, schemas
 from orebridge.operators import KeyCheckError
 from orebridge.plans.warehouse import Warehouse
 from orebridge.sources import assay_raw, sensor_raw
@@ -149,3 +149,59 @@ def test_checked_append_publishes_into_month_folders(spark, tmp_root):
     assert wh.row_count("fact_assay_results") == assay.count()
     staging = os.path.join(tmp_root, "_staging")
     assert not os.path.exists(staging) or not [d for d in os.listdir(staging) if not d.startswith(".")]
+
+
+def _sensor(spark, rows):
+    return spark.createDataFrame(rows, schemas.SENSOR_RAW)
+
+
+def _reading(i, equipment="E1", bench="BENCH-100", tonnage="100"):
+    from decimal import Decimal
+    return (i, i, dt.datetime(2025, 1, 1), equipment, bench, Decimal("1.0"), Decimal("1.0"),
+            Decimal("0.5"), Decimal(tonnage))
+
+
+def _assays(spark, rows=()):
+    return spark.createDataFrame(list(rows), schemas.ASSAY_RAW)
+
+
+def test_null_members_load_and_long_ids_do_not(spark, tmp_root):
+    wh = Warehouse(spark, tmp_root)
+    plans.run_etl(_sensor(spark, [_reading(1), _reading(2, None, None)]), _assays(spark), wh)
+    assert wh.row_count("fact_sensor_readings") == 2
+    assert [r.equipment_id for r in wh.table("dim_equipment").collect()] == ["E1"]
+    assert wh.row_count("dim_location") == 1
+    with pytest.raises(KeyCheckError, match="longer than 20"):
+        plans.run_etl(_sensor(spark, [_reading(1, "E" * 21)]), _assays(spark), wh)
+
+
+def test_failed_refresh_changes_nothing_and_views_follow(spark, tmp_root):
+    from decimal import Decimal
+    wh = Warehouse(spark, tmp_root)
+    plans.run_etl(_sensor(spark, [_reading(1)]), _assays(spark), wh)
+    wh.register_views()
+    orphan = (1, 99, dt.datetime(2025, 1, 1), dt.datetime(2025, 1, 3), Decimal("0.5"))
+    with pytest.raises(KeyCheckError, match="reading_id not in"):
+        plans.run_etl(_sensor(spark, [_reading(1, "eNEW")]), _assays(spark, [orphan]), wh)
+    assert [r.equipment_id for r in wh.table("dim_equipment").collect()] == ["E1"]
+    assert spark.table("v_data_quality_report").first().equipment_id == "E1"
+    plans.run_etl(_sensor(spark, [_reading(1, "E2")]), _assays(spark), wh)
+    assert spark.table("v_data_quality_report").first().equipment_id == "E2"
+
+
+def test_absent_flag_columns_take_defaults(spark, tmp_root):
+    wh = Warehouse(spark, tmp_root)
+    sensor = plans.sensor_fact(_sensor(spark, [_reading(1)]))
+    dims = plans.build_dim_equipment(sensor).drop("active")
+    from orebridge.plans.dims import build_dim_location, build_dim_time
+    wh.load_dimensions(dims, build_dim_location(sensor), build_dim_time(sensor, _assays(spark)), mode="overwrite")
+    wh.load_facts(sensor.drop("is_outlier", "is_duplicate", "qc_passed"), plans.assay_fact(_assays(spark)), mode="overwrite")
+    row = wh.table("fact_sensor_readings").first()
+    assert (row.is_outlier, row.is_duplicate, row.qc_passed) == (False, False, None)
+    assert wh.table("dim_equipment").first().active is True
+
+
+def test_report_prints_every_row(spark, capsys):
+    df = spark.range(60).selectExpr("concat('line ', id) AS line")
+    plans.show_report({"lines": df})
+    assert capsys.readouterr().out.count("line ") == 60

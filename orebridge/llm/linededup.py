@@ -104,7 +104,7 @@ def _chunk_texts(batches):
                 texts.append(b"\n".join(lines[c["first"]:c["stop"]]))
         take = pa.array(rows, type=pa.int64())
         yield pa.RecordBatch.from_arrays([
-            batch.column(KEY[0]).take(take), batch.column(KEY[1]).take(take),
+            batch.column("__llm_id").take(take), batch.column(KEY[1]).take(take),
             *[pa.array([c[k] for c in cands], type=t) for k, t in
               (("h1", pa.int64()), ("h2", pa.int64()), ("first", pa.int32()), ("stop", pa.int32()),
                ("is_first", pa.bool_()))],
@@ -140,8 +140,9 @@ def remove_repeated_chunks(docs: DataFrame, id_col: str = "doc_id", text: str =
     """`docs` with repeated chunks removed from `text`, plus __llm_removed: the removed
     chunks as an array of (first, stop) line numbers (null where nothing was removed)."""
     marked = _marked(docs, text, id_col)
-    pieces = (marked.where(F.col("cand").isNotNull())
-              .select(F.col("__llm_id").alias("doc_id"), "__llm_hash", "__llm_text", "cand")
+    # Every column goes along, read or not: both uses of `marked` then need the same shuffle
+    # of the documents, which Spark writes once and reads twice.
+    pieces = (marked.where(F.col("cand").isNotNull()).drop(text)
               .mapInArrow(_chunk_texts, "doc_id long, __llm_hash long, h1 long, h2 long, first int, "
                                         "stop int, is_first boolean, bytes binary"))
     lead = pieces.where("is_first").groupBy("h1", "h2").agg(F.min("bytes").alias("lead_bytes"))

@@ -90,7 +90,8 @@ def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("op9_line_dedup")
 def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = linededup.remove_repeated_chunks(read_table(spark, sf_dir, "documents"))
+    # the two columns the result needs: the operator shuffles what it is given, once
+    rows = linededup.remove_repeated_chunks(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
     gone = F.coalesce("__llm_removed", F.array().cast("array<struct<first:int,stop:int>>"))
     return rows.select(
         "doc_id", F.size(gone).cast("long").alias("n_removed_chunks"),

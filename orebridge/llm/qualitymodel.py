@@ -189,7 +189,7 @@ def learn_quality(rows: DataFrame) -> AdditiveModel:
     """Fit on (text, label) rows, a bounded sample."""
     ship_code(rows.sparkSession)
     data = rows.select("label", feature_udf()("text").alias("f")).toPandas()
-    x = np.array(data["f"].tolist(), dtype=float).reshape(len(data), -1)
+    x = np.array(data["f"].tolist(), dtype=float).reshape(len(data), len(FEATURES))
     # the sample's order must not matter for the sums below
     order = np.lexsort([*x.T, data["label"].to_numpy()]) if len(data) else np.arange(0)
     return fit(x[order], data["label"].to_numpy(dtype=float)[order])

@@ -25,6 +25,7 @@ import numpy as np
 from pyspark.sql import DataFrame, functions as F
 
 from orebridge.llm.common import bounded_sample, learnable, ship_code, whole_text
+from orebridge.session import reliable_checkpoint
 
 TRAIN_ROWS = 40_000
 MAX_ENTRIES = 50_000
@@ -151,9 +152,17 @@ def learn_lexicon(rows: DataFrame) -> Lexicon:
         return Lexicon()
     counts = (rows.mapInArrow(_grams, "entry string, label int").groupBy("entry")
               .agg(F.sum("label").alias("t"), F.sum(1 - F.col("label")).alias("c")))
+    counts = reliable_checkpoint(counts.where(F.col("t") >= 2))
+    tried = max(1, counts.count())
     weight = (F.log((F.col("t") + 0.5) / (toxic + 1.0)) - F.log((F.col("c") + 0.5) / (clean + 1.0)))
-    kept = (counts.where(F.col("t") >= 2).withColumn("w", weight).where(F.col("w") >= MIN_WEIGHT)
-            .where(F.col("t") > 2 * F.col("c"))
+    # evidence against chance: the log-likelihood ratio of the entry's own toxic share to the
+    # sample's must outweigh the number of entries tried
+    rate, seen = toxic / (toxic + clean), F.col("t") + F.col("c")
+    evidence = (F.col("t") * F.log(F.col("t") / seen / F.lit(rate))
+                + F.when(F.col("c") > 0, F.col("c") * F.log(F.col("c") / seen / F.lit(1 - rate))).otherwise(0.0)
+                if clean else F.lit(float("inf")))
+    kept = (counts.withColumn("w", weight).where(F.col("w") >= MIN_WEIGHT)
+            .where((F.col("t") > 2 * F.col("c")) & (evidence >= float(np.log(tried))))
             .orderBy(F.desc(F.col("t") * F.col("w")), "entry").limit(MAX_ENTRIES).collect())
     lexicon = Lexicon()
     by_entry = {r["entry"]: r for r in kept}

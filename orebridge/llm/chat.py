@@ -95,11 +95,11 @@ def tree_paths(messages: DataFrame, branches: int | None = None) -> DataFrame:
         jumps.append(cur.select("c", "id", "up").where("up IS NOT NULL"))
         far = cur.select(F.col("c").alias("fc"), F.col("id").alias("fid"), F.col("up").alias("fup"),
                          F.col("gain").alias("fgain"), F.col("hops").alias("fhops"), F.col("root").alias("froot"))
-        cur = reliable_checkpoint(
-            cur.join(far, (F.col("c") == F.col("fc")) & (F.col("up") == F.col("fid")), "left")
-            .select("c", "id", F.col("fup").alias("up"), (F.col("gain") + F.coalesce("fgain", F.lit(0.0))).alias("gain"),
-                    (F.col("hops") + F.coalesce("fhops", F.lit(0).cast("long"))).alias("hops"),
-                    F.coalesce("froot", "root").alias("root")))
+        # only messages that have not reached their root move on
+        moved = (cur.where("up IS NOT NULL").join(far, (F.col("c") == F.col("fc")) & (F.col("up") == F.col("fid")))
+                 .select("c", "id", F.col("fup").alias("up"), (F.col("gain") + F.col("fgain")).alias("gain"),
+                         (F.col("hops") + F.col("fhops")).alias("hops"), F.col("froot").alias("root")))
+        cur = reliable_checkpoint(cur.where("up IS NULL").unionByName(moved))
     # what still has a way up is on, or below, a cycle
     parents = m.where("up IS NOT NULL").select(F.col("c").alias("pc"), F.col("up").alias("pid")).distinct()
     leaves = cur.where("up IS NULL").join(parents, (F.col("c") == F.col("pc")) & (F.col("id") == F.col("pid")), "left_anti")

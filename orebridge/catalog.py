@@ -21,8 +21,8 @@ from orebridge.operators import (fk_orphans, flag_duplicates, flag_outliers, gro
 from orebridge.plans.dims import distinct_dates, time_attributes
 from orebridge.plans.warehouse import Warehouse
 from orebridge.session import scratch_path
-from orebridge.sources import (assay_raw, read_csv, read_sensor_csv, read_table, sensor_base, sensor_raw,
-                               with_file_order, write_csv)
+from orebridge.sources import (assay_raw, read_assay_csv, read_csv, read_sensor_csv, read_table, sensor_base,
+                               sensor_raw, with_file_order, write_csv, write_parquet)
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -276,6 +276,23 @@ def q_clean_csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_csv(spark, path, cleaned.schema)
 
 
+@register("clean_parquet_roundtrip")
+def q_clean_parquet_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The cleaned sensor set written as Parquet and read back (A5)."""
+    path = scratch_path(spark, "sensor_clean_parquet")
+    write_parquet(plans.transform_sensor(sensor_raw(spark, sf_dir)), path)
+    return spark.read.parquet(path)
+
+
+@register("assay_csv_roundtrip")
+def q_assay_csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw assays written as CSV, read with the typed reader (A2) and transformed."""
+    path = scratch_path(spark, "assay_csv")
+    raw = assay_raw(spark, sf_dir, every_reading=True)
+    write_csv(raw.select(*schemas.ASSAY_RAW.fieldNames()), path)
+    return plans.transform_assay(read_assay_csv(spark, path))
+
+
 @register("full_refresh_roundtrip")
 def q_full_refresh_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Full ETL into a fresh warehouse folder (shared storage), the sensor fact read back."""

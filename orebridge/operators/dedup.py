@@ -33,7 +33,8 @@ def flag_duplicates(df: DataFrame, key_cols: list[str], order_cols: list[str],
     """Add `out`: TRUE on every row of a key after the first in `order_cols` order.
 
     The first order value per key comes from a hash aggregation (partial on the map
-    side), then joins back on key + order value. Because the order value is part of
+    side), or from `keep_first` when there are several order columns (group limit
+    before the shuffle), then joins back on key + order value. Because the order value is part of
     the join key, the rows of one hot key spread over all tasks. The order must be
     unique within a key (an arrival sequence is); NULL keys count as one key.
 
@@ -48,14 +49,10 @@ def flag_duplicates(df: DataFrame, key_cols: list[str], order_cols: list[str],
     match = list(row_id) if row_id and len(order_cols) > 1 else order_cols
     if len(order_cols) == 1:
         # min() skips NULLs: NULL order values come last, as in keep_first
-        first = F.min(order_cols[0]).alias(order_cols[0])
-        firsts = df.groupBy(*key_cols).agg(first)
+        firsts = df.groupBy(*key_cols).agg(F.min(order_cols[0]).alias(order_cols[0]))
     else:
-        # (isnull, value) pairs make NULLs sort last inside the struct, as in keep_first
-        fields = [x for i, c in enumerate(order_cols)
-                  for x in (F.col(c).isNull().alias(f"__null{i}"), F.col(c).alias(c))]
-        packed = df.groupBy(*key_cols).agg(F.min(F.struct(*fields)).alias("__first"))
-        firsts = packed.select(*key_cols, *[F.col(f"__first.{c}").alias(c) for c in match])
+        firsts = keep_first(df.select(*dict.fromkeys(key_cols + order_cols)), key_cols, order_cols)
+        firsts = firsts.select(*key_cols, *match)
     firsts = firsts.withColumn("__is_first", F.lit(True))
     joined = join_on(df, firsts, key_cols + match, "left", null_safe=True)
     return (joined.withColumn(out, F.col("__is_first").isNull())

@@ -409,5 +409,6 @@ FROM modified WHERE (reading_id + 3) % 1000 < 3""",
 
 # A written-and-read-back fact equals the fact computed in memory.
 ORACLE["full_refresh_roundtrip"] = ORACLE["fact_sensor"]
-ORACLE["clean_csv_roundtrip"] = ORACLE["transform_sensor"]
+ORACLE["clean_csv_roundtrip"] = ORACLE["clean_parquet_roundtrip"] = ORACLE["transform_sensor"]
+ORACLE["assay_csv_roundtrip"] = ORACLE["transform_assay"]
 ORACLE["warehouse_report_kpis"] = ORACLE["equipment_kpis"]

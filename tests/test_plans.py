@@ -4,7 +4,6 @@ import contextlib
 
 import pytest
 
-import __spark_entry__ as entry
 from orebridge import catalog
 from tests.conftest import SF_SMALL
 
@@ -41,7 +40,7 @@ def test_join_reuses_the_dedup_partitioning_at_scale(spark):
     assert plan.count("Exchange hashpartitioning(reading_id") == 2
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(catalog.QUERIES))
 def test_no_cross_products(spark, name):
     plan = plan_of(catalog.QUERIES[name](spark, SF_SMALL))
     assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan

@@ -230,7 +230,9 @@ def predict_language(docs: DataFrame, model: Model, text: str = "text") -> DataF
             at = stop
         return pd.DataFrame({"lang": names, "score": scores})
 
-    return docs.withColumn("__llm_lang", answer(whole_text(text))) \
+    # so marked, a filter on the answer is not pushed below it, which would parse twice
+    once = answer.asNondeterministic()
+    return docs.withColumn("__llm_lang", once(whole_text(text))) \
                .withColumn("lang_pred", F.col("__llm_lang.lang")) \
                .withColumn("score", F.col("__llm_lang.score")).drop("__llm_lang")
 

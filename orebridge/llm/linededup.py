@@ -158,6 +158,8 @@ def remove_repeated_chunks(docs: DataFrame, id_col: str = "doc_id", text: str =
         import pandas as pd
         return pd.Series([_without_lines(t, g) if g is not None else None for t, g in zip(texts, gone)], dtype=object)
 
+    # so marked, a filter on the cleaned text is not pushed below it, which would clean twice
+    without = without.asNondeterministic()
     touched = F.when(F.col("__llm_removed").isNotNull(), F.col("__llm_text"))   # only these go to Python
     cleaned = F.when(F.col("__llm_removed").isNull(), F.col("__llm_text")).otherwise(
         without(touched, F.col("__llm_removed")))

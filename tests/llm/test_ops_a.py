@@ -151,7 +151,7 @@ def test_packing_blocks_and_bounded_cache():
     batch = pa.RecordBatch.from_arrays([pa.array([d for d, _ in docs]), pa.array([t for _, t in docs])],
                                        ["doc_id", "text"])
     enc = packing.encoder(vocabulary())
-    enc.entries, enc.young, enc.old, enc.cores = 500, {}, {}, {}
+    enc.entries, enc.young, enc.old, enc.marks = 500, {}, {}, {}
     try:
         out = [r for b in packing.pack_partition([batch], vocabulary(), 512, 2, 1, block_tokens=5000)
                for r in b.to_pylist()]
@@ -160,6 +160,21 @@ def test_packing_blocks_and_bounded_cache():
     assert brute.check_pieces(out, docs, vocabulary(), 512) < 0.08
 
 
+def test_cached_words_equal_the_tokenizer():
+    """A small cache gives the tokenizer's ids for any characters."""
+    rng = random.Random(1)
+    signs = [chr(i) for i in range(0x20, 0x250)] + list(" .,' \t\n\x1c\xa0\u0301\u0307\u200bΣςıſ’“中文字漢カ가ß" * 3)
+    latin = [c for c in map(chr, range(0x41, 0x180)) if c.isalpha()]
+    texts = ["".join(rng.choices(signs, k=rng.randrange(60))) for _ in range(3000)]
+    texts += [" ".join("".join(rng.choices(latin, k=rng.randint(1, 9))) + rng.choice(["", ".", ",", "!?", "'s"])
+                       for _ in range(20)) for _ in range(500)]
+    texts += ["ŉ ª º", "ΑΣ ΣΑΣ", "x" * 500, "A" * 70 + ". " + "b" * 70, "it's I'LL <|endoftext|>"]
+    enc = packing.WordCachedEncoder(vocabulary(), 300)
+    want = [e.ids for e in enc.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+    assert [ids.tolist() for ids in enc.ids(texts)] == want
+    assert max(map(len, enc.young)) <= packing.LONG_WORD
+
+
 def test_cuts_are_optimal():
     """The monotone queue finds the cost of the plain quadratic recurrence."""
     rng = random.Random(11)

@@ -1,18 +1,29 @@
-"""Line dedup by content-defined line chunks.
+"""Line dedup by content-defined line chunks and word-counted line windows.
 
 A text is split at \\n. A rolling hash over the last `WINDOW` line hashes decides after
 which lines a chunk ends, so boundaries depend on nearby lines only and settle again after
 an insertion or deletion. A line of `LONG_LINE` words or more (an unwrapped paragraph) is a
 chunk of its own. Chunks of two or more lines that carry words, and long lines, are
-eligible. Of every eligible chunk that occurs more than once in the corpus, the first
-occurrence (smallest doc_id, nulls last; then text hash; then line number) stays and the
-others are removed, each only after its bytes were compared with the first occurrence's.
-
-Spark plan: (1) slim rows (128-bit chunk hash, row key, line numbers), (2) partial counts
-per hash, so a chunk that a third of all documents share travels as one row per task,
+eligible. Chunk edges depend on the lines around a passage, so windows join the chunks: from
+every line with words the fewest lines onwards, and up to every line with words the fewest
+lines back, that hold `PASSAGE_WORDS` words. These depend on their own lines only, and those
+inside a passage of that many words cover all of it, however it is wrapped and whatever
+stands around it.
+
+Of every chunk or window that occurs more than once in the corpus, the first occurrence
+(smallest doc_id, nulls last; then text hash; then line number) is no ground to remove
+anything; the lines of the others are removed, each only after the bytes were compared with
+the first occurrence's. Windows overlap: a line goes if any repeated window or chunk that is
+not a first occurrence holds it. An equal line then stands at an earlier place, so every
+removed line stays somewhere; of a passage repeated back to back in one text one copy stays.
+
+Spark plan, for chunks and windows alike: (1) slim rows (128-bit hash, row key, line
+numbers), (2) partial counts per hash, so a chunk that a third of all documents share
+travels as one row per task,
 (3) occurrences of repeated chunks go back to their documents (the only shuffle of whole
 texts), (4) only repeated chunks' bytes are shuffled for the comparison: all occurrences
 of one chunk meet its single first occurrence in a join that adaptive execution can split.
+Repeated lines of few words are compared once per window that holds them.
 
 Defined cases: null text stays null with nothing removed; empty text has no chunk; repeated
 rows (same id and text) are occurrences like any other in their chunks' first appearance
@@ -23,6 +34,8 @@ through.
 
 from __future__ import annotations
 
+from itertools import accumulate
+
 from pyspark.sql import DataFrame, functions as F
 
 from orebridge.llm.common import same_row, ship_code, text_hash
@@ -32,13 +45,46 @@ DIVISOR = 2                 # one line in two may end a chunk
 MIN_LINES = 2
 MAX_LINES = 16
 LONG_LINE = 40              # words from which a line is a chunk of its own
+PASSAGE_WORDS = 50          # words from which repeated lines are found however they are wrapped
 KEY = ("doc_id", "__llm_hash")
 _MIX = 0x9E3779B97F4A7C15
 _MASK = (1 << 64) - 1
 
 
+def word_count(line: bytes) -> int:
+    return len((line if line.isascii() else line.decode("utf-8", "surrogatepass")).split())
+
+
+def passage_windows(words: list[int]) -> set[tuple[int, int]]:
+    """The shortest windows of PASSAGE_WORDS words from, and up to, every line with words."""
+    out, total, end = set(), 0, 0
+    for i, n in enumerate(words):                   # total: words of lines i to end
+        while end < len(words) and total < PASSAGE_WORDS:
+            total += words[end]
+            end += 1
+        if total < PASSAGE_WORDS:
+            break
+        if n:
+            out.add((i, end))
+        total -= n
+    total, begin = 0, 0
+    for j, n in enumerate(words):                   # total: words of lines begin to j
+        total += n
+        while total - words[begin] >= PASSAGE_WORDS:
+            total -= words[begin]
+            begin += 1
+        if n and total >= PASSAGE_WORDS:
+            out.add((begin, j + 1))
+    return out
+
+
 def line_chunks(lines: list[bytes]) -> list[tuple[int, int]]:
-    """Eligible chunks as (first line, line behind the last)."""
+    """Eligible chunks and windows, sorted, as (first line, line behind the last)."""
+    words = [word_count(line) for line in lines]
+    return sorted(passage_windows(words).union(_content_chunks(lines, words)))
+
+
+def _content_chunks(lines: list[bytes], words: list[int]) -> list[tuple[int, int]]:
     from xxhash import xxh64_intdigest as digest
     out, begin, worded, recent = [], 0, 0, [0] * WINDOW
 
@@ -47,7 +93,7 @@ def line_chunks(lines: list[bytes]) -> list[tuple[int, int]]:
             out.append((begin, stop))
 
     for i, line in enumerate(lines):
-        if line.count(b" ") + 1 >= LONG_LINE and len(line.split()) >= LONG_LINE:
+        if words[i] >= LONG_LINE:
             close(i)
             out.append((i, i + 1))
             begin, worded, recent = i + 1, 0, [0] * WINDOW
@@ -74,9 +120,11 @@ def _chunk_rows(batches):
         for n, text in enumerate(batch.column("__llm_text").to_pylist()):
             if not text:
                 continue
-            lines = text.encode("utf-8", "surrogatepass").split(b"\n")
+            body = text.encode("utf-8", "surrogatepass")
+            lines, view = body.split(b"\n"), memoryview(body)
+            at = list(accumulate((len(line) + 1 for line in lines), initial=0))
             for a, b in line_chunks(lines):
-                h = digest(b"\n".join(lines[a:b]))
+                h = digest(view[at[a]:at[b] - 1])
                 rows.append(n)
                 high.append(h >> 64)
                 low.append(h & _MASK)

@@ -95,7 +95,8 @@ def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     gone = F.coalesce("__llm_removed", F.array().cast("array<struct<first:int,stop:int>>"))
     return rows.select(
         "doc_id", F.size(gone).cast("long").alias("n_removed_chunks"),
-        F.aggregate(gone, F.lit(0).cast("long"), lambda n, r: n + r["stop"] - r["first"]).alias("n_removed_lines"),
+        F.size(F.array_distinct(F.flatten(F.transform(      # windows overlap
+            gone, lambda r: F.sequence(r["first"], r["stop"] - 1))))).cast("long").alias("n_removed_lines"),
         F.array_join(F.transform(gone, lambda r: F.concat_ws(":", r["first"].cast("string"),
                                                              r["stop"].cast("string"))), ",").alias("removed_lines"),
         F.length("text").cast("long").alias("kept_chars"), "text")

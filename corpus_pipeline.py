@@ -7,7 +7,7 @@ return the columns of documents.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from orebridge.llm import decontaminate, langid, linededup, packing, simhash
 from orebridge.llm.queries import MAX_BITS, SHINGLE_WORDS, vocabulary
@@ -16,9 +16,10 @@ from orebridge.sources import read_table
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without any letter (null texts too) go; lang becomes the prediction."""
-    named = langid.identify_language(docs).where(f"lang_pred <> '{langid.UNKNOWN}'")
-    return named.withColumn("lang", named["lang_pred"]).select(*docs.columns)
+    """Documents without any letter (null texts too) go, and only these; lang becomes the
+    prediction, or stays where no language could be learned (score 0)."""
+    named = langid.identify_language(docs).where("has_letters")
+    return named.withColumn("lang", F.expr("if(score > 0, lang_pred, lang)")).select(*docs.columns)
 
 
 def remove_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -162,18 +162,18 @@ def phrase_counts(model: Model, texts: list[str]) -> tuple[np.ndarray, np.ndarra
     return counts, has
 
 
-def classify(model: Model, texts: list[str]) -> tuple[list[str], np.ndarray]:
-    """Language and score per text; score = the winner's share when each language weighs
-    2 ** -(bits above the winner / 4)."""
-    if not model.languages:
-        return [UNKNOWN] * len(texts), np.zeros(len(texts))
+def classify(model: Model, texts: list[str]) -> tuple[list[str], np.ndarray, np.ndarray]:
+    """Language, score and whether there is any letter, per text; score = the winner's share
+    when each language weighs 2 ** -(bits above the winner / 4)."""
     counts, has = phrase_counts(model, texts)
+    if not model.languages:
+        return [UNKNOWN] * len(texts), np.zeros(len(texts)), has
     bits = counts * model.weight[None, :]
     win = bits.argmin(axis=1)
     gap = bits - bits.min(axis=1, keepdims=True)
     score = 1.0 / np.exp2(-np.minimum(gap / 4.0, 60.0)).sum(axis=1)
     names = [model.languages[w] if h else UNKNOWN for w, h in zip(win.tolist(), has.tolist())]
-    return names, np.where(has, score, 0.0)
+    return names, np.where(has, score, 0.0), has
 
 
 def training_sample(docs: DataFrame, train_chars: int = TRAIN_CHARS, id_col: str = "doc_id",
@@ -208,15 +208,16 @@ def training_sample(docs: DataFrame, train_chars: int = TRAIN_CHARS, id_col: str
 
 
 def predict_language(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
-    """`docs` with lang_pred and score."""
+    """`docs` with lang_pred, score and has_letters. A score above 0 tells a learned label,
+    also one spelled `und`, from no answer."""
     spark = docs.sparkSession
     ship_code(spark)
     shared = spark.sparkContext.broadcast(model)
 
-    @F.pandas_udf("lang string, score double")
+    @F.pandas_udf("lang string, score double, letters boolean")
     def answer(texts):
         import pandas as pd
-        names, scores = [], []
+        names, scores, letters = [], [], []
         values = texts.tolist()
         at = 0
         while at < len(values):         # groups of about a million characters bound the memory
@@ -224,17 +225,19 @@ def predict_language(docs: DataFrame, model: Model, text: str = "text") -> DataF
             while stop < len(values) and (stop == at or chars + len(values[stop]) <= 1_000_000):
                 chars += len(values[stop])
                 stop += 1
-            n, s = classify(shared.value, values[at:stop])
+            n, s, has = classify(shared.value, values[at:stop])
             names.extend(n)
             scores.extend(s.tolist())
+            letters.extend(has.tolist())
             at = stop
-        return pd.DataFrame({"lang": names, "score": scores})
+        return pd.DataFrame({"lang": names, "score": scores, "letters": pd.Series(letters, dtype=bool)})
 
     # so marked, a filter on the answer is not pushed below it, which would parse twice
     once = answer.asNondeterministic()
     return docs.withColumn("__llm_lang", once(whole_text(text))) \
                .withColumn("lang_pred", F.col("__llm_lang.lang")) \
-               .withColumn("score", F.col("__llm_lang.score")).drop("__llm_lang")
+               .withColumn("score", F.col("__llm_lang.score")) \
+               .withColumn("has_letters", F.col("__llm_lang.letters")).drop("__llm_lang")
 
 
 def identify_language(docs: DataFrame, train_chars: int = TRAIN_CHARS) -> DataFrame:

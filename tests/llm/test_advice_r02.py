@@ -2,6 +2,9 @@
 
 import random
 
+import pytest
+
+import corpus_pipeline
 from orebridge.llm.queries import QUERIES
 from tests.llm.helpers import docs_rows, rows_of, write_tables
 
@@ -49,3 +52,25 @@ def test_wrapped_passages_go_whole(spark):
         want = passage_lines(pair, 50)
         assert [got[2 * n + k]["text"] for k in (0, 1)] == ["\n".join(x) for x in want]
         assert got[2 * n + 1]["n_removed_lines"] == len(pair[1].split("\n")) - len(want[1])
+
+
+PROSE = {"en": "The river runs down from the hills and the people of the town walk along it in the evening.",
+         "de": "Der Fluss kommt aus den Bergen und die Leute der Stadt gehen am Abend an seinem Ufer entlang.",
+         "und": "Rieka tečie z kopcov a ľudia z mesta sa večer prechádzajú po jej brehu až k mostu."}
+
+
+@pytest.mark.parametrize("labels, want", [
+    ({}, {}),                                       # nothing to learn from: lang stays null
+    ({"en": "en", "de": "de", "und": "und"}, {"en": "en", "de": "de", "und": "und"})])
+def test_language_stage_drops_only_letterless_documents(spark, labels, want):
+    rows = [(n, PROSE[k], labels.get(k), "s", len(PROSE[k])) for n, k in enumerate(list(PROSE) * 8)]
+    rows += [(100, "12 34 !", labels.get("en"), "s", 7), (101, None, None, "s", None), (102, "", None, "s", 0)]
+    sf = write_tables(documents=rows)
+    out = corpus_pipeline.identify_language(spark, spark.read.parquet(f"{sf}/documents.parquet"), sf)
+    assert {r["doc_id"]: r["lang"] for r in rows_of(out)} == {n: want.get(k) for n, k in enumerate(list(PROSE) * 8)}
+
+
+def test_language_stage_keeps_lang_where_all_labelled_rows_are_held_out(spark):
+    sf = write_tables(documents=[(None, PROSE["en"], "en", "s", 1), (None, "7", "en", "s", 1)])
+    out = corpus_pipeline.identify_language(spark, spark.read.parquet(f"{sf}/documents.parquet"), sf)
+    assert [(r["text"], r["lang"]) for r in rows_of(out)] == [(PROSE["en"], "en")]

@@ -3,8 +3,11 @@
 For every language a suffix automaton of labelled text is built. A text is parsed greedily
 into the longest phrases that occur in a language's training text; the expected length of
 such phrases is log2(n) / (cross entropy), so phrases * log2(n) estimates the bits the text
-costs under that language. The language needing fewest normalised phrases wins (ties: the
-first name in order).
+costs under that language. For short n the estimate is too low: a phrase ends without naming
+what follows. So each phrase costs `PHRASE_BITS` more, and each letter (or gap) that the
+language's training text never has costs the bits of one letter of the whole alphabet.
+Labels without any letter in their sample are left out. The language needing fewest bits wins
+(ties: the first name in order).
 
 Training is a bounded sample: for each language, whole labelled texts in hash order until
 `TRAIN_CHARS` normalised characters are reached (the last text is cut there). Only rows
@@ -33,6 +36,7 @@ from orebridge.llm.common import learnable, ship_code, whole_text
 TRAIN_CHARS = 24_000
 MAX_LETTERS = 120           # letters with a column of their own; the rest share one
 BLOCK = 256
+PHRASE_BITS = 4.0           # per phrase besides log2 of the training length
 UNKNOWN = "und"
 
 
@@ -63,7 +67,8 @@ class Model:
     width: int
     table: np.ndarray       # state * width + column -> next state, or ~(state after a restart)
     roots: np.ndarray       # root state per language
-    weight: np.ndarray      # log2 of the training length per language
+    weight: np.ndarray      # bits per phrase and language
+    unseen: float           # bits of a letter that a language never had
 
 
 def _suffix_automaton(seq: list[int], width: int) -> np.ndarray:
@@ -112,22 +117,30 @@ def fit(samples: dict[str, list[str]], train_chars: int = TRAIN_CHARS) -> Model:
     column[common] = np.arange(1, other)
     width = other + 1
     tables, roots, weight, base = [], [], [], 0
+    sequences = {lang: _normalised(codes[lang], column, np.array([0]))[0][:train_chars] for lang in languages}
+    languages = [lang for lang in languages if sequences[lang].any()]
     for lang in languages:
-        seq, _ = _normalised(codes[lang], column, np.array([0]))
-        seq = seq[:train_chars]
+        seq = sequences[lang]
         t = _suffix_automaton(seq.tolist(), width)
         restart = np.where(t[0] >= 0, t[0], 0) + base
         tables.append(np.where(t >= 0, t + base, ~restart[None, :]).astype(np.int32))
         roots.append(base)
-        weight.append(np.log2(max(2, len(seq))))
+        weight.append(np.log2(max(2, len(seq))) + PHRASE_BITS)
         base += len(t)
     table = np.concatenate(tables).ravel() if tables else np.zeros(0, dtype=np.int32)
-    return Model(languages, column, width, table, np.array(roots, dtype=np.int32), np.array(weight))
+    return Model(languages, column, width, table, np.array(roots, dtype=np.int32), np.array(weight),
+                 float(np.log2(width)))
 
 
 def phrase_counts(model: Model, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     """Phrases of each text under each language (texts x languages), and whether the text
     has any letter."""
+    counts, _, has = parse(model, texts)
+    return counts, has
+
+
+def parse(model: Model, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """As phrase_counts, with the characters each language never had between the two."""
     parts = [_codes(t) for t in texts]
     starts = np.concatenate(([0], np.cumsum([len(p) for p in parts]))).astype(np.int64)
     c, starts = _normalised(np.concatenate(parts) if parts else np.zeros(0, "<u4"), model.column, starts)
@@ -143,10 +156,12 @@ def phrase_counts(model: Model, texts: list[str]) -> tuple[np.ndarray, np.ndarra
     order = np.argsort(-size, kind="stable")
     begin, size, owner = begin[order], size[order], owner[order]
     langs = len(model.languages)
-    counts = np.zeros((len(texts), langs), dtype=np.int64)
+    counts, unseen = np.zeros((2, len(texts), langs), dtype=np.int64)
     for l in range(langs):
+        nowhere = ~model.roots[l]       # the step of a character that no phrase has
         state = np.full(len(begin), model.roots[l], dtype=np.int32)
         phrases = np.ones(len(begin), dtype=np.int32)
+        strange = np.zeros(len(begin), dtype=np.int32)
         live = len(begin)
         for t in range(BLOCK):
             while live and size[live - 1] <= t:
@@ -157,18 +172,20 @@ def phrase_counts(model: Model, texts: list[str]) -> tuple[np.ndarray, np.ndarra
             step = model.table.take(s.astype(np.int64) * model.width + c[begin[:live] + t])
             cut = step < 0
             phrases[:live] += cut
+            strange[:live] += step == nowhere
             state[:live] = np.where(cut, ~step, step)
         counts[:, l] = np.bincount(owner, weights=phrases, minlength=len(texts))
-    return counts, has
+        unseen[:, l] = np.bincount(owner, weights=strange, minlength=len(texts))
+    return counts, unseen, has
 
 
 def classify(model: Model, texts: list[str]) -> tuple[list[str], np.ndarray, np.ndarray]:
     """Language, score and whether there is any letter, per text; score = the winner's share
     when each language weighs 2 ** -(bits above the winner / 4)."""
-    counts, has = phrase_counts(model, texts)
+    counts, unseen, has = parse(model, texts)
     if not model.languages:
         return [UNKNOWN] * len(texts), np.zeros(len(texts)), has
-    bits = counts * model.weight[None, :]
+    bits = counts * model.weight[None, :] + unseen * model.unseen
     win = bits.argmin(axis=1)
     gap = bits - bits.min(axis=1, keepdims=True)
     score = 1.0 / np.exp2(-np.minimum(gap / 4.0, 60.0)).sum(axis=1)
@@ -181,7 +198,7 @@ def training_sample(docs: DataFrame, train_chars: int = TRAIN_CHARS, id_col: str
     """Bounded labelled text per language: hash-ordered whole texts whose total length just
     passes `train_chars`. Rows are thinned by hash first, with the rate each language's
     size allows, so only about twice the bound per language reaches the driver."""
-    rows = docs.where(learnable(id_col) & F.col(lang).isNotNull() & (F.length(whole_text(text)) > 0)).select(
+    rows = docs.where(learnable(id_col) & F.col(lang).isNotNull() & whole_text(text).rlike("\\p{L}")).select(
         F.col(lang).cast("string").alias("lang"), whole_text(text).alias("text"),
         F.xxhash64(F.col(id_col).cast("string"), whole_text(text)).alias("h"))
     sizes = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.sum(F.length("text")).alias("n")).collect()}

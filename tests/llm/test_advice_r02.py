@@ -5,7 +5,9 @@ import random
 import pytest
 
 import corpus_pipeline
+from orebridge.llm import langid
 from orebridge.llm.queries import QUERIES
+from tests.conftest import SF_CHECK
 from tests.llm.helpers import docs_rows, rows_of, write_tables
 
 
@@ -74,3 +76,25 @@ def test_language_stage_keeps_lang_where_all_labelled_rows_are_held_out(spark):
     sf = write_tables(documents=[(None, PROSE["en"], "en", "s", 1), (None, "7", "en", "s", 1)])
     out = corpus_pipeline.identify_language(spark, spark.read.parquet(f"{sf}/documents.parquet"), sf)
     assert [(r["text"], r["lang"]) for r in rows_of(out)] == [(PROSE["en"], "en")]
+
+
+@pytest.mark.parametrize("tiny", ["ok", "hello", " 12 34 ", "7", "The quick brown fox."])
+def test_a_tiny_language_takes_no_documents(spark, tiny):
+    docs = spark.read.parquet(f"{SF_CHECK}/documents.parquet").select("doc_id", "text", "lang")
+    rows = [r for r in rows_of(docs) if r["text"]]
+    model = langid.fit(langid.training_sample(docs) | {"xx": [tiny]})
+    names, _, _ = langid.classify(model, [r["text"] for r in rows])
+    assert "xx" not in names
+    assert sum(n == r["lang"] for n, r in zip(names, rows)) / len(rows) > 0.97
+    assert ("xx" in model.languages) == any(c.isalpha() for c in tiny)
+
+
+def test_a_letterless_sample_is_no_language():
+    model = langid.fit({"xx": ["12 34 !"], "en": [PROSE["en"]]})
+    assert model.languages == ["en"]
+    assert langid.classify(model, [PROSE["en"], "12"])[0] == ["en", "und"]
+
+
+def test_a_two_character_language_is_still_found():
+    model = langid.fit({"en": [PROSE["en"] * 20], "de": [PROSE["de"] * 20], "xx": ["ok"]})
+    assert langid.classify(model, ["okokokokokok ok okok", PROSE["en"], PROSE["de"]])[0] == ["xx", "en", "de"]

@@ -117,12 +117,17 @@ def _candidate_windows(n: int) -> Column:
         F.array_join(F.slice("words", s + 1, n), " ").alias("win")))
 
 
+def _widest(spans: Column) -> Column:
+    """Of (pos, reach) spans sorted by position and reach, the last of each position."""
+    return F.filter(spans, lambda s, i: F.coalesce(F.get(spans, i + 1)["pos"] != s["pos"], F.lit(True)))
+
+
 def _covered(spans: Column) -> Column:
-    """Words covered by (pos, reach) spans sorted by position. No window is longer than 13
-    words, so only the 12 spans before one can reach further than it does; with reaches
-    made non-decreasing, each span adds the words up to the next one's position."""
+    """Words covered by (pos, reach) spans sorted by position, one per position. No window is
+    longer than 13 words, so only the 12 spans before one can reach further than it does;
+    with reaches made non-decreasing, each span adds the words up to the next one's position."""
     reach = F.transform(spans, lambda s, i: F.array_max(F.transform(
-        F.slice(spans, F.greatest(i - (2 * WINDOW), F.lit(1)), F.least(i + 1, F.lit(2 * WINDOW + 2))),
+        F.slice(spans, F.greatest(i + 2 - WINDOW, F.lit(1)), F.least(i + 1, F.lit(WINDOW))),
         lambda x: x["reach"])))
     added = F.transform(spans, lambda s, i: F.least(
         F.get(reach, i), F.coalesce(F.get(spans, i + 1)["pos"], F.get(reach, i))) - s["pos"])
@@ -160,7 +165,8 @@ def contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
         F.array_sort(F.collect_set(span)).alias("spans"),
         F.array_sort(F.array_distinct(F.transform(F.flatten(F.collect_set("ids")),
                                                   lambda i: i.cast("string")))).alias("items"))
-    out = per_doc.withColumn("n_hit", _covered(F.col("spans")))
+    out = (per_doc.withColumn("__llm_widest", _widest(F.col("spans")))
+           .withColumn("n_hit", _covered(F.col("__llm_widest"))))
     return (out.withColumn("__llm_copy", F.explode(F.array_repeat(F.lit(0), F.col("rows"))))   # repeated rows
             .select(*KEY, "n_words", "n_hit", "items", "spans",
                     ((F.col("n_hit") > 0) & (20 * F.col("n_hit") >= F.col("n_words"))).alias("contaminated")))

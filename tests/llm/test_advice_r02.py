@@ -98,3 +98,12 @@ def test_a_letterless_sample_is_no_language():
 def test_a_two_character_language_is_still_found():
     model = langid.fit({"en": [PROSE["en"] * 20], "de": [PROSE["de"] * 20], "xx": ["ok"]})
     assert langid.classify(model, ["okokokokokok ok okok", PROSE["en"], PROSE["de"]])[0] == ["xx", "en", "de"]
+
+
+def test_many_short_items_do_not_hide_a_window(spark):
+    shared = "r r r r r r r r r x1 x2 x3 x4"
+    text = shared + "".join(f" own{i}" for i in range(187))
+    items = [(0, shared)] + [(n, " ".join("r" * n)) for n in range(1, 6)]
+    sf = write_tables(documents=docs_rows([(1, text)]), benchmark=items)
+    got, = rows_of(QUERIES["op7_decontamination"](spark, sf))
+    assert (got["n_words"], got["n_hit"], got["n_items"], got["contaminated"]) == (200, 13, 6, True)

@@ -91,11 +91,15 @@ def _removed_chars(pattern: str) -> Column:
     return F.length(_TEXT) - F.length(F.regexp_replace(F.col(_TEXT), pattern, ""))
 
 
+# Scripts written without spaces between words: a run between white space is no word there.
+UNSPACED = "[\\p{IsHan}\\p{IsHiragana}\\p{IsKatakana}\\p{IsThai}\\p{IsLao}\\p{IsKhmer}\\p{IsMyanmar}\\p{IsTibetan}]"
+
 # Rules beyond the base test; thresholds leave ordinary prose of any script alone.
 RULES = (
     Rule("symbols", lambda: 10 * F.col("n_symbols") > 3 * F.col("n_words")),
     Rule("word_length", lambda: (F.col("word_chars") < 2 * F.col("n_words"))
-         | (F.col("word_chars") > 15 * F.col("n_words"))),
+         | ((F.col("word_chars") > 15 * F.col("n_words"))
+            & (2 * _removed_chars(UNSPACED) <= F.col("word_chars")))),
     Rule("repeated_lines", lambda: (2 * F.col("n_dup_lines") > _size(_LINES)) & (F.col("n_dup_lines") >= 3)),
     Rule("capitals", lambda: 2 * _removed_chars("\\p{Lu}") > F.col("word_chars")),
     Rule("no_letters", lambda: 2 * _removed_chars("\\p{L}") < F.col("word_chars")),

@@ -107,3 +107,15 @@ def test_many_short_items_do_not_hide_a_window(spark):
     sf = write_tables(documents=docs_rows([(1, text)]), benchmark=items)
     got, = rows_of(QUERIES["op7_decontamination"](spark, sf))
     assert (got["n_words"], got["n_hit"], got["n_items"], got["contaminated"]) == (200, 13, 6, True)
+
+
+def test_unspaced_prose_is_no_long_word(spark):
+    rng = random.Random(3)
+
+    def prose(first, last):
+        return " ".join("".join(chr(rng.randint(first, last)) for _ in range(rng.randint(20, 30))) for _ in range(60))
+
+    rows = [(1, prose(0x4E00, 0x9000)), (2, prose(0x3042, 0x3093)), (3, prose(0x0E01, 0x0E2E)), (4, prose(0x61, 0x7A))]
+    got = rows_of(QUERIES["op4_quality_rules"](spark, write_tables(documents=docs_rows(rows))))
+    assert {r["doc_id"]: (r["base_failed"], r["kept"]) for r in got} == {
+        1: (False, True), 2: (False, True), 3: (False, True), 4: (False, False)}

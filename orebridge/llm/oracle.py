@@ -36,6 +36,155 @@ SELECT doc_id, len(words)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hi
 FROM d LEFT JOIN covered USING (rid) LEFT JOIN found USING (rid)
 """
 
+# CRC-32 of a decimal id: polynomial division bit by bit over its ASCII bytes.
+_CRC = """(list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split({0}, ''), lambda c: ascii(c)::BIGINT)),
+  lambda crc, byte: list_reduce(list_prepend(xor(crc, byte), range(8)),
+    lambda r, i: CASE WHEN r % 2 = 1 THEN xor(r // 2, 3988292384) ELSE r // 2 END)))"""
+
+
+def _field(value: str) -> str:
+    return f"coalesce(strlen(({value})::VARCHAR)::VARCHAR || ':' || ({value})::VARCHAR, '-')"
+
+
+def _leaf(n_chars: str = "n_chars") -> str:
+    fields = ("doc_id", "source", "lang", n_chars, "text")
+    return "sha256(" + " || ".join(_field(f) for f in fields) + ")"
+
+
+_OP11 = f"""
+WITH RECURSIVE crc AS (
+  SELECT *, doc_id IS NOT NULL AND xor({_CRC.format("doc_id::VARCHAR")}, 4294967295) % 7 = 0 AS tampered FROM documents),
+d AS (
+  SELECT row_number() OVER () AS rid, doc_id, lang, {_leaf()} AS leaf,
+         CASE WHEN tampered THEN {_leaf("n_chars::HUGEINT + 1")} END AS other
+  FROM crc),
+leaves AS (
+  SELECT *, row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos,
+         count(*) OVER (PARTITION BY lang) AS n
+  FROM d),
+lv AS (
+  SELECT lang, 0 AS k, pos, leaf AS digest, n FROM leaves
+  UNION ALL
+  SELECT lang, k + 1, pos // 2, sha256(string_agg(digest, '' ORDER BY pos)), any_value((n + 1) // 2)
+  FROM lv WHERE n > 1 GROUP BY lang, k, pos // 2),
+parts AS (
+  SELECT lang, digest, k AS height, row_number() OVER (ORDER BY lang NULLS FIRST) - 1 AS pos, count(*) OVER () AS n
+  FROM lv WHERE n = 1),
+tv AS (
+  SELECT 0 AS k, pos, digest, n FROM parts
+  UNION ALL
+  SELECT k + 1, pos // 2, sha256(string_agg(digest, '' ORDER BY pos)), any_value((n + 1) // 2)
+  FROM tv WHERE n > 1 GROUP BY k, pos // 2),
+root AS (SELECT digest AS root, k AS height FROM tv WHERE n = 1),
+steps AS (
+  SELECT l.rid, w.k, l.pos >> w.k AS at, s.digest AS sibling
+  FROM (SELECT l.rid, l.lang, l.pos, unnest(range(p.height)) AS k FROM leaves l JOIN parts p ON l.lang IS NOT DISTINCT FROM p.lang) w
+  JOIN leaves l USING (rid)
+  LEFT JOIN lv s ON s.lang IS NOT DISTINCT FROM w.lang AND s.k = w.k AND s.pos = xor(w.pos >> w.k, 1)
+  UNION ALL
+  SELECT w.rid, w.height + w.k, w.pos >> w.k, s.digest
+  FROM (SELECT l.rid, p.height, p.pos, unnest(range(root.height)) AS k
+        FROM leaves l JOIN parts p ON l.lang IS NOT DISTINCT FROM p.lang, root) w
+  LEFT JOIN tv s ON s.k = w.k AND s.pos = xor(w.pos >> w.k, 1)),
+folded AS (
+  SELECT rid, 0 AS k, coalesce(other, leaf) AS node FROM leaves
+  UNION ALL
+  SELECT f.rid, f.k + 1, sha256(CASE WHEN s.sibling IS NULL THEN f.node WHEN s.at % 2 = 0 THEN f.node || s.sibling
+                                     ELSE s.sibling || f.node END)
+  FROM folded f JOIN steps s ON f.rid = s.rid AND f.k = s.k),
+ends AS (SELECT rid, arg_max(node, k) AS folded_root FROM folded GROUP BY rid),
+proofs AS (SELECT rid, sha256(coalesce(string_agg(sibling, '' ORDER BY k), '')) AS proof_sha256 FROM steps GROUP BY rid)
+SELECT l.doc_id, l.leaf, p.digest AS subroot, root.root, coalesce(proof_sha256, sha256('')) AS proof_sha256,
+       folded_root, folded_root = root.root AS verified
+FROM leaves l JOIN parts p ON l.lang IS NOT DISTINCT FROM p.lang JOIN ends USING (rid) LEFT JOIN proofs USING (rid), root
+"""
+
+_OP12 = """
+WITH v AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label::BIGINT + 1) % 10 ELSE label::BIGINT END AS label,
+         list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS q
+  FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+pairs AS (
+  SELECT a.vec_id AS anchor_id, b.vec_id AS other, a.label = b.label AS same, list_inner_product(a.q, b.q)::BIGINT AS score
+  FROM v a JOIN v b ON a.vec_id % 50 = 0 AND a.vec_id <> b.vec_id),
+positives AS (
+  SELECT anchor_id, other AS positive_id, score AS positive_score FROM pairs WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other) <= 5)
+SELECT anchor_id, positive_id,
+       row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY n.score DESC, n.other)::INTEGER AS rank,
+       n.other AS negative_id, positive_score, n.score AS negative_score
+FROM positives JOIN pairs n USING (anchor_id)
+WHERE NOT n.same AND 50 * positive_score <= 100 * n.score AND 100 * n.score <= 95 * positive_score
+QUALIFY row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY n.score DESC, n.other) <= 3
+"""
+
+
+def _text_key(text: str) -> str:
+    bare = rf"regexp_replace({text}, '[\x09-\x0D\x20\x{{A0}}]+', '', 'g')"
+    return f"CASE WHEN length({bare}) > 0 THEN md5({bare}) END"
+
+
+def _shrink(table: str, prior: str, out: str, cols: str) -> str:
+    """Rates of `table` (n, k) shrunk to column `prior`; the weight by the method of moments."""
+    return f"""
+  SELECT {cols}, n, k, {prior}, weight, (k + weight * {prior}) / (n + weight) AS {out}
+  FROM {table}, (
+    SELECT 1 / least(greatest(coalesce(
+        sum((k - n * {prior}) * (k - n * {prior}) - n * {prior} * (1 - {prior}))
+        / nullif(sum(n * (n - 1) * {prior} * (1 - {prior})), 0), 0.0001), 0.0001), 0.5) - 1 AS weight
+    FROM {table})"""
+
+
+_SHOWN = r"""
+  replace(replace(replace(replace(replace(replace(replace(regexp_replace(
+    regexp_extract(html, '(?s)<article[^>]*>(?:.*?</h1>)?(.*?)</article>', 1), '<[^>]*>', ' ', 'g'),
+    '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&#x27;', ''''), '&#39;', ''''), '&nbsp;', ' '), '&amp;', '&')"""
+
+_OP13 = rf"""
+WITH p AS (
+  SELECT page_id, translate(regexp_extract(coalesce(url, ''), '(?s)^.*?://([^/?#]*)', 1),
+                            'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+         regexp_extract(coalesce(url, ''), '(?s)^.*?://[^/?#]*([^?#]*)', 1) AS path,
+         {_text_key("shown")} AS key
+  FROM (SELECT *, {_SHOWN} AS shown FROM pages)),
+marked AS (
+  SELECT doc_id, max(greatest(1 - quality, toxic)) AS bad FROM labels
+  WHERE doc_id IS NOT NULL AND greatest(1 - quality, toxic) IS NOT NULL GROUP BY doc_id),
+texts AS (
+  SELECT key, (2 * sum(bad) >= count(*))::BIGINT AS bad
+  FROM (SELECT doc_id, {_text_key("text")} AS key FROM documents) JOIN marked USING (doc_id)
+  WHERE key IS NOT NULL GROUP BY key),
+hosts0 AS (
+  SELECT host, count(bad)::DOUBLE AS n, coalesce(sum(bad), 0)::DOUBLE AS k,
+         array_to_string(list_slice(string_split(host, '.'), -2, -1), '.') AS domain,
+         string_split(host, '.')[-1] AS suffix
+  FROM p LEFT JOIN texts USING (key) GROUP BY host),
+domains0 AS (SELECT domain, suffix, sum(n) AS n, sum(k) AS k FROM hosts0 GROUP BY domain, suffix),
+ends0 AS (SELECT suffix, sum(n) AS n, sum(k) AS k FROM domains0 GROUP BY suffix),
+ends1 AS (SELECT ends0.*, (all_k + 1) / (all_n + 2) AS overall FROM ends0, (SELECT sum(n) AS all_n, sum(k) AS all_k FROM ends0)),
+ends AS ({_shrink("ends1", "overall", "suffix_rate", "suffix")}),
+domains1 AS (SELECT domains0.*, suffix_rate FROM domains0 JOIN ends USING (suffix)),
+domains AS ({_shrink("domains1", "suffix_rate", "domain_rate", "domain")}),
+hosts1 AS (SELECT hosts0.*, domain_rate FROM hosts0 JOIN domains USING (domain)),
+hosts AS ({_shrink("hosts1", "domain_rate", "rate", "host")}),
+ruled AS (
+  SELECT *, CASE WHEN (host = 'example.org' OR host LIKE '%.example.org') AND path LIKE '/en/1%' THEN 'example.org/en/1'
+                 WHEN (host = 'example.org' OR host LIKE '%.example.org') AND path LIKE '/es/%' THEN 'example.org/es/'
+                 WHEN (host = 'com' OR host LIKE '%.com') AND path LIKE '/de/%' THEN 'com/de/'
+                 WHEN (host = 'com' OR host LIKE '%.com') AND path LIKE '/fr/%' THEN 'com/fr/'
+                 WHEN (host = 'org' OR host LIKE '%.org') AND path LIKE '/%' THEN 'org/' END AS rule
+  FROM p)
+SELECT page_id, host, path, rule,
+       CASE WHEN rule IN ('org/', 'com/fr/') THEN 'allow' WHEN rule IS NOT NULL THEN 'block'
+            WHEN rate - 1.645 * sqrt(rate * (1 - rate) / (n + weight + 1)) > 0.5 THEN 'block' ELSE 'allow' END AS verdict
+FROM ruled JOIN hosts USING (host)
+"""
+
 ORACLE: dict[str, str] = {
     "op7_decontamination": _OP7,
+    "op11_merkle_manifest": _OP11,
+    "op12_hard_negatives": _OP12,
+    "op13_url_filter": _OP13,
 }

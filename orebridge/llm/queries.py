@@ -7,8 +7,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from orebridge.llm import (chat, decontaminate, langid, linededup, packing, qualitymodel,
-                           qualityrules, secrets, simhash, toxicity)
+from orebridge.llm import (chat, decontaminate, hardnegatives, langid, linededup, merkle, packing,
+                           qualitymodel, qualityrules, secrets, simhash, toxicity, urlfilter)
 from orebridge.llm.common import held_out
 from orebridge.sources import read_table
 
@@ -106,3 +106,33 @@ def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_quality_model(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = qualitymodel.classify_quality(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
     return rows.select("doc_id", held_out().alias("held_out"), "score", "predicted")
+
+
+@register("op11_merkle_manifest")
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tampered copies have one character more in n_chars where 7 divides crc32(doc_id)."""
+    tampered = F.crc32(F.col("doc_id").cast("string")) % 7 == 0
+    more = F.col("n_chars").cast("decimal(20,0)") + 1
+    rows = merkle.prove_documents(read_table(spark, sf_dir, "documents"), {"n_chars": more}, tampered)
+    return rows.select("doc_id", "leaf", "subroot", "root", merkle.proof_digest(F.col("path")).alias("proof_sha256"),
+                       "folded_root", "verified")
+
+
+@register("op12_hard_negatives")
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    moved = F.coalesce(F.col("vec_id") % 7 == 0, F.lit(False))
+    rows = read_table(spark, sf_dir, "embeddings").withColumn(
+        "label", F.when(moved, (F.col("label").cast("long") + 1) % 10).otherwise(F.col("label").cast("long")))
+    return hardnegatives.mine_hard_negatives(rows, "vec_id", "embedding", "label", F.col("vec_id") % 50 == 0)
+
+
+# The rules of the URL query.
+URL_RULES = [urlfilter.Rule("allow", "org", "/"), urlfilter.Rule("block", "example.org", "/es/"),
+             urlfilter.Rule("block", "example.org", "/en/1"), urlfilter.Rule("allow", "com", "/fr/"),
+             urlfilter.Rule("block", "com", "/de/")]
+
+
+@register("op13_url_filter")
+def op13_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = urlfilter.judge_pages(*[read_table(spark, sf_dir, t) for t in ("pages", "documents", "labels")], URL_RULES)
+    return rows.select("page_id", "host", "path", "rule", "verdict")

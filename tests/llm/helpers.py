@@ -13,7 +13,10 @@ DOCS = pa.schema([("doc_id", pa.int64()), ("text", pa.string()), ("lang", pa.str
 LABELS = pa.schema([("doc_id", pa.int64()), ("quality", pa.int32()), ("toxic", pa.int32())])
 BENCH = pa.schema([("item_id", pa.int64()), ("text", pa.string())])
 CONV = pa.schema([("conv_id", pa.int64()), ("turn", pa.int64()), ("role", pa.string()), ("text", pa.string())])
-SCHEMAS = {"documents": DOCS, "labels": LABELS, "benchmark": BENCH, "conversations": CONV}
+VECS = pa.schema([("vec_id", pa.int64()), ("embedding", pa.list_(pa.float32())), ("label", pa.int32())])
+PAGES = pa.schema([("page_id", pa.int64()), ("url", pa.string()), ("html", pa.string())])
+SCHEMAS = {"documents": DOCS, "labels": LABELS, "benchmark": BENCH, "conversations": CONV,
+           "embeddings": VECS, "pages": PAGES}
 
 
 def docs_rows(pairs) -> list[tuple]:

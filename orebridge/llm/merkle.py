@@ -9,8 +9,7 @@ a block is built and when siblings are read. Block roots are the leaves of the n
 until one node is left; the parts' roots form one more tree of the same kind.
 
 Rows: null fields are `-` in a leaf; a null key sorts first, a null part is a part. Rows
-with equal keys are ordered by their digests, equal rows stand side by side (they are
-counted before they are ranked, so many copies of one row move as one). An empty table
+with equal keys are ordered by their digests, equal rows stand side by side. An empty table
 gives empty results. Other columns are not read.
 """
 
@@ -21,10 +20,11 @@ from dataclasses import dataclass
 from functools import lru_cache
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, functions as F, types as T
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame, Window as W, functions as F, types as T
 
 from orebridge.llm.common import ship_code
-from orebridge.operators.joins import join_on
+from orebridge.operators.joins import broadcast_if_bounded, join_on
 from orebridge.operators.ordering import running_total
 from orebridge.session import reliable_checkpoint
 
@@ -35,7 +35,7 @@ FIELDS = ("doc_id", "source", "lang", "n_chars", "text")
 
 PART, POS, SIZE, NODE = "__llm_part", "__llm_pos", "__llm_size", "__llm_node"
 KEY, OTHER, BLOCK = "__llm_key", "__llm_other", "__llm_block"
-ITEMS, LAYOUT, PATH = "__llm_items", "__llm_layout", "__llm_path"
+ITEMS, LAYOUT, PATH, SUBROOT = "__llm_items", "__llm_layout", "__llm_path", "__llm_subroot"
 
 
 # ---- digests
@@ -186,12 +186,25 @@ def build_tree(nodes: DataFrame) -> Tree:
 
 def ranked_leaves(leaves: DataFrame) -> DataFrame:
     """Leaves (part, key, node, other) with their position in their part and the part's size.
-    Equal rows are counted first and spread out again after the ranking."""
-    counted = leaves.groupBy(PART, KEY, NODE, OTHER).agg(F.count(F.lit(1)).alias("__llm_n"))
-    ranked = running_total(counted, [KEY, NODE, OTHER], [PART], weight="__llm_n",
-                           before="__llm_before", total=SIZE, max_local_rows=0)
-    last = F.col("__llm_before") + F.col("__llm_n") - 1
-    return ranked.select(PART, SIZE, F.explode(F.sequence("__llm_before", last)).alias(POS), KEY, NODE, OTHER)
+
+    Sorted into ranges once; a row's number is its place in its range plus the rows of its
+    part in the ranges before, from one count per range and part. Equal rows are told apart
+    by their place in the input, so copies of one row spread over ranges too.
+    """
+    order = [F.col(c).asc_nulls_first() for c in (PART, KEY, NODE, "__llm_row")]
+    ranged = reliable_checkpoint(
+        leaves.withColumn("__llm_row", F.monotonically_increasing_id())
+        .repartitionByRange(*order).sortWithinPartitions(*order)
+        .select(PART, KEY, NODE, OTHER, F.spark_partition_id().alias("__llm_range"),
+                F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1)).alias("__llm_at")))
+    counts = ranged.groupBy(PART, "__llm_range").agg(F.count(F.lit(1)).alias("n"), F.min("__llm_at").alias("first"))
+    of_part = W.partitionBy(PART)
+    earlier = F.sum("n").over(of_part.orderBy("__llm_range").rowsBetween(W.unboundedPreceding, -1))
+    starts = counts.select(PART, "__llm_range", F.sum("n").over(of_part).alias(SIZE),
+                           (F.coalesce(earlier, F.lit(0)) - F.col("first")).alias("__llm_start"))
+    # one row per range and part in it: at most ranges + parts rows
+    placed = join_on(ranged, broadcast_if_bounded(starts)[0], [PART, "__llm_range"], "inner", null_safe=True)
+    return placed.select(PART, SIZE, (F.col("__llm_start") + F.col("__llm_at")).alias(POS), KEY, NODE, OTHER)
 
 
 def build_manifest(leaves: DataFrame) -> Manifest:
@@ -207,61 +220,63 @@ def build_manifest(leaves: DataFrame) -> Manifest:
 
 
 # ---- proofs
+# Blocks read at a time: 4,096 paths in memory.
+SLICE = 64
+
+
 def _expand(batches):
-    """One row per leaf of each block, its path through the block followed by the block's."""
-    names = [PART, POS, KEY, NODE, OTHER, "__llm_subroot", PATH]
-    for batch in batches:
-        cols = {n: batch.column(n).to_pylist() for n in (PART, SIZE, LAYOUT, "__llm_subroot", PATH)}
-        items = batch.column(ITEMS)
-        flat, counts = items.flatten(), items.value_lengths().to_pylist()
-        out, at = {n: [] for n in (PART, "__llm_subroot", PATH)}, 0
-        for row, count in enumerate(counts):
-            height = block_height(cols[SIZE][row])
-            above = cols[PATH][row] or []
-            out[PART] += [cols[PART][row]] * count
-            out["__llm_subroot"] += [cols["__llm_subroot"][row]] * count
-            out[PATH] += [read_path(cols[LAYOUT][row], height, count, i) + above for i in range(count)]
-            at += count
-        yield pa.RecordBatch.from_arrays([
-            pa.array(out[PART], batch.schema.field(PART).type), flat.field(POS), flat.field(KEY),
-            flat.field(NODE), flat.field(OTHER), pa.array(out["__llm_subroot"], pa.binary()),
-            pa.array(out[PATH], pa.list_(pa.string()))], names=names)
+    """One row per leaf of each block: its path through the block followed by the block's own,
+    and the root that path leads to from `other`, or from the leaf where there is none."""
+    for whole in batches:
+        for start in range(0, whole.num_rows, SLICE):
+            yield _expanded(whole.slice(start, SLICE))
+
+
+def _expanded(batch: pa.RecordBatch) -> pa.RecordBatch:
+    parts, sizes, layouts, subroots, above = (
+        batch.column(n).to_pylist() for n in (PART, SIZE, LAYOUT, SUBROOT, PATH))
+    items = batch.column(ITEMS)
+    flat, counts = items.flatten(), items.value_lengths().to_pylist()
+    checked = pc.coalesce(flat.field(OTHER), flat.field(NODE)).to_pylist()
+    of, roots, paths = [], [], []
+    for row, count in enumerate(counts):
+        height = block_height(sizes[row])
+        of += [row] * count
+        paths += [read_path(layouts[row], height, count, i) + above[row] for i in range(count)]
+    roots = [fold_path(leaf, path) for leaf, path in zip(checked, paths)]
+    return pa.RecordBatch.from_arrays([
+        pa.array([parts[r] for r in of], pa.string()), flat.field(POS), flat.field(KEY), flat.field(NODE),
+        pa.array([subroots[r] for r in of], pa.binary()), pa.array(paths, pa.list_(pa.string())),
+        pa.array(roots, pa.string())], names=[PART, POS, KEY, NODE, SUBROOT, PATH, "folded_root"])
+
+
+_PATHS = (f"{PART} string, {POS} long, {KEY} long, {NODE} binary, {SUBROOT} binary, {PATH} array<string>, "
+          "folded_root string")
 
 
 def _paths(tree: Tree, top: DataFrame) -> DataFrame:
-    """(part, pos, key, node, other, subroot, path to the end of `top`) for every leaf. `top`
-    holds part, subroot and the path above the part's root. Blocks are read from the root
-    down, so only block roots' paths are joined, never those of leaves."""
+    """(part, pos, key, node, subroot, path to the end of `top`, root it leads to) for every
+    leaf. `top` holds part, subroot and the path above the part's root. Blocks are read from
+    the root down, so only block roots' paths are joined, never those of leaves."""
     below = None
     for blocks in reversed(tree.levels):
-        dtype = blocks.schema[PART].dataType
-        ended = join_on(blocks.where(F.col(SIZE) <= 1 << BLOCK_HEIGHT), top, [PART], "inner", null_safe=True)
-        joined = ended
+        joined = join_on(blocks.where(F.col(SIZE) <= 1 << BLOCK_HEIGHT), top, [PART], "inner", null_safe=True)
         if below is not None:
-            above = below.select(PART, F.col(POS).alias(BLOCK), "__llm_subroot", PATH)
-            inner = join_on(blocks.where(F.col(SIZE) > 1 << BLOCK_HEIGHT), above, [PART, BLOCK], "inner", null_safe=True)
-            joined = ended.unionByName(inner)
-        schema = (f"{PART} {dtype.simpleString()}, {POS} long, {KEY} long, {NODE} binary, {OTHER} binary, "
-                  f"__llm_subroot binary, {PATH} array<string>")
-        below = joined.mapInArrow(_expand, schema)
+            above = below.select(PART, F.col(POS).alias(BLOCK), SUBROOT, PATH)
+            joined = joined.unionByName(join_on(
+                blocks.where(F.col(SIZE) > 1 << BLOCK_HEIGHT), above, [PART, BLOCK], "inner", null_safe=True))
+        below = joined.mapInArrow(_expand, _PATHS)
     return below
 
 
 def inclusion_proofs(manifest: Manifest) -> DataFrame:
-    """One row per leaf: part, pos, key, node, other, subroot and path to the manifest's root."""
-    empty = F.array().cast("array<string>")
-    ends = manifest.top.levels[-1].select(PART, F.lit(None).cast("binary").alias("__llm_subroot"),
-                                          empty.alias(PATH))
-    upper = _paths(manifest.top, ends).select(POS, F.col(NODE).alias("__llm_subroot"), PATH)
-    return _paths(manifest.parts, join_on(upper, manifest.order, [POS]).select(PART, "__llm_subroot", PATH))
-
-
-def _fold_udf():
-    @F.arrow_udf("string")
-    def fold(leaves: pa.Array, paths: pa.Array) -> pa.Array:
-        return pa.array([fold_path(leaf, path) for leaf, path in
-                         zip(leaves.to_pylist(), paths.to_pylist())], pa.string())
-    return fold
+    """One row per leaf: part, pos, key, node, subroot, path to the manifest's root, and
+    folded_root: what the path makes of `other` (the digest a receiver computed of its copy
+    of the row), or of the stored leaf where that is null."""
+    ends = manifest.top.levels[-1].select(PART, F.lit(None).cast("binary").alias(SUBROOT),
+                                          F.array().cast("array<string>").alias(PATH))
+    upper = _paths(manifest.top, ends).select(POS, F.col(NODE).alias(SUBROOT), PATH)
+    return _paths(manifest.parts, join_on(upper, manifest.order, [POS]).select(PART, SUBROOT, PATH))
 
 
 def proof_digest(path: Column) -> Column:
@@ -269,13 +284,6 @@ def proof_digest(path: Column) -> Column:
     return F.sha2(F.array_join(F.transform(F.filter(path, lambda s: s != "-"), lambda s: F.substring(s, 2, 64)), ""), 256)
 
 
-def verify_rows(proofs: DataFrame, root: str | None) -> DataFrame:
-    """Adds folded_root, from `other` (the digest a receiver computed of its copy of the row)
-    where there is one, else from the stored leaf, and verified."""
-    return (proofs.withColumn("folded_root", _fold_udf()(F.coalesce(OTHER, NODE), F.col(PATH)))
-            .withColumn("verified", F.col("folded_root") == F.lit(root)))
-
-
 def document_leaves(docs: DataFrame, other: dict[str, Column] | None = None, altered: Column | None = None) -> DataFrame:
     """Leaves of documents per lang. `other`: replaced fields of the copy that is checked, for
     the rows where `altered` holds."""
@@ -290,8 +298,7 @@ def prove_documents(docs: DataFrame, other: dict[str, Column] | None = None, alt
     """Every document's leaf, proof and the outcome of its check: doc_id, leaf, subroot, root,
     path (array of steps), folded_root, verified."""
     manifest = build_manifest(document_leaves(docs, other, altered))
-    rows = verify_rows(inclusion_proofs(manifest), manifest.root)
-    return rows.select(
-        F.col(KEY).alias("doc_id"), F.lower(F.hex(NODE)).alias("leaf"),
-        F.lower(F.hex("__llm_subroot")).alias("subroot"), F.lit(manifest.root).alias("root"),
-        F.col(PATH).alias("path"), "folded_root", "verified")
+    root = F.lit(manifest.root).cast("string")
+    return inclusion_proofs(manifest).select(
+        F.col(KEY).alias("doc_id"), F.lower(F.hex(NODE)).alias("leaf"), F.lower(F.hex(SUBROOT)).alias("subroot"),
+        root.alias("root"), F.col(PATH).alias("path"), "folded_root", (F.col("folded_root") == root).alias("verified"))

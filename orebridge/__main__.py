@@ -24,8 +24,9 @@ def main(argv=None) -> int:
     ap.add_argument("--master", default=None,
                     help="Spark master for local runs (spark-submit sets it otherwise)")
     ap.add_argument("--buckets", type=int, default=None,
-                    help="bucket both facts by reading_id (catalog tables) for shuffle-free joins")
-    ap.add_argument("--database", default="default", help="catalog database for bucketed facts")
+                    help="bucket both facts by reading_id for shuffle-free joins")
+    ap.add_argument("--database", default=None,
+                    help="catalog database of the tables and views (default: named after the warehouse folder)")
     sub = ap.add_subparsers(dest="cmd", required=True)
     etl = sub.add_parser("etl")
     etl.add_argument("--sensor", required=True, help="raw sensor readings: .csv file/folder or Parquet")
@@ -55,22 +56,23 @@ def main(argv=None) -> int:
         sensor, assay = plans.extract(spark, args.sensor, args.assay)
         from orebridge.session import size_shuffle_partitions
         size_shuffle_partitions(spark, sensor, assay)
+        stats = plans.raw_statistics(sensor, repeated=True)      # once for all steps
         if args.processed:
             from orebridge.sources import write_csv
             out = args.processed.rstrip("/")
-            write_csv(plans.transform_sensor(sensor), f"{out}/sensor_readings_clean")
+            write_csv(plans.transform_sensor(sensor, stats=stats), f"{out}/sensor_readings_clean")
             write_csv(plans.transform_assay(assay), f"{out}/assay_results_clean")
         if args.counters:
-            counters = plans.qc_counters(sensor).first().asDict()
-            bounds = plans.outlier_bounds(sensor).first().asDict()
+            counters = plans.qc_counters(sensor, stats).first().asDict()
+            bounds = stats.bounds().first().asDict()
             print(json.dumps({**counters, **{k: bounds[k] for k in ("lower_limit", "upper_limit")}}))
-        counts = plans.run_etl(sensor, assay, wh, refresh=not args.append)
+        counts = plans.run_etl(sensor, assay, wh, refresh=not args.append, stats=stats)
         counts["elapsed_seconds"] = round(time.perf_counter() - start, 2)
         print(json.dumps(counts))
         return 0
 
+    plans.show_report(plans.warehouse_report(wh))
     sensor, assay = wh.table("fact_sensor_readings"), wh.table("fact_assay_results")
-    plans.show_report(plans.quality_report(sensor, assay))
     kwargs = {"sla_days": args.sla_days} if args.sla_days is not None else {}
     plans.run_summary(sensor, assay, **kwargs).show(truncate=False)
     return 0

@@ -7,7 +7,7 @@ per key before any join, so a key holding a third of the rows moves as one row.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from orebridge.operators.joins import all_of
 from orebridge.operators.ordering import running_total
@@ -53,15 +53,38 @@ def long_values(df: DataFrame, limits: dict[str, int]) -> dict[str, DataFrame]:
     return {f"{c} longer than {n}": df.where(F.length(c) > n).select(c) for c, n in limits.items()}
 
 
-def assert_all_empty(checks: dict[str, DataFrame]) -> None:
-    """Run several "must be empty" checks as one job; raise naming every failed check with
-    its number of offending rows and two of them (the smallest and largest as JSON)."""
-    if not checks:
-        return
+def declared_checks(not_null: list[str], varchar: dict[str, int]) -> dict[str, tuple[Column, str]]:
+    """The same as row checks for `failed_rows`: name -> (condition that must hold in no row,
+    column to show)."""
+    return {**{f"NULL in {c}": (F.col(c).isNull(), c) for c in not_null},
+            **{f"{c} longer than {n}": (F.length(c) > n, c) for c, n in varchar.items()}}
+
+
+_FOUND = "array<struct<check:string,n:bigint,low:string,high:string>>"
+
+
+def failed_rows(df: DataFrame, checks: dict[str, tuple[Column, str]]) -> DataFrame:
+    """Row checks that fail, with the number of offending rows and the smallest and largest
+    offending value as JSON. All checks share one scan of `df`."""
+    found = []
+    for name, (cond, col) in checks.items():
+        value = F.when(cond, F.to_json(F.struct(col)))
+        found.append(F.struct(F.lit(name).alias("check"), F.count_if(cond).alias("n"),
+                              F.min(value).alias("low"), F.max(value).alias("high")))
+    rows = df.agg(F.array(*found).cast(_FOUND).alias("found"))
+    return rows.select(F.inline("found")).where("n > 0")
+
+
+def assert_all_empty(checks: dict[str, DataFrame], row_checks: list[DataFrame] = ()) -> None:
+    """Run several "must be empty" checks, and row checks (`failed_rows`), as one job; raise
+    naming every failed check with its number of offending rows and two of them (the smallest
+    and largest as JSON)."""
     parts = [df.select(F.to_json(F.struct("*")).alias("row"))
              .agg(F.count(F.lit(1)).alias("n"), F.min("row").alias("low"), F.max("row").alias("high"))
              .where("n > 0").select(F.lit(name).alias("check"), "n", "low", "high")
-             for name, df in checks.items()]
+             for name, df in checks.items()] + list(row_checks)
+    if not parts:
+        return
     union = parts[0]
     for p in parts[1:]:
         union = union.unionByName(p)
@@ -97,4 +120,4 @@ def max_key(existing: DataFrame, key: str):
 
 
 __all__ = ["KeyCheckError", "assert_all_empty", "assert_empty", "assign_surrogate_keys",
-           "fk_orphans", "insert_if_absent", "key_violations", "long_values", "max_key", "null_rows"]
+           "declared_checks", "failed_rows", "fk_orphans", "insert_if_absent", "key_violations", "long_values", "max_key", "null_rows"]

@@ -15,7 +15,7 @@ loss) must not move rows between partitions.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window as W, functions as F
+from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from orebridge.operators.joins import broadcast_if_bounded, join_on
 from orebridge.session import reliable_checkpoint
@@ -89,3 +89,27 @@ def _distributed_totals(staged, order_cols, group_cols, before, total):
     out = join_on(local, offsets, ["__part", *group_cols], "inner", null_safe=True)
     return (out.withColumn(before, F.col("__off") + F.col("__local"))
             .drop("__part", "__local", "__ptot", "__off"))
+
+
+def with_position(df: DataFrame, order: list[Column], out: str = "position",
+                  max_local_rows: int = DEFAULT_MAX_LOCAL_ROWS) -> DataFrame:
+    """Add `out` = 1, 2, ... in the order of `order` (sort columns such as
+    `F.col("mae").asc_nulls_last()`), so the order of a result is part of its rows.
+
+    Small inputs (checked) are numbered by one window. Larger ones are sorted into ranges;
+    each task numbers its own and adds the rows of the ranges before, one count per
+    partition. Rows that tie in `order` are numbered in any, but one fixed, way.
+    """
+    staged = reliable_checkpoint(df)
+    if staged.count() <= max_local_rows:
+        return staged.withColumn(out, F.row_number().over(W.orderBy(*order)).cast("long"))
+    ranged = reliable_checkpoint(
+        staged.repartitionByRange(*order).sortWithinPartitions(*order)
+        .withColumns({"__part": F.spark_partition_id(), "__at": F.monotonically_increasing_id()}))
+    # the number of a row within its partition is the lower part of its increasing id
+    local = ranged.withColumn("__at", F.col("__at").bitwiseAND(F.lit((1 << 33) - 1)))
+    sizes = local.groupBy("__part").agg(F.count(F.lit(1)).alias("__n"))
+    before = F.sum("__n").over(W.orderBy("__part").rowsBetween(W.unboundedPreceding, -1))
+    offsets, _ = broadcast_if_bounded(sizes.select("__part", F.coalesce(before, _zero()).alias("__off")))
+    return (local.join(offsets, "__part").withColumn(out, F.col("__off") + F.col("__at") + 1)
+            .drop("__part", "__at", "__off"))

@@ -260,7 +260,7 @@ SELECT row_number() OVER (ORDER BY bench_id NULLS FIRST) AS location_id, bench_i
                      WHEN 'BENCH-110' THEN 'OXIDE' ELSE 'UNKNOWN' END AS zone
 FROM (SELECT DISTINCT bench_id FROM sensor_raw)""",
 
-    "dim_time": BASE + f""",
+    "dim_time": EVERY + f""",
 dates AS (
   SELECT CAST("timestamp" AS DATE) AS full_date FROM sensor_raw
   UNION SELECT CAST(sample_date AS DATE) FROM assay_raw
@@ -270,7 +270,7 @@ SELECT row_number() OVER (ORDER BY full_date) AS time_id, full_date,
        {DIM_TIME_COLS}
 FROM dates WHERE full_date IS NOT NULL""",
 
-    "dim_insert_new": BASE + f""",
+    "dim_insert_new": EVERY + f""",
 existing AS (SELECT DISTINCT CAST("timestamp" AS DATE) AS full_date FROM sensor_raw),
 incoming AS (
   SELECT CAST(sample_date AS DATE) AS full_date FROM assay_raw
@@ -407,8 +407,71 @@ SELECT ingest_seq + 4611686018427387904 AS ingest_seq, {proj(RAW_COLS[1:])}
 FROM modified WHERE (reading_id + 3) % 1000 < 3""",
 }
 
+_MONTHS = """CAST(date_trunc('month', "timestamp") AS TIMESTAMP)"""
+_SENSOR_NOTE = ("Online sensor grade readings, one row per shovel load: every load, fast, less precise than the lab.")
+_ASSAY_NOTE = ("Lab assays of samples taken from loads: about 8% of loads, precise, results 2-5 working days later. "
+               "reading_id refers to fact_sensor_readings.")
+
+ORACLE |= {
+    "append_row_counts": BASE + """,
+dates AS (
+  SELECT CAST("timestamp" AS DATE) AS d FROM fact_sensor UNION SELECT CAST(sample_date AS DATE) FROM assay_raw
+  UNION SELECT CAST(result_date AS DATE) FROM assay_raw),
+n AS (
+  SELECT 'dim_equipment' AS table_name, count(DISTINCT equipment_id) AS stored_rows FROM sensor_raw
+  UNION ALL SELECT 'dim_location', count(DISTINCT bench_id) FROM sensor_raw
+  UNION ALL SELECT 'dim_time', count(d) FROM dates
+  UNION ALL SELECT 'fact_sensor_readings', count(*) FROM fact_sensor
+  UNION ALL SELECT 'fact_assay_results', count(*) FROM fact_assay)
+SELECT table_name, stored_rows, 2 AS n_loads, 1 AS n_rejected FROM n""",
+
+    "table_comments": BASE + f"""
+SELECT 'fact_sensor_readings' AS table_name, '{_SENSOR_NOTE}' AS comment, count(*) AS stored_rows FROM fact_sensor
+UNION ALL SELECT 'fact_assay_results', '{_ASSAY_NOTE}', count(*) FROM fact_assay""",
+
+    "reading_lookups": BASE + """,
+found AS (
+  SELECT 'day' AS lookup, * FROM fact_sensor WHERE CAST("timestamp" AS DATE) = DATE '2024-01-20'
+  UNION ALL SELECT 'equipment on bench', * FROM fact_sensor WHERE equipment_id = 'signup' AND bench_id = 'BENCH-105'
+  UNION ALL SELECT 'readings', * FROM fact_sensor WHERE reading_id IN (3, 70, 9999))
+SELECT lookup, reading_id, CAST(sensor_cu_grade AS DOUBLE) AS sensor_cu_grade, qc_passed FROM found""",
+
+    "kpi_positions": BASE + """
+SELECT equipment_id, mae, row_number() OVER (ORDER BY mae NULLS LAST, equipment_id NULLS LAST) AS position FROM kpis""",
+
+    "monthly_positions": BASE + f"""
+SELECT month, bench_id, total_loads,
+       row_number() OVER (ORDER BY month NULLS LAST, bench_id NULLS LAST) AS position
+FROM (SELECT {_MONTHS} AS month, bench_id, count(*) AS total_loads
+      FROM fact_sensor s LEFT JOIN fact_assay a ON s.reading_id = a.reading_id WHERE qc_passed GROUP BY 1, 2)""",
+
+    "quality_positions": BASE + f"""
+SELECT *, row_number() OVER (ORDER BY qc_pass_rate_pct NULLS LAST, equipment_id NULLS LAST) AS position
+FROM (SELECT equipment_id, {ratio('count(*) FILTER (WHERE qc_passed) * 10000', 'count(*)', 2)} AS qc_pass_rate_pct
+      FROM fact_sensor GROUP BY equipment_id)""",
+
+    "outlier_positions": BASE + """
+SELECT *, row_number() OVER (ORDER BY lecturas_outliers DESC, bench_id NULLS LAST) AS position
+FROM (SELECT bench_id, count(*) AS lecturas_outliers FROM fact_sensor WHERE is_outlier GROUP BY bench_id)""",
+
+    "reading_positions": BASE + """
+SELECT ingest_seq, reading_id, full_date, row_number() OVER (ORDER BY full_date NULLS LAST, ingest_seq) AS position
+FROM (SELECT *, CAST("timestamp" AS DATE) AS full_date FROM sensor_raw)""",
+
+    "first_readings": BASE + f"""
+SELECT {proj(RAW_COLS)} FROM (SELECT * FROM sensor_raw ORDER BY ingest_seq LIMIT 5)""",
+
+    "median_sketch_accuracy": """
+SELECT l_returnflag, count(l_extendedprice) AS n_values, true AS is_near_median
+FROM lineitem WHERE l_returnflag IS NOT NULL AND l_shipdate IS NOT NULL AND l_extendedprice IS NOT NULL
+GROUP BY l_returnflag""",
+}
+
 # A written-and-read-back fact equals the fact computed in memory.
 ORACLE["full_refresh_roundtrip"] = ORACLE["fact_sensor"]
 ORACLE["clean_csv_roundtrip"] = ORACLE["clean_parquet_roundtrip"] = ORACLE["transform_sensor"]
 ORACLE["assay_csv_roundtrip"] = ORACLE["transform_assay"]
 ORACLE["warehouse_report_kpis"] = ORACLE["equipment_kpis"]
+ORACLE["append_roundtrip"] = ORACLE["fact_sensor"]
+ORACLE["append_reconciliation"] = ORACLE["reconciliation"]
+ORACLE["clean_assay_csv_roundtrip"] = ORACLE["transform_assay"]

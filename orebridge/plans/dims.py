@@ -58,10 +58,11 @@ def distinct_dates(*cols_by_frame: tuple[DataFrame, str]) -> DataFrame:
     return out.distinct()
 
 
-def build_dim_time(sensor: DataFrame, assay: DataFrame) -> DataFrame:
-    """One row per date present in the data (no gap filling)."""
-    dates = distinct_dates((sensor, "timestamp"), (assay, "sample_date"),
-                           (assay, "result_date"))
+def build_dim_time(sensor: DataFrame, assay: DataFrame, sensor_dates: DataFrame | None = None) -> DataFrame:
+    """One row per date present in the data (no gap filling). `sensor_dates`: the readings'
+    distinct dates (full_date), where they are known already."""
+    of_readings = (sensor, "timestamp") if sensor_dates is None else (sensor_dates, "full_date")
+    dates = distinct_dates(of_readings, (assay, "sample_date"), (assay, "result_date"))
     return time_attributes(dates)
 
 

@@ -4,52 +4,92 @@ Order of steps, as the reference runs them: medians and outlier bounds come from
 all raw rows, duplicates included; imputation precedes the QC flag, so an imputed
 row can pass.
 
-The raw rows are read twice in all: once for the statistics (one aggregation with
-two grouping sets gives both the (equipment, tonnage) counts behind the exact
-medians and the global grade moments behind the bounds; the small result is
-checkpointed) and once for the rows themselves.
+The raw rows are read twice in all: once for the statistics and once for the rows
+themselves. The statistics are one aggregation with grouping sets (`raw_statistics`):
+the (equipment, tonnage) counts behind the exact medians, the global grade moments behind
+the bounds, the distinct equipment, benches and dates behind the dimensions and, if asked
+for, the keys that occur more than once with their first arrival. Only slim partial
+aggregates are shuffled; flagging and imputing the rows is then a broadcast lookup.
 """
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import DataFrame, functions as F
 
 from orebridge import schemas
-from orebridge.operators import (flag_duplicates, flag_outliers, impute_group_median,
-                                 keep_first, limits_from_moments, median_from_counts, moments,
+from orebridge.functions import to_date
+from orebridge.operators import (attach, flag_outliers, impute_group_median, keep_first,
+                                 limits_from_moments, median_from_counts, moments, semi_reduce,
                                  sigma_bounds)
 from orebridge.operators.joins import all_of
 from orebridge.session import reliable_checkpoint
 
 KEY, ORDER = ["reading_id"], ["ingest_seq"]
 GROUP, MEASURE, GRADE = ["equipment_id"], "tonnage", "sensor_cu_grade"
+_DATE = "full_date"
+_DIMENSIONS = [*GROUP, MEASURE, "bench_id", _DATE, *KEY]
+
+
+def _grouping(members: list[str]) -> int:
+    """grouping_id() of a grouping set: one bit per dimension, set where it is left out."""
+    return sum(1 << n for n, c in enumerate(reversed(_DIMENSIONS)) if c not in members)
+
+
+@dataclass
+class RawStatistics:
+    """What one pass over the raw rows found (see `raw_statistics`), checkpointed."""
+    table: DataFrame
+    has_repeated: bool
+
+    def _set(self, members: list[str]) -> DataFrame:
+        return self.table.where(F.col("grouping") == _grouping(members))
+
+    def medians(self) -> DataFrame:
+        """Exact tonnage median per equipment."""
+        present = all_of(F.col(c).isNotNull() for c in [*GROUP, MEASURE])
+        return median_from_counts(self._set([*GROUP, MEASURE]).where(present), GROUP, MEASURE, materialized=True)
+
+    def bounds(self) -> DataFrame:
+        """The grade bounds."""
+        return limits_from_moments(self._set([]).select("mean", "std"))
+
+    def equipment(self) -> DataFrame:
+        """The equipment that occurs (D17), NULL included."""
+        return self._set([*GROUP, MEASURE]).select(*GROUP).distinct()
 
+    def benches(self) -> DataFrame:
+        return self._set(["bench_id"]).select("bench_id")
 
-_ALL_ROWS = 2 ** (len(GROUP) + 1) - 1      # grouping_id of the empty grouping set
+    def dates(self) -> DataFrame:
+        """The dates of readings."""
+        return self._set([_DATE]).select(_DATE)
 
+    def busiest_day(self) -> int:
+        """Readings of the date that has most."""
+        return int(self._set([_DATE]).agg(F.coalesce(F.max("n"), F.lit(0))).first()[0])
 
-def raw_statistics(raw: DataFrame) -> DataFrame:
-    """One aggregation over the raw rows, two grouping sets: rows per (equipment,
-    tonnage) and, in the row of the empty set, the grade moments. Checkpointed."""
-    keys = [*GROUP, MEASURE]
-    stats = raw.groupingSets([keys, []], *keys).agg(
-        F.count(F.lit(1)).alias("n"), *moments(GRADE), F.grouping_id().alias("grouping"))
-    return reliable_checkpoint(stats)
+    def repeated(self) -> DataFrame:
+        """Keys that occur more than once, with their first arrival."""
+        return self._set(KEY).select(*KEY, F.col("first").alias("__first"))
 
 
-def medians_and_bounds(raw: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Exact tonnage median per equipment (D2) and the grade bounds (D1), both over
-    all raw rows, from one statistics pass."""
-    stats = raw_statistics(raw)
-    present = all_of(F.col(c).isNotNull() for c in [*GROUP, MEASURE])
-    counts = stats.where((F.col("grouping") == 0) & present)
-    medians = median_from_counts(counts, GROUP, MEASURE, materialized=True)
-    bounds = limits_from_moments(stats.where(F.col("grouping") == _ALL_ROWS).select("mean", "std"))
-    return medians, bounds
+def raw_statistics(raw: DataFrame, repeated: bool = False) -> RawStatistics:
+    """One aggregation over the raw rows with a grouping set for each statistic; `repeated`
+    adds the one per reading_id. Partial aggregation shrinks each set before the shuffle, and
+    of the readings only those that occur more than once are kept."""
+    sets = [[*GROUP, MEASURE], ["bench_id"], [_DATE], []] + ([KEY] if repeated else [])
+    rows = raw.select(*KEY, *ORDER, *GROUP, "bench_id", MEASURE, GRADE, to_date("timestamp").alias(_DATE))
+    stats = rows.groupingSets(sets, *_DIMENSIONS).agg(
+        F.count(F.lit(1)).alias("n"), F.min(ORDER[0]).alias("first"), *moments(GRADE),
+        F.grouping_id().alias("grouping"))
+    kept = stats.where((F.col("grouping") != _grouping(KEY)) | (F.col("n") > 1))
+    return RawStatistics(reliable_checkpoint(kept), repeated)
 
 
 def tonnage_medians(raw: DataFrame) -> DataFrame:
-    return medians_and_bounds(raw)[0]
+    return raw_statistics(raw).medians()
 
 
 def _qc(df: DataFrame) -> DataFrame:
@@ -57,28 +97,53 @@ def _qc(df: DataFrame) -> DataFrame:
                          & F.col(MEASURE).isNotNull())
 
 
-def transform_sensor(raw: DataFrame, keep_raw_tonnage: bool = False) -> DataFrame:
-    """Every raw row plus is_duplicate, is_outlier, qc_passed; tonnage imputed."""
-    medians, bounds = medians_and_bounds(raw)
+def _filled_and_flagged(df: DataFrame, stats: RawStatistics) -> DataFrame:
+    filled = impute_group_median(df, GROUP, MEASURE, medians=stats.medians())
+    return _qc(flag_outliers(filled, GRADE, bounds=stats.bounds()))
+
+
+def transform_sensor(raw: DataFrame, keep_raw_tonnage: bool = False,
+                     stats: RawStatistics | None = None) -> DataFrame:
+    """Every raw row plus is_duplicate, is_outlier, qc_passed; tonnage imputed.
+
+    A row is a duplicate if its reading occurs more than once and it is not the first to
+    arrive: a lookup in the (few) repeated readings, NULL being one key, so the rows
+    themselves are not shuffled. Arrival numbers are unique within a reading.
+    """
+    if stats is None or not stats.has_repeated:
+        stats = raw_statistics(raw, repeated=True)
     df = raw.withColumn("tonnage_raw", F.col(MEASURE)) if keep_raw_tonnage else raw
-    flagged = flag_duplicates(df, KEY, ORDER)
-    filled = impute_group_median(flagged, GROUP, MEASURE, medians=medians)
-    return _qc(flag_outliers(filled, GRADE, bounds=bounds))
+    looked_up = attach(df, stats.repeated().withColumn("__again", F.lit(True)), KEY, null_safe=True)
+    later = F.col("__again").isNotNull() & ~F.col(ORDER[0]).eqNullSafe(F.col("__first"))
+    flagged = looked_up.withColumn("is_duplicate", later).select(*df.columns, "is_duplicate")
+    return _filled_and_flagged(flagged, stats)
 
 
-def sensor_fact(raw: DataFrame) -> DataFrame:
+def sensor_fact(raw: DataFrame, stats: RawStatistics | None = None) -> DataFrame:
     """The rows that reach fact_sensor_readings: the first of each reading_id,
     flagged as `transform_sensor` flags them (so is_duplicate is FALSE).
 
-    Equal to `transform_sensor(raw).where(~is_duplicate)`, but keeps first rows
-    with one group-limited shuffle on reading_id instead of a flag join; the output
-    stays partitioned on reading_id for the joins with the assays.
+    With `stats` that know the repeated readings the first rows are picked by a lookup,
+    without a shuffle. Otherwise they are kept with one group-limited shuffle on reading_id;
+    the output then stays partitioned on reading_id for the joins with the assays.
     """
-    medians, bounds = medians_and_bounds(raw)
+    if stats is not None and stats.has_repeated:
+        return transform_sensor(raw, stats=stats).where(~F.col("is_duplicate")).select(*schemas.SENSOR_FACT_COLUMNS)
+    stats = stats or raw_statistics(raw)
     first = keep_first(raw, KEY, ORDER).withColumn("is_duplicate", F.lit(False))
-    filled = impute_group_median(first, GROUP, MEASURE, medians=medians)
-    out = _qc(flag_outliers(filled, GRADE, bounds=bounds))
-    return out.select(*schemas.SENSOR_FACT_COLUMNS)
+    return _filled_and_flagged(first, stats).select(*schemas.SENSOR_FACT_COLUMNS)
+
+
+def paired_sensor_fact(raw: DataFrame, assay: DataFrame, stats: RawStatistics | None = None) -> DataFrame:
+    """The rows of `sensor_fact` whose reading may have an assay, for joins with `assay`.
+
+    Statistics cover all raw rows; then readings without an assay (about nine in ten) leave
+    before the first rows are kept, so they are never shuffled. Where the assays' keys are too
+    many for an exact reduction some others stay, and the join drops them.
+    """
+    stats = stats or raw_statistics(raw)
+    first = keep_first(semi_reduce(raw, assay, KEY[0]), KEY, ORDER).withColumn("is_duplicate", F.lit(False))
+    return _filled_and_flagged(first, stats).select(*schemas.SENSOR_FACT_COLUMNS)
 
 
 def outlier_bounds(raw: DataFrame) -> DataFrame:
@@ -86,9 +151,9 @@ def outlier_bounds(raw: DataFrame) -> DataFrame:
     return sigma_bounds(raw, GRADE)
 
 
-def qc_counters(raw: DataFrame) -> DataFrame:
+def qc_counters(raw: DataFrame, stats: RawStatistics | None = None) -> DataFrame:
     """The run counters the transform prints (D19), as one row."""
-    t = transform_sensor(raw, keep_raw_tonnage=True)
+    t = transform_sensor(raw, keep_raw_tonnage=True, stats=stats)
     return t.agg(
         F.count(F.lit(1)).alias("total_rows"),
         F.count_if("is_duplicate").alias("duplicates"),

@@ -27,7 +27,7 @@ def test_full_refresh_then_reload_is_idempotent_for_dims(spark, tmp_root):
     assert wh.table("fact_sensor_readings").where("loaded_at IS NULL").count() == 0
     assert wh.table("dim_location").where("created_at IS NULL").count() == 0
     views = wh.register_views()
-    assert spark.table("v_equipment_kpis").count() == views["equipment_kpis"].count() > 0
+    assert spark.table(wh.catalog_name("v_equipment_kpis")).count() == views["equipment_kpis"].count() > 0
 
 
 def test_dimension_reload_keeps_old_rows(spark, tmp_root):
@@ -84,9 +84,8 @@ def test_duplicate_key_rejected(spark, tmp_root):
 
 
 def test_catalog_tables_with_comments(spark, tmp_root):
-    wh = Warehouse(spark, tmp_root)
+    wh = Warehouse(spark, tmp_root, database="grade_wh")
     plans.run_etl(sensor_raw(spark, SF_SMALL), assay_raw(spark, SF_SMALL), wh, refresh=True)
-    wh.register_tables("grade_wh")
     assert spark.table("grade_wh.fact_sensor_readings").count() == wh.row_count("fact_sensor_readings")
     info = {r.col_name: r.data_type for r in
             spark.sql("DESCRIBE TABLE EXTENDED grade_wh.fact_assay_results").collect()}
@@ -111,8 +110,8 @@ def test_bucketed_facts_join_without_shuffle(spark, tmp_root):
     expected = plans.reconciliation(plain.table("fact_sensor_readings"), plain.table("fact_assay_results"))
     assert recon.exceptAll(expected).count() == 0 and expected.exceptAll(recon).count() == 0
     # a session without the catalog entries finds the bucketed facts again
-    spark.sql("DROP TABLE bucket_wh.fact_sensor_readings")
-    spark.sql("DROP TABLE bucket_wh.fact_assay_results")
+    spark.sql("DROP DATABASE bucket_wh CASCADE")
+    wh = Warehouse(spark, tmp_root + "/bucketed", buckets=4, database="bucket_wh")
     again = plans.reconciliation(wh.table("fact_sensor_readings"), wh.table("fact_assay_results"))
     assert again.exceptAll(expected).count() == 0 and again.count() == expected.count()
     with no_broadcast(spark):
@@ -147,8 +146,11 @@ def test_checked_append_publishes_into_month_folders(spark, tmp_root):
     expected = plans.sensor_fact(raw_s.where(early)).unionByName(sensor.where(~early))
     assert stored.exceptAll(expected).count() == 0 and expected.exceptAll(stored).count() == 0
     assert wh.row_count("fact_assay_results") == assay.count()
-    staging = os.path.join(tmp_root, "_staging")
-    assert not os.path.exists(staging) or not [d for d in os.listdir(staging) if not d.startswith(".")]
+    # the rows were inserted as month partitions of a second load
+    folder = os.path.join(tmp_root, "fact_sensor_readings")
+    loads = sorted(d for d in os.listdir(folder) if d.startswith("load_id="))
+    assert [d.split("=")[1] for d in loads] == wh.live_loads("fact_sensor_readings") and len(loads) == 2
+    assert all(any(m.startswith("reading_month=") for m in os.listdir(os.path.join(folder, d))) for d in loads)
 
 
 def _sensor(spark, rows):
@@ -179,14 +181,14 @@ def test_failed_refresh_changes_nothing_and_views_follow(spark, tmp_root):
     from decimal import Decimal
     wh = Warehouse(spark, tmp_root)
     plans.run_etl(_sensor(spark, [_reading(1)]), _assays(spark), wh)
-    wh.register_views()
+    quality = wh.catalog_name("v_data_quality_report")
     orphan = (1, 99, dt.datetime(2025, 1, 1), dt.datetime(2025, 1, 3), Decimal("0.5"))
     with pytest.raises(KeyCheckError, match="reading_id not in"):
         plans.run_etl(_sensor(spark, [_reading(1, "eNEW")]), _assays(spark, [orphan]), wh)
     assert [r.equipment_id for r in wh.table("dim_equipment").collect()] == ["E1"]
-    assert spark.table("v_data_quality_report").first().equipment_id == "E1"
+    assert spark.table(quality).first().equipment_id == "E1"
     plans.run_etl(_sensor(spark, [_reading(1, "E2")]), _assays(spark), wh)
-    assert spark.table("v_data_quality_report").first().equipment_id == "E2"
+    assert spark.table(quality).first().equipment_id == "E2"
 
 
 def test_absent_flag_columns_take_defaults(spark, tmp_root):
@@ -205,3 +207,87 @@ def test_report_prints_every_row(spark, capsys):
     df = spark.range(60).selectExpr("concat('line ', id) AS line")
     plans.show_report({"lines": df})
     assert capsys.readouterr().out.count("line ") == 60
+
+
+class Crash(RuntimeError):
+    pass
+
+
+def _all_rows(wh):
+    return {n: sorted(map(repr, wh.table(n).collect())) for n in schemas.TABLES}
+
+
+@pytest.mark.parametrize("after_inserts", [1, 4, 5])
+@pytest.mark.parametrize("refresh", [True, False])
+def test_crash_during_a_load_leaves_all_five_tables(spark, tmp_root, monkeypatch, after_inserts, refresh):
+    """The driver dies after some of the five inserts, or after all of them and before the commit."""
+    wh = Warehouse(spark, tmp_root)
+    plans.run_etl(_sensor(spark, [_reading(1), _reading(2, "E2")]), _assays(spark), wh)
+    before, loads = _all_rows(wh), wh.live_loads("dim_time")
+    done, insert = [], Warehouse._insert
+
+    def dying(self, name, df, load, *more):
+        if len(done) >= after_inserts:
+            raise Crash(name)
+        done.append(name)
+        return insert(self, name, df, load, *more)
+
+    def no_commit(self, *args):
+        raise Crash("commit")
+    monkeypatch.setattr(Warehouse, "_insert", dying)
+    monkeypatch.setattr(Warehouse, "commit_load", no_commit)
+    monkeypatch.setattr(Warehouse, "drop_load", lambda self, load: None)      # nobody left to clean up
+    with pytest.raises(Crash):
+        plans.run_etl(_sensor(spark, [_reading(7, "E7", "BENCH-7")]), _assays(spark), wh, refresh=refresh)
+    monkeypatch.undo()
+    # a session that knows nothing of it reads the old tables, by frame and by name
+    spark.sql(f"DROP DATABASE {wh.database} CASCADE")
+    wh = Warehouse(spark, tmp_root)
+    assert _all_rows(wh) == before and wh.live_loads("dim_time") == loads
+    assert spark.table(wh.catalog_name("fact_sensor_readings")).count() == 2
+    # what the crashed load left can be dropped, and the next load works
+    dropped = {load for found in wh.vacuum().values() for load in found}
+    assert len(dropped) <= 1 and _all_rows(wh) == before
+    plans.run_etl(_sensor(spark, [_reading(7, "E7", "BENCH-7")]), _assays(spark), wh, refresh=refresh)
+    assert wh.row_count("fact_sensor_readings") == (1 if refresh else 3)
+
+
+def test_vacuum_drops_replaced_loads_only(spark, tmp_root):
+    import os
+    wh = Warehouse(spark, tmp_root)
+    for n in (1, 2, 3):
+        plans.run_etl(_sensor(spark, [_reading(n)]), _assays(spark), wh, refresh=n != 3)
+    old = wh.vacuum()
+    assert len(old["fact_sensor_readings"]) == 1 and all(len(loads) <= 1 for loads in old.values())
+    assert sorted(r.reading_id for r in wh.table("fact_sensor_readings").collect()) == [2, 3]
+    stored = [d for d in os.listdir(f"{tmp_root}/fact_sensor_readings") if d.startswith("load_id=")]
+    assert len(stored) == 2 and wh.vacuum() == {n: [] for n in schemas.TABLES}
+
+
+def test_other_sessions_read_the_views_after_each_load(spark, tmp_root):
+    wh = Warehouse(spark, tmp_root)
+    other = spark.newSession()
+    raw_s, raw_a = sensor_raw(spark, SF_SMALL), assay_raw(spark, SF_SMALL)
+    plans.run_etl(_sensor(spark, [_reading(1)]), _assays(spark), wh)
+    names = [wh.catalog_name(v) for v in ("v_sensor_assay_reconciliation", "v_equipment_kpis",
+                                          "v_monthly_grade_trend", "v_data_quality_report")]
+    assert [other.table(n).count() for n in names] == [0, 0, 1, 1]
+    plans.run_etl(raw_s, raw_a, wh)
+    sensor, assay = plans.sensor_fact(raw_s), plans.assay_fact(raw_a)
+    recon = plans.reconciliation(sensor, assay)
+    want = [recon, plans.equipment_kpis(recon), plans.monthly_grade_trend(sensor, assay),
+            plans.data_quality_report(sensor)]
+    for name, df in zip(names, want):
+        assert sorted(map(repr, other.table(name).collect())) == sorted(map(repr, df.collect()))
+
+
+def test_partition_of_other_loads_is_not_read(spark, tmp_root):
+    from tests.test_plans import plan_of
+    wh = Warehouse(spark, tmp_root)
+    for n in (1, 2):
+        plans.run_etl(_sensor(spark, [_reading(n)]), _assays(spark), wh)
+    by_name = spark.table(wh.catalog_name("fact_sensor_readings"))
+    assert by_name.count() == 1
+    assert "PartitionFilters" in plan_of(by_name) and "array_contains" in plan_of(by_name)
+    files = wh.table("fact_sensor_readings").inputFiles()
+    assert files and all(wh.live_loads("fact_sensor_readings")[0] in f for f in files)

@@ -22,6 +22,7 @@ a cut there; blocks grow to hold at least one window).
 
 from __future__ import annotations
 
+import re
 import string
 import struct
 import zlib
@@ -37,7 +38,6 @@ END_ID = 2
 SENTENCE_CUT = 4            # tokens of padding that a cut inside a document is worth
 EMERGENCY_CUT = 64          # the same for a cut inside a sentence
 PER_SEQUENCE = 16           # keeps short power-of-two windows from replacing full ones
-CUTS_PER_WINDOW = 128       # sentence ends closer than capacity / this to the last are skipped
 BLOCK_TOKENS = 1 << 20
 CACHE_ENTRIES = 120_000     # words whose ids a Python worker remembers, per generation
 LONG_WORD = 64              # longer words are encoded each time, so the cache stays small
@@ -45,6 +45,7 @@ LATIN_END = "\u0180"        # letters below keep their form when the tokenizer c
 SCHEMA = ("doc_id long, start long, length long, ids_crc32 long, doc_tokens long, "
           "sequence_id long, offset long")
 
+_PACK = [struct.Struct(f"<{n}I").pack for n in range(16)]
 _ENCODERS: dict[str, "WordCachedEncoder"] = {}
 
 
@@ -57,9 +58,12 @@ class WordCachedEncoder:
     """
 
     _UNUSUAL = "\x1c\x1d\x1e\x1f"
-    _STOPS = frozenset(".,")
+    # Texts of these characters are lower-cased before they are split; the dotted capital I is
+    # left out, as its small form is two characters.
+    _LATIN = re.compile(f"[^\x00-\u012f\u0131-{chr(ord(LATIN_END) - 1)}]")
     # Anything but Latin letters, digits and white space may share a token with a stop.
-    _MARKS = frozenset(c for c in map(chr, range(ord(LATIN_END))) if not (c.isalnum() or c.isspace()))
+    _OTHER_MARK = re.compile("[" + "".join(re.escape(c) for c in map(chr, range(ord(LATIN_END)))
+                                           if not (c.isalnum() or c.isspace() or c in ".,")) + "]")
 
     def __init__(self, path: str, entries: int = CACHE_ENTRIES):
         import os
@@ -68,7 +72,9 @@ class WordCachedEncoder:
         from tokenizers.pre_tokenizers import ByteLevel
         self.tokenizer = Tokenizer.from_file(path)
         self.model = self.tokenizer.model
-        self.byte_level = ByteLevel(add_prefix_space=False, use_regex=False)
+        byte_level = ByteLevel(add_prefix_space=False, use_regex=False)
+        # the merging model reads UTF-8 bytes as characters: the spelling of each letter
+        self.spelling = {c: byte_level.pre_tokenize_str(chr(c))[0][0] for c in range(0x80, ord(LATIN_END))}
         self.entries = entries
         self.young: dict[str, bytes] = {}       # white-space words
         self.old: dict[str, bytes] = {}
@@ -90,10 +96,8 @@ class WordCachedEncoder:
     def _letters(self, run: str) -> bytes:
         """Ids of one lower-case run of Latin letters: it is one unit of the tokenizer's
         merging model, given to it as the tokenizer would (UTF-8 bytes as characters)."""
-        if not run.isascii():
-            run = self.byte_level.pre_tokenize_str(run)[0][0]
-        ids = [token.id for token in self.model.tokenize(run)]
-        return struct.pack(f"<{len(ids)}I", *ids)
+        ids = [token.id for token in self.model.tokenize(run if run.isascii() else run.translate(self.spelling))]
+        return _PACK[len(ids)](*ids) if len(ids) < len(_PACK) else struct.pack(f"<{len(ids)}I", *ids)
 
     def _other_runs(self, runs: list[str]) -> dict[str, bytes]:
         """Ids of letter runs of any script in one call; a run's last id, and no other,
@@ -105,58 +109,69 @@ class WordCachedEncoder:
             return {r: raw[a:b] for r, a, b in zip(runs, [0, *stops], stops)}
         return {r: self._encode(r).tobytes() for r in runs}
 
-    def _learn(self, words: set[str]) -> dict[str, bytes]:
+    def _learn(self, words: set[str], lowered: bool) -> dict[str, bytes]:
         """Ids of words the young cache lacks; those of usual length are remembered there.
-        The letters and the mark behind them are looked up apart."""
-        fresh, other = {}, {}
+        The letters and the mark behind them are looked up apart. `lowered`: the words come
+        from a lower-cased Latin text, so a run of letters goes straight to the model."""
+        fresh, other, young, old = {}, {}, self.young, self.old
         for w in words:
-            known = self.old.get(w)
-            if known is not None:
-                fresh[w] = known
-                continue
-            core = w.rstrip(string.punctuation)
-            mark, run = w[len(core):], core.lower()
-            if not (core.isalpha() and run.isalpha()):
-                fresh[w] = self._encode(w).tobytes()
-                continue
-            if mark and mark not in self.marks:
-                if len(self.marks) > self.entries:
-                    self.marks = {}
-                self.marks[mark] = self._encode(mark).tobytes()
-            tail = self.marks[mark] if mark else b""
-            if max(core) < LATIN_END:
-                fresh[w] = (mark and self._known(run) or self._letters(run)) + tail
-            else:
-                other[w] = core, tail
+            ids = old.get(w)
+            if ids is None:
+                if lowered and w.isalpha():
+                    ids = self._letters(w)
+                else:
+                    ids = self._marked(w, other)
+                    if ids is None:
+                        continue
+            fresh[w] = ids
+            if len(w) <= LONG_WORD:
+                young[w] = ids
         if other:
             found = self._other_runs(list({core for core, _ in other.values()}))
-            fresh.update((w, found[core] + tail) for w, (core, tail) in other.items())
-        self.young.update((w, ids) for w, ids in fresh.items() if len(w) <= LONG_WORD)
+            for w, (core, tail) in other.items():
+                fresh[w] = ids = found[core] + tail
+                if len(w) <= LONG_WORD:
+                    young[w] = ids
         return fresh
 
-    def _words(self, t: str) -> list[str]:
-        """White-space words; in plain Latin text lower-cased and, where stops and commas
-        are the only marks and never meet, with these apart. The tokenizer does both
+    def _marked(self, w: str, other: dict[str, tuple[str, bytes]]) -> bytes | None:
+        """Ids of a word that may be capital or end in marks; a run of letters beyond Latin is
+        put into `other` with the ids of its marks."""
+        core = w.rstrip(string.punctuation)
+        mark, run = w[len(core):], core.lower()
+        if not (core.isalpha() and run.isalpha()):
+            return self._encode(w).tobytes()
+        if mark and mark not in self.marks:
+            if len(self.marks) > self.entries:
+                self.marks = {}
+            self.marks[mark] = self._encode(mark).tobytes()
+        tail = self.marks[mark] if mark else b""
+        if max(core) < LATIN_END:
+            return (mark and self._known(run) or self._letters(run)) + tail
+        other[w] = core, tail
+        return None
+
+    def _words(self, t: str) -> tuple[list[str], bool]:
+        """White-space words; in plain Latin text (True) lower-cased and, where stops and
+        commas are the only marks and never meet, with these apart. The tokenizer does both
         anyway; done first, there are fewer distinct words to remember."""
-        used = set(t)
-        if used and max(used) < LATIN_END:
-            t = t.lower()
-            marks = used & self._MARKS
-            if marks <= self._STOPS and not any(m in t for m in ("..", ",,", ".,", ",.")):
-                for m in marks:
-                    t = t.replace(m, f" {m} ")
-        return t.split()
+        if self._LATIN.search(t):
+            return t.split(), False
+        t = t.lower()
+        if not self._OTHER_MARK.search(t) and not any(m in t for m in ("..", ",,", ".,", ",.")):
+            t = t.replace(".", " . ").replace(",", " , ")
+        return t.split(), True
 
     def _ids(self, t: str) -> bytes:
         if any(c in t for c in self._UNUSUAL):
             return self._encode(t).tobytes()
         if len(self.young) > self.entries:
             self.old, self.young = self.young, {}
-        words = self._words(t)
+        words, lowered = self._words(t)
         found = list(map(self.young.get, words))
         missing = [i for i, ids in enumerate(found) if ids is None]
         if missing:
-            fresh = self._learn({words[i] for i in missing})
+            fresh = self._learn({words[i] for i in missing}, lowered)
             for i in missing:
                 found[i] = fresh[words[i]]
         return b"".join(found)
@@ -175,10 +190,7 @@ def possible_cuts(ends: np.ndarray, sentences: np.ndarray, total: int, capacity:
     """Sorted cut positions in (0, total] and their penalties. `ends`: positions behind
     documents; `sentences`: positions behind sentences."""
     kind = np.full(total + 1, -1, dtype=np.int8)
-    if len(sentences):
-        thin = sentences // max(1, capacity // CUTS_PER_WINDOW)
-        sentences = sentences[np.concatenate(([True], thin[1:] != thin[:-1]))]
-        kind[sentences] = SENTENCE_CUT
+    kind[sentences] = SENTENCE_CUT
     kind[ends] = 0
     kind[total] = 0 if len(ends) and ends[-1] == total else SENTENCE_CUT
     at = np.flatnonzero(kind[1:] >= 0) + 1
@@ -193,10 +205,16 @@ def possible_cuts(ends: np.ndarray, sentences: np.ndarray, total: int, capacity:
 
 def best_cuts(at: np.ndarray, penalty: np.ndarray, capacity: int) -> list[int]:
     """Positions of the cheapest cuts up to the last position, by the recurrence above."""
-    pos = [0, *at.tolist()]
-    pen = [0, *penalty.tolist()]
-    index = {p: i for i, p in enumerate(pos)}
-    powers = [capacity // 2, capacity // 4] if capacity & (capacity - 1) == 0 else []
+    starts = np.concatenate(([0], at))
+    pos, pen = starts.tolist(), [0, *penalty.tolist()]
+    # for each cut, the earlier ones a power of two below the capacity away: a window between
+    # them has no padding
+    exact: list[tuple[int, ...]] = [()] * len(pos)
+    for k in range((capacity - 1).bit_length()):
+        near = np.searchsorted(starts, starts - (1 << k))
+        hit = np.flatnonzero(starts[near] == starts - (1 << k))
+        for j, i in zip(hit.tolist(), near[hit].tolist()):
+            exact[j] = (*exact[j], i)
     cost, prev = [0.0] * len(pos), [0] * len(pos)
     queue: deque[tuple[float, int]] = deque([(0.0, 0)])
     for j in range(1, len(pos)):
@@ -205,9 +223,8 @@ def best_cuts(at: np.ndarray, penalty: np.ndarray, capacity: int) -> list[int]:
             queue.popleft()
         base, i = queue[0]
         best = base + capacity - p
-        for w in powers:
-            k = index.get(p - w)
-            if k is not None and cost[k] < best:
+        for k in exact[j]:
+            if cost[k] < best:
                 best, i = cost[k], k
         cost[j] = value = best + pen[j] + PER_SEQUENCE
         prev[j] = i
@@ -233,6 +250,15 @@ def _tail_cuts(length: int, capacity: int) -> list[int]:
 def pack_partition(batches, path: str, capacity: int, end_id: int, partition: int,
                    block_tokens: int = BLOCK_TOKENS):
     """Arrow batches of (doc_id, text) -> batches of pieces."""
+    import gc
+    gc.disable()                # nothing here is cyclic; the collector only walks the caches
+    try:
+        yield from _packed(batches, path, capacity, end_id, partition, block_tokens)
+    finally:
+        gc.enable()
+
+
+def _packed(batches, path: str, capacity: int, end_id: int, partition: int, block_tokens: int):
     import pyarrow as pa
     enc = encoder(path)
     block_tokens = max(block_tokens, 4 * capacity)

@@ -188,10 +188,8 @@ def test_cuts_are_optimal():
         cuts = packing.best_cuts(at, pen, cap)
         pos, cost = [0, *at.tolist()], [0.0]
         penalty = dict(zip(at.tolist(), pen.tolist()))
-        free = {cap // 2, cap // 4}
-
         def window(n):
-            return 0 if n in free else cap - n
+            return 0 if n & (n - 1) == 0 else cap - n
         for j in range(1, len(pos)):
             cost.append(min(cost[i] + window(pos[j] - pos[i]) for i in range(j) if pos[j] - pos[i] <= cap)
                         + penalty[pos[j]] + packing.PER_SEQUENCE)

@@ -26,6 +26,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from orebridge.llm.common import hint_if_small, text_hash, whole_text
+from orebridge.operators import join_on
 from orebridge.session import reliable_checkpoint
 
 K, W = 5, 9
@@ -79,8 +80,8 @@ def _item_windows(items: DataFrame) -> DataFrame:
     n = F.least(F.lit(WINDOW), F.size("words"))
     at = F.sequence(F.lit(1), F.size("words") - n + 1)
     return (items.where(F.size("words") > 0)
-            .select("item_id", n.alias("n"), "words", F.explode(at).alias("i"))
-            .select("item_id", "n", F.array_join(F.slice("words", F.col("i"), F.col("n")), " ").alias("win"))
+            .select("item_id", n.alias("n"), F.explode(F.transform(     # the words are not repeated per window
+                at, lambda i: F.array_join(F.slice("words", i, n), " "))).alias("win"))
             .groupBy("n", "win").agg(F.collect_set("item_id").alias("ids")))
 
 
@@ -104,14 +105,40 @@ def _prefiltered(rows: DataFrame, items: DataFrame, windows: DataFrame, lengths:
     return hits if hits is None else hits.groupBy(*KEY).agg(F.collect_set(F.struct("n", "fp")).alias("hits"))
 
 
-def _candidate_windows(n: int) -> Column:
-    """(n, pos, win) of the document windows of length n around the row's hits."""
-    k = K if n == WINDOW else n
+# Up to this many hits a row's positions are found by looking each word's hash up among them.
+FEW_HITS = 64
+
+
+def _gram_length(n: int) -> int:
+    return K if n == WINDOW else n
+
+
+def _few_positions(n: int) -> Column:
+    """Positions of the row's hits of length n, by a look through the hits for every word."""
     fps = F.transform(F.filter("hits", lambda x: x["n"] == n), lambda x: x["fp"])
-    at = F.filter(F.transform(_windows(F.col("words"), k), lambda i: F.when(
+    k = _gram_length(n)
+    return F.filter(F.transform(_windows(F.col("words"), k), lambda i: F.when(
         F.array_contains(fps, _gram_hash(F.col("words"), i, k)), i)), lambda i: i.isNotNull())
+
+
+def _many_positions(rows: DataFrame, lengths: list[int]) -> DataFrame:
+    """(key, positions by window length) of rows with many hits: their words' hashes and their
+    hits meet in a join, so the work grows with the words, not with words times hits."""
+    found = None
+    for n in lengths:
+        at = F.posexplode(gram_hashes(F.col("words"), _gram_length(n))).alias("at", "fp")
+        part = rows.select(*KEY, at).withColumn("n", F.lit(n))
+        found = part if found is None else found.unionByName(part)
+    hits = rows.select(*KEY, F.explode(F.array_distinct("hits")).alias("hit")).select(*KEY, "hit.n", "hit.fp").distinct()
+    same = join_on(found, hits, [*KEY, "n", "fp"], "inner", null_safe=True)
+    lists = same.groupBy(*KEY, "n").agg(F.sort_array(F.collect_set("at")).alias("at"))
+    return lists.groupBy(*KEY).agg(F.map_from_entries(F.collect_list(F.struct("n", "at"))).alias("__llm_at"))
+
+
+def _candidate_windows(at: Column, n: int) -> Column:
+    """(n, pos, win) of the document windows of length n around the row's hits."""
     starts = F.array_distinct(F.flatten(F.transform(
-        at, lambda i: F.sequence(F.greatest(i - (n - k), F.lit(0)), i))))
+        at, lambda i: F.sequence(F.greatest(i - (n - _gram_length(n)), F.lit(0)), i))))
     return F.transform(F.filter(starts, lambda s: s + n <= F.size("words")), lambda s: F.struct(
         F.lit(n).alias("n"), s.alias("pos"),
         F.array_join(F.slice("words", s + 1, n), " ").alias("win")))
@@ -129,9 +156,13 @@ def _covered(spans: Column) -> Column:
     reach = F.transform(spans, lambda s, i: F.array_max(F.transform(
         F.slice(spans, F.greatest(i + 2 - WINDOW, F.lit(1)), F.least(i + 1, F.lit(WINDOW))),
         lambda x: x["reach"])))
-    added = F.transform(spans, lambda s, i: F.least(
-        F.get(reach, i), F.coalesce(F.get(spans, i + 1)["pos"], F.get(reach, i))) - s["pos"])
-    return F.aggregate(added, F.lit(0).cast("long"), lambda acc, x: acc + x)
+
+    def added(far: Column) -> Column:
+        return F.transform(spans, lambda s, i: F.least(
+            F.get(far, i), F.coalesce(F.get(spans, i + 1)["pos"], F.get(far, i))) - s["pos"])
+    # bound by a lambda, the reaches are computed once and not for every span
+    lists = F.transform(F.array(reach), added)
+    return F.aggregate(F.get(lists, F.lit(0)), F.lit(0).cast("long"), lambda acc, x: acc + x)
 
 
 def contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text: str = "text",
@@ -148,10 +179,18 @@ def contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     if hits is None:
         marked, wins = rows, F.lit(None).cast("array<struct<n:int,pos:int,win:string>>")
     else:
-        h = hits.select(F.col("doc_id").alias("k_id"), F.col("__llm_hash").alias("k_hash"), "hits")
-        marked = rows.join(h, F.col("doc_id").eqNullSafe(F.col("k_id"))
-                           & (F.col("__llm_hash") == F.col("k_hash")), "left")
-        wins = F.when(F.col("hits").isNotNull(), F.concat(*[_candidate_windows(n) for n in lengths]))
+        h = hits.select(F.col("doc_id").alias("__llm_k_id"), F.col("__llm_hash").alias("__llm_k_hash"), "hits")
+        marked = rows.join(h, F.col("doc_id").eqNullSafe(F.col("__llm_k_id"))
+                           & (F.col("__llm_hash") == F.col("__llm_k_hash")), "left")
+        # the same shuffle of the documents serves the few with many hits
+        many = _many_positions(marked.where(F.size("hits") > FEW_HITS), lengths)
+        m = many.select(F.col("doc_id").alias("__llm_m_id"), F.col("__llm_hash").alias("__llm_m_hash"), "__llm_at")
+        marked = marked.join(m, F.col("doc_id").eqNullSafe(F.col("__llm_m_id"))
+                             & (F.col("__llm_hash") == F.col("__llm_m_hash")), "left")
+        none = F.array().cast("array<int>")
+        wins = F.when(F.col("hits").isNotNull(), F.concat(*[_candidate_windows(
+            F.when(F.size("hits") <= FEW_HITS, _few_positions(n))
+            .otherwise(F.coalesce(F.element_at("__llm_at", F.lit(n)), none)), n) for n in lengths]))
     each = (marked.select(*KEY, F.size("words").cast("long").alias("n_words"), wins.alias("wins"))
             .select(*KEY, "n_words", F.posexplode_outer("wins").alias("i", "w"))
             .select(*KEY, "n_words", F.when(F.coalesce("i", F.lit(0)) == 0, 1).otherwise(0).alias("row"),
@@ -176,7 +215,7 @@ def drop_contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_
                       text: str = "text", **options) -> DataFrame:
     """`docs` without contaminated rows."""
     bad = (contamination(docs, benchmark, id_col, text, **options).where("contaminated")
-           .select(F.col("doc_id").alias("k_id"), F.col("__llm_hash").alias("k_hash")).distinct())
+           .select(F.col("doc_id").alias("__llm_k_id"), F.col("__llm_hash").alias("__llm_k_hash")).distinct())
     return (docs.withColumn("__llm_hash", text_hash(text))
-            .join(bad, F.col(id_col).eqNullSafe(F.col("k_id")) & (F.col("__llm_hash") == F.col("k_hash")),
+            .join(bad, F.col(id_col).eqNullSafe(F.col("__llm_k_id")) & (F.col("__llm_hash") == F.col("__llm_k_hash")),
                   "left_anti").drop("__llm_hash"))

@@ -182,7 +182,44 @@ SELECT page_id, host, path, rule,
 FROM ruled JOIN hosts USING (host)
 """
 
+_OP4 = r"""
+WITH d AS (SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS t FROM documents),
+w AS (
+  SELECT *, list_filter(regexp_split_to_array(t, '[\x20\x09-\x0D]+'), lambda x: x <> '') AS words,
+         list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines
+  FROM d),
+grams AS (
+  SELECT rid, p, words[p] || ' ' || words[p + 1] || ' ' || words[p + 2] AS g
+  FROM (SELECT rid, words, unnest(range(1, len(words) - 1)) AS p FROM w)),
+twice AS (SELECT rid, g FROM grams GROUP BY rid, g HAVING count(*) > 1),
+covered AS (
+  SELECT rid, count(DISTINCT q) AS n
+  FROM (SELECT rid, unnest([p, p + 1, p + 2]) AS q FROM grams JOIN twice USING (rid, g)) GROUP BY rid),
+m AS (
+  SELECT w.*, len(words) AS n_words, length(array_to_string(words, '')) AS word_chars, len(lines) AS n_lines,
+         length(t) - length(regexp_replace(t, '[#*$%&|<>]', '', 'g')) AS n_symbols,
+         len(lines) - len(list_distinct(lines)) AS n_dup_lines, coalesce(n, 0) AS n_repeat_words,
+         length(t) - length(regexp_replace(t, '[\p{Han}\p{Hiragana}\p{Katakana}\p{Thai}\p{Lao}\p{Khmer}\p{Myanmar}\p{Tibetan}]', '', 'g')) AS unspaced,
+         length(t) - length(regexp_replace(t, '\p{Lu}', '', 'g')) AS capitals,
+         length(t) - length(regexp_replace(t, '\p{L}', '', 'g')) AS letters,
+         len(list_filter(lines, lambda x: regexp_matches(x, '^\s*([-*•|]|[0-9]+[.)])\s'))) AS list_lines,
+         len(list_filter(lines, lambda x: regexp_matches(x, '(\.\.\.|…)\s*$'))) AS cut_lines
+  FROM w LEFT JOIN covered USING (rid)),
+b AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM m)
+SELECT doc_id, n_words::BIGINT AS n_words, word_chars::BIGINT AS word_chars, n_symbols::BIGINT AS n_symbols,
+       n_dup_lines::BIGINT AS n_dup_lines, n_repeat_words::BIGINT AS n_repeat_words, base_failed,
+       NOT (base_failed OR 10 * n_symbols > 3 * n_words
+            OR word_chars < 2 * n_words OR (word_chars > 15 * n_words AND 2 * unspaced <= word_chars)
+            OR (2 * n_dup_lines > n_lines AND n_dup_lines >= 3)
+            OR 2 * capitals > word_chars OR 2 * letters < word_chars
+            OR 20 * len(list_distinct(words)) < n_words
+            OR (n_lines >= 5 AND 10 * list_lines > 9 * n_lines)
+            OR (n_lines >= 5 AND 10 * cut_lines > 3 * n_lines)) AS kept
+FROM b
+"""
+
 ORACLE: dict[str, str] = {
+    "op4_quality_rules": _OP4,
     "op7_decontamination": _OP7,
     "op11_merkle_manifest": _OP11,
     "op12_hard_negatives": _OP12,

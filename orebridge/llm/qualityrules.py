@@ -17,6 +17,7 @@ other columns pass through; texts of any length are measured whole.
 from __future__ import annotations
 
 import time
+import uuid
 from collections.abc import Callable
 from dataclasses import dataclass
 
@@ -143,4 +144,8 @@ def run_cascade(docs: DataFrame, rules=RULES, sample_rows: int = SAMPLE_ROWS,
     first = F.coalesce(F.when(F.col("base_failed"), F.lit("base")),
                        *[F.when(r.rejects(), F.lit(r.name)) for r in ordered])
     out = measured(docs, text).withColumn("rejected_by", first)
-    return out.withColumn("kept", F.col("rejected_by").isNull()).drop(_TEXT, _WORDS, _LINES)
+    out = out.withColumn("kept", F.col("rejected_by").isNull()).drop(_TEXT, _WORDS, _LINES)
+    # Counted verdicts must see every row, so a later filter stays above this point; pushed
+    # below, it would compute every measure anew for each place that reads it.
+    return out.observe(f"quality rules {uuid.uuid4().hex}", F.count_if("kept").alias("kept"),
+                       F.count(F.lit(1)).alias("rows"))

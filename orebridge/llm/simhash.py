@@ -30,6 +30,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from orebridge.llm.common import connected_components, same_row, ship_code, text_hash, whole_text
+from orebridge.operators import attach
 from orebridge.session import reliable_checkpoint
 
 HASH_SEED = 42
@@ -207,10 +208,14 @@ def fingerprint_components(docs: DataFrame, shingle_words: int = 4, max_bits: in
         fingerprint(whole_text(text)).alias("fp")))
     nodes = reliable_checkpoint(rows.groupBy("fp").agg(F.min("doc_id").alias("low")))
     parts = connected_components(fingerprint_links(nodes, max_bits))
-    member = nodes.join(parts, F.col("fp") == F.col("node"), "left") \
-                  .select("fp", "low", F.coalesce("root", "fp").alias("root"))
-    least = member.groupBy("root").agg(F.min("low").alias("component_id"))
-    of = member.join(least, "root").select("fp", "root", "component_id")
+    linked = nodes.join(parts.withColumnRenamed("node", "fp"), "fp")
+    # a component may hold most fingerprints: its smallest id comes back by broadcast or salt
+    least = linked.groupBy("root").agg(F.min("low").alias("least"))
+    found = attach(linked, least, ["root"], "inner").select("fp", "root", "least")
+    # every other fingerprint is a component of its own
+    of = nodes.join(found, "fp", "left").select(
+        "fp", F.coalesce("root", "fp").alias("root"),
+        F.when(F.col("root").isNull(), F.col("low")).otherwise(F.col("least")).alias("component_id"))
     return rows.join(of, "fp").select("doc_id", "__llm_hash", "fp", "root", "component_id")
 
 

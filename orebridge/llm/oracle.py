@@ -218,7 +218,69 @@ SELECT doc_id, n_words::BIGINT AS n_words, word_chars::BIGINT AS word_chars, n_s
 FROM b
 """
 
+# Kinds, patterns, the group whose length counts and its least length, as the operator lists them.
+_KINDS = [
+    ("assign", r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", 2, 6),
+    ("access", r"AKIA[A-Z0-9]+", 0, 20),
+    ("hex", r"[0-9a-f]+", 0, 24),
+    ("private_key", r"-----BEGIN [A-Z ]*PRIVATE KEY-----", 0, 1),
+    ("forge_token", r"gh[opsu]_[A-Za-z0-9]+", 0, 40),
+    ("chat_token", r"xox[abprs]-[A-Za-z0-9-]+", 0, 15),
+    ("map_key", r"AIza[A-Za-z0-9_-]+", 0, 39),
+    ("web_token", r"eyJ[A-Za-z0-9_-]+\.eyJ[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+", 0, 1),
+    ("payment_key", r"(?:sk|rk)_live_[A-Za-z0-9]+", 0, 24),
+]
+
+
+def _kind_spans(number: int, kind: str, regex: str, group: int, least: int) -> str:
+    """Spans of one kind: the pieces between matches and the matches give the positions."""
+    pattern = regex.replace("'", "''")
+    return f"""
+  SELECT rid, {number} AS no, '{kind}' AS kind, before + hits_before AS first, before + hits_before + length(hit) AS stop
+  FROM (SELECT rid, hits[k] AS hit, parts[k] AS part,
+               list_sum(list_transform(gaps[1:k], lambda g: length(g)))::BIGINT AS before,
+               coalesce(list_sum(list_transform(hits[1:k - 1], lambda h: length(h))), 0)::BIGINT AS hits_before
+        FROM (SELECT *, unnest(range(1, len(hits) + 1)) AS k
+              FROM (SELECT rid, regexp_extract_all(t, '{pattern}', 0) AS hits,
+                           regexp_extract_all(t, '{pattern}', {group}) AS parts,
+                           regexp_split_to_array(t, '{pattern}') AS gaps
+                    FROM d WHERE regexp_matches(t, '{pattern}'))))
+  WHERE length(part) >= {least}"""
+
+
+_OP1 = f"""
+WITH d AS (SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS t FROM documents),
+s AS ({" UNION ALL ".join(_kind_spans(n, *k) for n, k in enumerate(_KINDS))}),
+g AS (
+  SELECT rid, count(*) FILTER (WHERE no = 0) AS n_assign, count(*) FILTER (WHERE no = 1) AS n_access,
+         count(*) FILTER (WHERE no = 2) AS n_hex,
+         string_agg(kind || ':' || first || ':' || stop, ',' ORDER BY first, no) FILTER (WHERE no < 3) AS base,
+         string_agg(kind || ':' || first || ':' || stop, ',' ORDER BY first, no) AS spans
+  FROM s GROUP BY rid)
+SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex,
+       sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans
+FROM d LEFT JOIN g USING (rid)
+"""
+
+_OP6 = r"""
+WITH c AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -7, 0, 'user', '\### Assistant: </turn> ok' UNION ALL SELECT -7, 1, 'assistant', '\### Assistant: </turn> ok'),
+t AS (
+  SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS i,
+         -- '### ', the escaped role, ': ', the escaped text, ' </turn>' and a line end
+         15 + 2 * length(role) - length(translate(role, '\<#:', '')) + 2 * length(text) - length(translate(text, '\<#', '')) AS chars
+  FROM c)
+SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY i)) AS turns_sha256,
+       coalesce(sum(length(text)) FILTER (WHERE role = 'assistant'), 0)::BIGINT AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY i) FILTER (WHERE role = 'assistant'), '')) AS loss_sha256,
+       sum(chars)::BIGINT AS formatted_chars
+FROM t GROUP BY conv_id
+"""
+
 ORACLE: dict[str, str] = {
+    "op1_secret_scan": _OP1,
+    "op6_chat_format": _OP6,
     "op4_quality_rules": _OP4,
     "op7_decontamination": _OP7,
     "op11_merkle_manifest": _OP11,

@@ -233,9 +233,11 @@ class Warehouse:
         serves. Months and dates outside are pruned and skipped."""
         time, day = DAY_COLS[name]
         first, last = start.date(), end.date()
+
+        def literal(t):          # by text: a datetime literal would be moved to the session's zone
+            return F.lit(t.isoformat(sep=" ")).cast("timestamp_ntz")
         rows = self._stored(name, self.live_loads(name)).where(
-            (F.col(time) >= F.lit(start).cast("timestamp_ntz")) & (F.col(time) < F.lit(end).cast("timestamp_ntz"))
-            & F.col(day).between(first, last))
+            (F.col(time) >= literal(start)) & (F.col(time) < literal(end)) & F.col(day).between(first, last))
         if PARTITION_COL in _partitions(name):
             rows = rows.where(F.col(PARTITION_COL).between(first.replace(day=1), last))
         return rows.select(*_data_schema(name).fieldNames())

@@ -291,3 +291,19 @@ def test_partition_of_other_loads_is_not_read(spark, tmp_root):
     assert "PartitionFilters" in plan_of(by_name) and "array_contains" in plan_of(by_name)
     files = wh.table("fact_sensor_readings").inputFiles()
     assert files and all(wh.live_loads("fact_sensor_readings")[0] in f for f in files)
+
+
+def test_time_lookup_in_another_zone(spark, tmp_root):
+    wh = Warehouse(spark, tmp_root)
+    raw = sensor_raw(spark, SF_SMALL)
+    plans.run_etl(raw, assay_raw(spark, SF_SMALL), wh)
+    start, end = dt.datetime(2024, 1, 20, 6, 30), dt.datetime(2024, 2, 2)
+    want = sorted(r.reading_id for r in wh.table("fact_sensor_readings").collect() if start <= r.timestamp < end)
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        for z in ("UTC", "America/Santiago", "Asia/Tokyo"):
+            spark.conf.set("spark.sql.session.timeZone", z)
+            got = sorted(r.reading_id for r in wh.rows_between("fact_sensor_readings", start, end).collect())
+            assert got == want and got
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)

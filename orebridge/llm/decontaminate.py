@@ -26,7 +26,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from orebridge.llm.common import hint_if_small, text_hash, whole_text
-from orebridge.operators import join_on
+from orebridge.operators import broadcast_if_bounded, join_on
 from orebridge.session import reliable_checkpoint
 
 K, W = 5, 9
@@ -179,11 +179,21 @@ def contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     if hits is None:
         marked, wins = rows, F.lit(None).cast("array<struct<n:int,pos:int,win:string>>")
     else:
+        # narrow rows of the few documents that share something; read two or three times
+        hits = reliable_checkpoint(hits)
         h = hits.select(F.col("doc_id").alias("__llm_k_id"), F.col("__llm_hash").alias("__llm_k_hash"), "hits")
         marked = rows.join(h, F.col("doc_id").eqNullSafe(F.col("__llm_k_id"))
                            & (F.col("__llm_hash") == F.col("__llm_k_hash")), "left")
-        # the same shuffle of the documents serves the few with many hits
-        many = _many_positions(marked.where(F.size("hits") > FEW_HITS), lengths)
+        many = hits.where(F.size("hits") > FEW_HITS)
+        if many.limit(1).count():
+            # by broadcast (size checked) or a shuffle, only these rows' texts are split into words
+            keys, _ = broadcast_if_bounded(many)
+            texts = docs.select(F.col(id_col).alias("doc_id"), text_hash(text).alias("__llm_hash"),
+                                whole_text(text).alias("__llm_text"))
+            found = join_on(texts, keys, list(KEY), "inner", null_safe=True)
+            many = _many_positions(found.select(*KEY, words_of("__llm_text").alias("words"), "hits"), lengths)
+        else:
+            many = many.select(*KEY, F.lit(None).cast("map<int,array<int>>").alias("__llm_at"))
         m = many.select(F.col("doc_id").alias("__llm_m_id"), F.col("__llm_hash").alias("__llm_m_hash"), "__llm_at")
         marked = marked.join(m, F.col("doc_id").eqNullSafe(F.col("__llm_m_id"))
                              & (F.col("__llm_hash") == F.col("__llm_m_hash")), "left")

@@ -103,9 +103,13 @@ def matches(automaton, text: str) -> tuple[list[tuple[int, int, float]], int]:
             spared.append((start, end))
         elif start not in found or (kind == 0, size) > found[start][:2]:
             found[start] = (kind == 0, size, weight)
-    out = []
+    out, n, reach = [], 0, 0
+    spared.sort()
     for start, (_, size, weight) in sorted(found.items()):
-        if not any(a <= start and start + size <= b for a, b in spared):
+        while n < len(spared) and spared[n][0] <= start:     # reach: how far a phrase begun here or before goes
+            reach = max(reach, spared[n][1])
+            n += 1
+        if start + size > reach:
             out.append((start, start + size, weight))
     return out, len(words)
 
@@ -135,16 +139,19 @@ def _grams(batches):
 
 def labelled_rows(docs: DataFrame, labels: DataFrame, label: str, max_rows: int, id_col: str = "doc_id",
                   text: str = "text") -> DataFrame:
-    """(text, label) of a bounded hash sample of the labelled rows one may learn from."""
-    known = labels.where(learnable(id_col) & F.col(label).isNotNull()).select(
-        F.col(id_col).alias("k_id"), F.col(label).cast("int").alias("label"))
-    # at most about max_rows narrow rows: safe to broadcast
-    known = F.broadcast(bounded_sample(known, max_rows, "k_id"))
-    return docs.join(known, F.col(id_col) == F.col("k_id")).select(whole_text(text).alias("text"), "label")
+    """(text, label) of a bounded hash sample of the labelled rows one may learn from,
+    materialised. An id with several labels counts once, with the greatest."""
+    known = (labels.where(learnable(id_col) & F.col(label).isNotNull())
+             .groupBy(F.col(id_col).alias("__llm_id")).agg(F.max(F.col(label).cast("int")).alias("label")))
+    # one row per id, at most about max_rows narrow ones: safe to broadcast
+    known = F.broadcast(bounded_sample(known, max_rows, "__llm_id"))
+    rows = docs.select(F.col(id_col).alias("__llm_id"), whole_text(text).alias("text"))
+    return reliable_checkpoint(rows.join(known, "__llm_id").select("text", "label"))
 
 
 def learn_lexicon(rows: DataFrame) -> Lexicon:
-    """Entries, exceptions and curve from (text, label) rows, which are read four times."""
+    """Entries, exceptions and curve from (text, label) rows, which are read four times (a
+    checkpoint)."""
     ship_code(rows.sparkSession)
     sums = {int(r["label"]): r["n"] for r in rows.groupBy("label").agg(F.count("*").alias("n")).collect()}
     toxic, clean = sums.get(1, 0), sums.get(0, 0)

@@ -144,7 +144,7 @@ def _chunk_texts(batches):
     for batch in batches:
         rows, texts, cands = [], [], []
         for n, (text, cand) in enumerate(zip(batch.column("__llm_text").to_pylist(),
-                                             batch.column("cand").to_pylist())):
+                                             batch.column("__llm_cand").to_pylist())):
             lines = text.encode("utf-8", "surrogatepass").split(b"\n")
             for c in cand:
                 rows.append(n)
@@ -167,7 +167,7 @@ def _without_lines(text: str, removed) -> str:
 
 
 def _marked(docs: DataFrame, text: str, id_col: str) -> DataFrame:
-    """Input rows keyed, with `cand`: their chunks whose hash repeats in the corpus."""
+    """Input rows keyed, with `__llm_cand`: their chunks whose hash repeats in the corpus."""
     ship_code(docs.sparkSession)
     # repeated rows share the key; their chunks are counted once per key
     keyed = docs.withColumn("__llm_hash", text_hash(text)) \
@@ -178,10 +178,10 @@ def _marked(docs: DataFrame, text: str, id_col: str) -> DataFrame:
     repeated = (chunks.groupBy("h1", "h2").agg(F.min(place).alias("lead"), F.max(place).alias("tail"))
                 .where("lead <> tail").drop("tail"))
     occur = chunks.join(repeated, ["h1", "h2"]).withColumn("is_first", place == F.col("lead"))
-    cand = occur.groupBy(*KEY).agg(F.collect_set(F.struct("h1", "h2", "first", "stop", "is_first")).alias("cand"))
-    cand = cand.select(F.col("doc_id").alias("k_id"), F.col("__llm_hash").alias("k_hash"), "cand")
-    return keyed.join(cand, F.col("__llm_id").eqNullSafe(F.col("k_id"))
-                      & (F.col("__llm_hash") == F.col("k_hash")), "left").drop("k_id", "k_hash")
+    cand = occur.groupBy(*KEY).agg(F.collect_set(F.struct("h1", "h2", "first", "stop", "is_first")).alias("__llm_cand"))
+    cand = cand.select(F.col("doc_id").alias("__llm_k_id"), F.col("__llm_hash").alias("__llm_k_hash"), "__llm_cand")
+    return keyed.join(cand, F.col("__llm_id").eqNullSafe(F.col("__llm_k_id"))
+                      & (F.col("__llm_hash") == F.col("__llm_k_hash")), "left").drop("__llm_k_id", "__llm_k_hash")
 
 
 def remove_repeated_chunks(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
@@ -190,16 +190,16 @@ def remove_repeated_chunks(docs: DataFrame, id_col: str = "doc_id", text: str =
     marked = _marked(docs, text, id_col)
     # Every column goes along, read or not: both uses of `marked` then need the same shuffle
     # of the documents, which Spark writes once and reads twice.
-    pieces = (marked.where(F.col("cand").isNotNull()).drop(text)
+    pieces = (marked.where(F.col("__llm_cand").isNotNull()).drop(text)
               .mapInArrow(_chunk_texts, "doc_id long, __llm_hash long, h1 long, h2 long, first int, "
                                         "stop int, is_first boolean, bytes binary"))
     lead = pieces.where("is_first").groupBy("h1", "h2").agg(F.min("bytes").alias("lead_bytes"))
     same = (pieces.where("not is_first").join(lead, ["h1", "h2"])
             .where(F.col("bytes") == F.col("lead_bytes")))
     removed = (same.groupBy(*KEY).agg(F.array_sort(F.collect_set(F.struct("first", "stop"))).alias("__llm_removed"))
-               .select(F.col("doc_id").alias("k_id"), F.col("__llm_hash").alias("k_hash"), "__llm_removed"))
-    out = marked.join(removed, F.col("__llm_id").eqNullSafe(F.col("k_id"))
-                      & (F.col("__llm_hash") == F.col("k_hash")), "left")
+               .select(F.col("doc_id").alias("__llm_k_id"), F.col("__llm_hash").alias("__llm_k_hash"), "__llm_removed"))
+    out = marked.join(removed, F.col("__llm_id").eqNullSafe(F.col("__llm_k_id"))
+                      & (F.col("__llm_hash") == F.col("__llm_k_hash")), "left")
 
     @F.pandas_udf("string")
     def without(texts, gone):

@@ -189,10 +189,10 @@ def scan_secrets(docs: DataFrame, rules=RULES, id_col: str = "doc_id", text: str
     if found is None:
         joined = keyed.withColumn("__llm_kinds", F.array().cast("array<string>"))
     else:
-        f = found.select(F.col("__llm_id").alias("k_id"), F.col("__llm_hash").alias("k_hash"),
+        f = found.select(F.col("__llm_id").alias("__llm_k_id"), F.col("__llm_hash").alias("__llm_k_hash"),
                          F.col("kinds").alias("__llm_kinds"))
-        joined = keyed.join(f, F.col("__llm_id").eqNullSafe(F.col("k_id"))
-                            & (F.col("__llm_hash") == F.col("k_hash")), "left").drop("k_id", "k_hash")
+        joined = keyed.join(f, F.col("__llm_id").eqNullSafe(F.col("__llm_k_id"))
+                            & (F.col("__llm_hash") == F.col("__llm_k_hash")), "left").drop("__llm_k_id", "__llm_k_hash")
     parts = []
     for n, rule in enumerate(rules):
         if trigram_query(rule.regex) is None:

@@ -21,7 +21,7 @@ from orebridge.operators import (KeyCheckError, approximate_median, attach, fk_o
                                  merge_sketches, with_position)
 from orebridge.plans.dims import distinct_dates, time_attributes
 from orebridge.plans.warehouse import FACTS, Warehouse
-from orebridge.session import scratch_path
+from orebridge.session import reliable_checkpoint, scratch_path
 from orebridge.sources import (assay_raw, read_assay_csv, read_csv, read_sensor_csv, read_table, sensor_base,
                                sensor_raw, with_file_order, write_csv, write_parquet)
 
@@ -326,42 +326,55 @@ def q_warehouse_report_kpis(spark: SparkSession, sf_dir: str) -> DataFrame:
 SECOND_LOAD_FROM = "2024-02-10 00:00:00"
 
 
-def _loaded_in_two_steps(spark: SparkSession, sf_dir: str) -> Warehouse:
+def _loaded_in_two_steps(spark: SparkSession, raw: DataFrame, raw_assay: DataFrame,
+                         stats: plans.RawStatistics) -> Warehouse:
     """A refresh with the earlier readings and their assays, then a checked append of the
-    rest, which brings new dates for the time dimension."""
+    rest, which brings new dates for the time dimension. `stats`: the raw readings' statistics
+    with repeated readings.
+
+    Each load reads the rows once, to write them; its dimensions come from what it has written."""
     wh = Warehouse(spark, scratch_path(spark, "warehouse_append"))
-    sensor, assay = facts(spark, sf_dir)
+    sensor, assay = plans.first_sensor_fact(raw, stats), plans.assay_fact(raw_assay)
+    busiest_day = stats.busiest_day()
     for early, mode in ((True, "overwrite"), (False, "append")):
         def batch(df: DataFrame, time: str) -> DataFrame:
             before = F.col(time) < F.lit(SECOND_LOAD_FROM).cast("timestamp_ntz")
             return df.where(before if early else ~before)
-        readings, assays = batch(sensor, "timestamp"), batch(assay, "sample_date")
-        dims = wh.stage_dimensions(plans.build_dim_equipment(readings), plans.build_dim_location(readings),
-                                   plans.build_dim_time(readings, assays), mode=mode)
-        wh.load_facts(readings, assays, mode=mode, dims=dims)
+        staged = wh.stage_facts(batch(sensor, "timestamp"), batch(assay, "sample_date"), busiest_day=busiest_day)
+        dims = wh.stage_dimensions(plans.build_dim_equipment(staged.sensor), plans.build_dim_location(staged.sensor),
+                                   plans.build_dim_time(staged.sensor, staged.assay), mode=mode)
+        wh.load_facts(None, None, mode=mode, staged=staged, dims=dims)
     return wh
 
 
+def _load_inputs(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, plans.RawStatistics]:
+    """Raw readings, raw assays and the readings' statistics, for several loads: the assays (few,
+    each load reads them several times) and the statistics are computed once."""
+    raw = sensor_raw(spark, sf_dir)
+    return raw, reliable_checkpoint(assay_raw(spark, sf_dir)), plans.raw_statistics(raw, repeated=True)
+
+
 @register("append_roundtrip")
 def q_append_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The sensor fact after a refresh and an append, read by its SQL name."""
-    wh = _loaded_in_two_steps(spark, sf_dir)
+    wh = _loaded_in_two_steps(spark, *_load_inputs(spark, sf_dir))
     return spark.table(wh.catalog_name("fact_sensor_readings")).select(*schemas.SENSOR_FACT_COLUMNS)
 
 
 @register("append_reconciliation")
 def q_append_reconciliation(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The reconciliation view after a refresh and an append: both facts in both loads."""
-    return _loaded_in_two_steps(spark, sf_dir).register_views()["reconciliation"]
+    return _loaded_in_two_steps(spark, *_load_inputs(spark, sf_dir)).register_views()["reconciliation"]
 
 
 @register("append_row_counts")
 def q_append_row_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows of the five tables after a refresh, an append and an append that is rejected for
     its keys, which leaves every table as it was (A8, A12)."""
-    wh = _loaded_in_two_steps(spark, sf_dir)
+    raw, raw_assay, stats = _load_inputs(spark, sf_dir)
+    wh = _loaded_in_two_steps(spark, raw, raw_assay, stats)
     try:
-        plans.run_etl(sensor_raw(spark, sf_dir), assay_raw(spark, sf_dir), wh, refresh=False)
+        plans.run_etl(raw, raw_assay, wh, refresh=False, stats=stats)
         rejected = 0
     except KeyCheckError:
         rejected = 1

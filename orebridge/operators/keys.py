@@ -7,6 +7,8 @@ per key before any join, so a key holding a third of the rows moves as one row.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from orebridge.operators.joins import all_of
@@ -39,6 +41,15 @@ def fk_orphans(child: DataFrame, parent: DataFrame, child_cols: list[str],
     return keys.join(parent_keys, child_cols, "left_anti")
 
 
+def key_usage(frames: dict[str, DataFrame], key_cols: list[str]) -> DataFrame:
+    """One row per key of any frame (NULL being a key), with the number of rows each frame has
+    of it in a column of the frame's name: the key checks between several frames with a single
+    shuffle of slim, partly aggregated keys."""
+    parts = [df.select(*key_cols, *[F.lit(int(n == name)).cast("long").alias(n) for n in frames])
+             for name, df in frames.items()]
+    return reduce(DataFrame.unionByName, parts).groupBy(*key_cols).agg(*[F.sum(n).alias(n) for n in frames])
+
+
 def assert_empty(check: DataFrame, what: str) -> None:
     assert_all_empty({what: check})
 
@@ -63,13 +74,16 @@ def declared_checks(not_null: list[str], varchar: dict[str, int]) -> dict[str, t
 _FOUND = "array<struct<check:string,n:bigint,low:string,high:string>>"
 
 
-def failed_rows(df: DataFrame, checks: dict[str, tuple[Column, str]]) -> DataFrame:
+def failed_rows(df: DataFrame, checks: dict[str, tuple]) -> DataFrame:
     """Row checks that fail, with the number of offending rows and the smallest and largest
-    offending value as JSON. All checks share one scan of `df`."""
+    offending value as JSON. All checks share one scan of `df`. A check is (condition, column
+    or list of columns to show), and a column to add up in place of the number of rows if `df`
+    has counts."""
     found = []
-    for name, (cond, col) in checks.items():
-        value = F.when(cond, F.to_json(F.struct(col)))
-        found.append(F.struct(F.lit(name).alias("check"), F.count_if(cond).alias("n"),
+    for name, (cond, shown, *n) in checks.items():
+        value = F.when(cond, F.to_json(F.struct(shown)))
+        rows = F.coalesce(F.sum(F.when(cond, n[0])), F.lit(0)) if n else F.count_if(cond)
+        found.append(F.struct(F.lit(name).alias("check"), rows.alias("n"),
                               F.min(value).alias("low"), F.max(value).alias("high")))
     rows = df.agg(F.array(*found).cast(_FOUND).alias("found"))
     return rows.select(F.inline("found")).where("n > 0")
@@ -120,4 +134,4 @@ def max_key(existing: DataFrame, key: str):
 
 
 __all__ = ["KeyCheckError", "assert_all_empty", "assert_empty", "assign_surrogate_keys",
-           "declared_checks", "failed_rows", "fk_orphans", "insert_if_absent", "key_violations", "long_values", "max_key", "null_rows"]
+           "declared_checks", "failed_rows", "fk_orphans", "insert_if_absent", "key_usage", "key_violations", "long_values", "max_key", "null_rows"]

@@ -14,7 +14,7 @@ aggregates are shuffled; flagging and imputing the rows is then a broadcast look
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame, functions as F
 
@@ -74,6 +74,13 @@ class RawStatistics:
         """Keys that occur more than once, with their first arrival."""
         return self._set(KEY).select(*KEY, F.col("first").alias("__first"))
 
+    def first_is_unique(self, raw: DataFrame) -> bool:
+        """Whether one row of each reading arrives first (a slim pass over its key and arrival
+        number): not where rows come twice with the same number, or without one."""
+        arrivals = attach(raw.select(*KEY, *ORDER), self.repeated(), KEY, how="inner", null_safe=True)
+        firsts = arrivals.where(F.col(ORDER[0]).eqNullSafe(F.col("__first"))).groupBy(*KEY)
+        return firsts.agg(F.count(F.lit(1)).alias("n")).where("n > 1").isEmpty()
+
 
 def raw_statistics(raw: DataFrame, repeated: bool = False) -> RawStatistics:
     """One aggregation over the raw rows with a grouping set for each statistic; `repeated`
@@ -134,6 +141,14 @@ def sensor_fact(raw: DataFrame, stats: RawStatistics | None = None) -> DataFrame
     return _filled_and_flagged(first, stats).select(*schemas.SENSOR_FACT_COLUMNS)
 
 
+def first_sensor_fact(raw: DataFrame, stats: RawStatistics) -> DataFrame:
+    """`sensor_fact` for a caller that uses it several times: the rows are picked by a lookup
+    wherever that gives one row per reading (checked), else kept with the shuffle."""
+    if stats.has_repeated and not stats.first_is_unique(raw):
+        stats = replace(stats, has_repeated=False)
+    return sensor_fact(raw, stats)
+
+
 def paired_sensor_fact(raw: DataFrame, assay: DataFrame, stats: RawStatistics | None = None) -> DataFrame:
     """The rows of `sensor_fact` whose reading may have an assay, for joins with `assay`.
 

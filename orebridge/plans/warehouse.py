@@ -38,7 +38,8 @@ from pyspark.sql import types as T
 from orebridge import schemas
 from orebridge.functions import month_start
 from orebridge.operators import (assert_all_empty, declared_checks, failed_rows, fk_orphans,
-                                 insert_if_absent, key_violations, max_key)
+                                 insert_if_absent, key_usage, key_violations, max_key)
+from orebridge.operators.joins import all_of
 from orebridge.plans import views
 from orebridge.plans.dims import with_location_ids, with_time_ids
 from orebridge.plans.views import VIEW_NAMES
@@ -405,24 +406,53 @@ class Warehouse:
         All checks run as one job; the error lists every failed check.
         """
         s_name, a_name = "fact_sensor_readings", "fact_assay_results"
-        s_key, a_key = schemas.TABLE_KEYS[s_name], schemas.TABLE_KEYS[a_name]
+        a_key = schemas.TABLE_KEYS[a_name]
         checks = {
-            f"{s_name}: duplicate or NULL keys": key_violations(sensor, s_key),
             f"{a_name}: duplicate or NULL keys": key_violations(assay, a_key),
             f"{s_name}.equipment_id not in dim_equipment":
                 fk_orphans(sensor, self._members("dim_equipment", dims, replace), ["equipment_id"]),
             f"{s_name}.bench_id not in dim_location":
                 fk_orphans(sensor, self._members("dim_location", dims, replace), ["bench_id"]),
         }
-        readings = sensor.select("reading_id")
         if not replace:
-            checks[f"{s_name}: keys already stored"] = sensor.select(*s_key).join(
-                self.table(s_name).select(*s_key), s_key, "left_semi")
             checks[f"{a_name}: keys already stored"] = assay.select(*a_key).join(
                 self.table(a_name).select(*a_key), a_key, "left_semi")
-            readings = readings.unionByName(self.table(s_name).select("reading_id"))
-        checks[f"{a_name}.reading_id not in {s_name}"] = fk_orphans(assay, readings, ["reading_id"])
-        assert_all_empty(checks, self._declared(s_name, sensor) + self._declared(a_name, assay))
+        row_checks = self._declared(s_name, sensor) + self._declared(a_name, assay)
+        if self._bucketed(s_name):
+            checks |= self._reading_checks(sensor, assay, replace)
+        else:
+            row_checks.append(self._failed_readings(sensor, assay, replace))
+        assert_all_empty(checks, row_checks)
+
+    def _reading_checks(self, sensor: DataFrame, assay: DataFrame, replace: bool) -> dict[str, DataFrame]:
+        """The checks on reading_id, one by one: on bucketed facts none of them shuffles a fact."""
+        s_name, a_name = "fact_sensor_readings", "fact_assay_results"
+        s_key = schemas.TABLE_KEYS[s_name]
+        checks = {f"{s_name}: duplicate or NULL keys": key_violations(sensor, s_key)}
+        readings = sensor.select(*s_key)
+        if not replace:
+            stored = self.table(s_name).select(*s_key)
+            checks[f"{s_name}: keys already stored"] = readings.join(stored, s_key, "left_semi")
+            readings = readings.unionByName(stored)
+        checks[f"{a_name}.reading_id not in {s_name}"] = fk_orphans(assay, readings, s_key)
+        return checks
+
+    def _failed_readings(self, sensor: DataFrame, assay: DataFrame, replace: bool) -> DataFrame:
+        """The same checks from one table of the uses of each reading_id: without buckets each of
+        them would shuffle the keys of the incoming or of all stored readings anew."""
+        s_name, a_name = "fact_sensor_readings", "fact_assay_results"
+        s_key = schemas.TABLE_KEYS[s_name]
+        frames = {"__new": sensor, "__assays": assay} | ({} if replace else {"__stored": self.table(s_name)})
+        new, assays = F.col("__new"), F.col("__assays")
+        stored = F.lit(0) if replace else F.col("__stored")
+        present = all_of(F.col(c).isNotNull() for c in s_key)
+        return failed_rows(key_usage(frames, s_key), {
+            f"{s_name}: duplicate or NULL keys":
+                ((new > 1) | ((new > 0) & ~present), [*s_key, new.alias("n_rows")]),
+            f"{s_name}: keys already stored": (present & (new > 0) & (stored > 0), s_key, new),
+            f"{a_name}.reading_id not in {s_name}":
+                (present & (assays > 0) & (new + stored == 0), [*s_key, assays.alias("n_rows")]),
+        })
 
     def stage_facts(self, sensor: DataFrame, assay: DataFrame, load: str | None = None,
                     busiest_day: int | None = None) -> StagedFacts:
